@@ -14,7 +14,7 @@ def _c(col) -> Column:
 
 
 def day_count(df: DataFrame, date_col: str, day) -> DataFrame:
-    """A1 as a plan: one row ``(day, n, exists)`` for rows dated exactly ``day``.
+    """A1 as a plan: one row ``(dia, n, existe)`` for rows dated exactly ``day``.
 
     The filter is a literal date, so it is pushed into the scan (and prunes a
     month-partitioned history table down to one partition).
@@ -22,7 +22,7 @@ def day_count(df: DataFrame, date_col: str, day) -> DataFrame:
     d = as_date(day)
     return (df.where(F.to_date(_c(date_col)) == F.lit(d))
             .agg(F.count(F.lit(1)).alias("n"))
-            .select(F.lit(d).alias("day"), "n", (F.col("n") > 0).alias("exists")))
+            .select(F.lit(d).alias("dia"), "n", (F.col("n") > 0).alias("existe")))
 
 
 def month_exists(df: DataFrame, date_col: str, first_day) -> bool:
