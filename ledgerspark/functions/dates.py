@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F, types as T
 
-from ledgerspark.functions.text import strip_ws
+from ledgerspark.functions.common import let, strip_ws
 
 # ISO date text with an optional time part. Spark's cast alone would also
 # read "2024" or "2024-1" as dates; the reference rejects those.
@@ -23,9 +23,8 @@ def parse_timestamp(col, dtype: T.DataType = T.StringType()) -> Column:
     c = _c(col)
     if isinstance(dtype, (T.TimestampType, T.TimestampNTZType, T.DateType)):
         return c.cast("timestamp_ntz")
-    s = strip_ws(c.cast("string"))
-    return F.when(s.rlike(ISO_DATE_TEXT),
-                  F.regexp_replace(s, "T", " ").try_cast("timestamp_ntz"))
+    return let(strip_ws(c.cast("string")), lambda s: F.when(
+        s.rlike(ISO_DATE_TEXT), F.regexp_replace(s, "T", " ").try_cast("timestamp_ntz")))
 
 
 def parse_date(col, dtype: T.DataType = T.StringType()) -> Column:
@@ -41,11 +40,12 @@ def iso_datetime(col, dtype: T.DataType = T.StringType()) -> Column:
     c = _c(col)
     if not isinstance(dtype, (T.TimestampType, T.TimestampNTZType, T.DateType)):
         c = F.when(~c.cast("string").isin(*ISO_MARKERS), c)
-    ts = parse_timestamp(c, dtype)
-    frac = F.date_format(ts, "SSSSSS")
-    return F.concat(F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss"),
-                    F.when(frac != F.lit("000000"), F.concat(F.lit("."), frac))
-                    .otherwise(F.lit("")))
+    def render(ts: Column) -> Column:
+        frac = F.date_format(ts, "SSSSSS")
+        return F.concat(F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss"),
+                        F.when(frac != F.lit("000000"), F.concat(F.lit("."), frac))
+                        .otherwise(F.lit("")))
+    return let(parse_timestamp(c, dtype), render)
 
 
 def day_text(col) -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F, types as T
 
-from ledgerspark.functions.text import strip_ws
+from ledgerspark.functions.common import let, strip_ws
 
 # Text a lenient numeric parser (pandas ``to_numeric``) accepts, after the
 # surrounding whitespace is stripped: decimal / exponent forms and the
@@ -36,8 +36,8 @@ def parse_number(col, dtype: T.DataType = T.StringType()) -> Column:
         return c.cast("double")
     if isinstance(dtype, T.BooleanType):
         return c.cast("double")
-    s = strip_ws(c.cast("string"))
-    return F.when(s.rlike(NUMERIC_TEXT), s.try_cast("double"))
+    return let(strip_ws(c.cast("string")),
+               lambda s: F.when(s.rlike(NUMERIC_TEXT), s.try_cast("double")))
 
 
 def amount(col, dtype: T.DataType = T.StringType()) -> Column:
@@ -48,7 +48,7 @@ def amount(col, dtype: T.DataType = T.StringType()) -> Column:
 
 def integral_or_null(v: Column) -> Column:
     """A double holding a whole number -> bigint; fractions, inf, NaN -> null."""
-    return F.when(~F.isnan(v) & (v == F.floor(v)), v.try_cast("bigint"))
+    return let(v, lambda x: F.when(~F.isnan(x) & (x == F.floor(x)), x.try_cast("bigint")))
 
 
 def to_id(col, dtype: T.DataType = T.StringType()) -> Column:
@@ -61,15 +61,14 @@ def to_id(col, dtype: T.DataType = T.StringType()) -> Column:
 
 def truncate_float_text(text: Column) -> Column:
     """``int(float(text))``: Python float syntax, truncated toward zero."""
-    s = strip_ws(text)
-    return F.when(s.rlike(FLOAT_TEXT),
-                  F.regexp_replace(s, "_", "").try_cast("double").try_cast("bigint"))
+    return let(strip_ws(text), lambda s: F.when(
+        s.rlike(FLOAT_TEXT), F.regexp_replace(s, "_", "").try_cast("double").try_cast("bigint")))
 
 
 def int_text(text: Column) -> Column:
     """``int(text)``: whole-number text only."""
-    s = strip_ws(text)
-    return F.when(s.rlike(INT_TEXT), F.regexp_replace(s, "_", "").try_cast("bigint"))
+    return let(strip_ws(text), lambda s: F.when(
+        s.rlike(INT_TEXT), F.regexp_replace(s, "_", "").try_cast("bigint")))
 
 
 def round_half_even(col, scale: int = 6) -> Column:

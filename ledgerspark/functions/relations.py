@@ -12,26 +12,44 @@ An ERP relation arrives in one of these shapes, all handled without UDFs:
 The functions take the column and its Spark type, because the reference's
 rules differ by Python type (list vs. text vs. number) and the Spark type is
 how that distinction survives landing.
+
+Flat list literals are recognised with one anchored regular expression that
+also captures the wanted element; the captured token is bound once with
+``let`` and then converted with cheap string operations. This costs a single
+regex pass per value (a JSON parse plus fallbacks was several times slower).
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, functions as F, types as T
 
+from ledgerspark.functions.common import WS_CLASS, let, strip_ws
 from ledgerspark.functions.numbers import (int_text, integral_or_null, parse_number,
                                            truncate_float_text)
-from ledgerspark.functions.text import strip_ws
 
 # Whole-value markers meaning "no relation" (reference markers
 # plus the landed spellings of False / null).
 RELATION_MARKERS = ["None", "False", "[]", "", "false", "null"]
 
-# Python literals that are not JSON; rewritten to JSON strings so a repr list
-# such as ``[5, None]`` still parses (only tried when plain JSON fails).
-_PY_LITERAL = r"(?<![\w'\"])(None|True|False)(?![\w'\"])"
-
 _NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType,
             T.FloatType, T.DoubleType, T.DecimalType)
+
+# One element of a flat list literal: quoted text (either quote), a number,
+# or a Python / JSON keyword.
+_ELEM = (r"""(?>"(?:[^"\\]|\\.)*+"|'(?:[^'\\]|\\.)*+'|[-+]?(?:\d++\.?\d*+|\.\d++)"""
+         r"""(?:[eE][-+]?\d++)?|None|True|False|null|true|false)""")
+# One element of a JSON list (as landed from a real list).
+_JELEM = r"""(?>"(?:[^"\\]|\\.)*+"|-?\d++(?:\.\d++)?(?:[eE][-+]?\d++)?|null|true|false)"""
+_SEP = r"\s*+,\s*+"
+_END = r"\s*+,?\s*+\]" + WS_CLASS + "*+$"
+
+# Python-literal lists; group 1 = first element. Surrounding space allowed.
+LIST_FIRST = rf"^{WS_CLASS}*+\[\s*+({_ELEM})(?:{_SEP}{_ELEM})*+{_END}"
+# Python-literal lists with 2+ elements, text starting with "["; group 1 = second.
+LIST_SECOND = rf"^\[\s*+{_ELEM}{_SEP}({_ELEM})(?:{_SEP}{_ELEM})*+{_END}"
+# JSON lists of any length starting with "["; groups 1, 2 = first, second element.
+JSON_LIST = rf"^\[\s*+(?:({_JELEM})(?:{_SEP}({_JELEM})(?:{_SEP}{_JELEM})*+)?)?\s*+\]{WS_CLASS}*+$"
+
 _STRICT_JSON = {"allowSingleQuotes": "false"}
 
 
@@ -43,32 +61,58 @@ def _is_marker(c: Column) -> Column:
     return c.isNull() | c.isin(*RELATION_MARKERS)
 
 
-def parse_list(text: Column, strict: bool = False, element: str = "string") -> Column:
-    """Text -> ``array<element>``; null when the text is not a list literal.
+# ---- element tokens -> Python values ------------------------------------
+
+def _quoted(t: Column) -> Column:
+    return t.startswith('"') | t.startswith("'")
+
+
+def _unquote(t: Column) -> Column:
+    inner = F.substring(t, F.lit(2), F.length(t) - 2)
+    return F.when(inner.contains("\\"), F.regexp_replace(inner, r"\\(.)", "$1")).otherwise(inner)
+
+
+def _token_text(t: Column) -> Column:
+    """``str(x)`` of a list element token (None -> "None", true -> "True")."""
+    return (F.when(_quoted(t), _unquote(t))
+            .when(t.isin("None", "null"), F.lit("None"))
+            .when(t.isin("True", "true"), F.lit("True"))
+            .when(t.isin("False", "false"), F.lit("False"))
+            .otherwise(t))
+
+
+def _token_value(t: Column) -> Column:
+    """The element as a value: text for quoted/number tokens, null for None/null."""
+    return F.when(t.isin("None", "null"), F.lit(None).cast("string")).otherwise(_token_text(t))
+
+
+def _token_int(t: Column) -> Column:
+    """``int(x)`` of a list element: text must be a whole number, numbers truncate."""
+    return (F.when(_quoted(t), int_text(_unquote(t)))
+            .when(t.isin("True", "true"), F.lit(1).cast("bigint"))
+            .when(t.isin("False", "false"), F.lit(0).cast("bigint"))
+            .when(t.isin("None", "null"), F.lit(None).cast("bigint"))
+            .otherwise(t.try_cast("double").try_cast("bigint")))
 
-    ``strict`` accepts only JSON (a list as landed); otherwise Python repr
-    lists (single quotes, None/True/False) parse too.
-    """
-    schema = f"array<{element}>"
-    if strict:
-        return F.when(text.startswith("["), F.from_json(text, schema, _STRICT_JSON))
-    fixed = F.regexp_replace(text, _PY_LITERAL, '"$1"')
-    return F.coalesce(F.from_json(text, schema), F.from_json(fixed, schema))
 
+def _token_numeric_id(t: Column) -> Column:
+    """``to_numeric(x)`` then nullable-integer typing (5.0 -> 5, 5.7 -> null)."""
+    return (F.when(_quoted(t), integral_or_null(parse_number(_unquote(t))))
+            .when(t.isin("True", "true"), F.lit(1).cast("bigint"))
+            .when(t.isin("False", "false"), F.lit(0).cast("bigint"))
+            .when(t.isin("None", "null"), F.lit(None).cast("bigint"))
+            .otherwise(integral_or_null(t.try_cast("double"))))
 
-def _first_quoted(text: Column) -> Column:
-    return text.rlike(r"^\s*\[\s*[\"']")
 
+def _first(c: Column) -> Column:
+    return F.regexp_extract(c, LIST_FIRST, 1)
 
-def _element_id(elem: Column, quoted: Column) -> Column:
-    """``int(x)`` of a list element: strings must be whole numbers, numbers truncate."""
-    return F.when(quoted, int_text(elem)).otherwise(truncate_float_text(elem))
 
+def _json_group(c: Column, i: int) -> Column:
+    return F.regexp_extract(c, JSON_LIST, i)
 
-def _element_numeric_id(elem: Column) -> Column:
-    """``to_numeric(x)`` then nullable-int typing (no truncation)."""
-    return integral_or_null(parse_number(elem))
 
+# ---- public normalisers ------------------------------------------------------
 
 def m2o_id(col, dtype: T.DataType = T.StringType(), allow_scalar: bool = False) -> Column:
     """X1 (``allow_scalar=False``) / X2 (``allow_scalar=True``): relation -> bigint id.
@@ -83,39 +127,29 @@ def m2o_id(col, dtype: T.DataType = T.StringType(), allow_scalar: bool = False)
         return c.getField(dtype.fieldNames()[0]).try_cast("bigint")
     if isinstance(dtype, T.ArrayType):
         first = F.get(c, 0)
-        et = dtype.elementType
         if allow_scalar:
-            return _element_numeric_id(first.cast("string"))
-        if isinstance(et, T.StringType):
+            return integral_or_null(parse_number(first.cast("string")))
+        if isinstance(dtype.elementType, T.StringType):
             return int_text(first)
         return truncate_float_text(first.cast("string"))
     if isinstance(dtype, _NUMERIC):
         if not allow_scalar:
             return F.lit(None).cast("bigint")
-        v = c.cast("double")
-        return F.when((v != 0) & ~F.isnan(v), v.try_cast("bigint"))
+        return let(c.cast("double"),
+                   lambda v: F.when((v != 0) & ~F.isnan(v), v.try_cast("bigint")))
     if isinstance(dtype, T.BooleanType):
         return F.lit(None).cast("bigint")
 
-    s = strip_ws(c)
-    arr = parse_list(s)
-    first = F.get(arr, 0)
-    if allow_scalar:
-        from_list = _element_numeric_id(first)
-    else:
-        from_list = _element_id(first, _first_quoted(s))
-    return (F.when(_is_marker(c), F.lit(None).cast("bigint"))
-            .when(s.startswith("["), F.when(F.size(arr) > 0, from_list))
-            .otherwise(truncate_float_text(s)))
-
-
-def _str_of(elem: Column) -> Column:
-    """``str(x)`` of a parsed element: a JSON null is Python None -> "None"."""
-    return F.coalesce(elem, F.lit("None"))
+    convert = _token_numeric_id if allow_scalar else _token_int
+    return let(_first(c), lambda f: (
+        F.when(f != "", convert(f))
+        .when(_is_marker(c), F.lit(None).cast("bigint"))
+        .when(c.rlike(rf"^{WS_CLASS}*+\["), F.lit(None).cast("bigint"))
+        .otherwise(truncate_float_text(c))))
 
 
 def m2o_name(col, dtype: T.DataType = T.StringType()) -> Column:
-    """Relation -> display name (second element), or null.
+    """Relation -> display name ``str(second element)``, or null.
 
     Text is parsed only when it starts with ``[`` (no stripping).
     """
@@ -123,25 +157,29 @@ def m2o_name(col, dtype: T.DataType = T.StringType()) -> Column:
     if isinstance(dtype, T.StructType):
         return c.getField(dtype.fieldNames()[1]).cast("string")
     if isinstance(dtype, T.ArrayType):
-        return F.when(F.size(c) > 1, _str_of(F.get(c, 1).cast("string")))
+        return F.when(F.size(c) > 1, F.coalesce(F.get(c, 1).cast("string"), F.lit("None")))
     if not isinstance(dtype, T.StringType):
         return F.lit(None).cast("string")
-    arr = parse_list(c)
-    return F.when(~_is_marker(c) & c.startswith("[") & (F.size(arr) > 1),
-                  _str_of(F.get(arr, 1)))
+    return let(F.regexp_extract(c, LIST_SECOND, 1),
+               lambda s: F.when(s != "", _token_text(s)))
 
 
-def m2o_list_name(col, dtype: T.DataType = T.StringType()) -> Column:
-    """Name of a real list only (JSON list as landed); text is not parsed."""
+def m2o_list_name(col, dtype: T.DataType = T.StringType(), none_as_text: bool = False) -> Column:
+    """Name (second element) of a real list only -- a JSON list as landed.
+
+    Python-repr text is *not* parsed. ``none_as_text`` renders a null name as
+    "None" (the invoice variant applies ``str``).
+    """
     c = _c(col)
     if isinstance(dtype, T.StructType):
         return c.getField(dtype.fieldNames()[1]).cast("string")
     if isinstance(dtype, T.ArrayType):
-        return F.when(F.size(c) > 1, F.get(c, 1).cast("string"))
+        v = F.get(c, 1).cast("string")
+        return F.when(F.size(c) > 1, F.coalesce(v, F.lit("None")) if none_as_text else v)
     if not isinstance(dtype, T.StringType):
         return F.lit(None).cast("string")
-    arr = parse_list(c, strict=True)
-    return F.when(F.size(arr) > 1, F.get(arr, 1))
+    conv = _token_text if none_as_text else _token_value
+    return let(_json_group(c, 2), lambda s: F.when(s != "", conv(s)))
 
 
 def m2o_list_id(col, dtype: T.DataType = T.StringType()) -> Column:
@@ -150,10 +188,10 @@ def m2o_list_id(col, dtype: T.DataType = T.StringType()) -> Column:
     if isinstance(dtype, T.StructType):
         return c.getField(dtype.fieldNames()[0]).try_cast("bigint")
     if isinstance(dtype, T.ArrayType):
-        return _element_numeric_id(F.get(c, 0).cast("string"))
+        return integral_or_null(parse_number(F.get(c, 0).cast("string")))
     if not isinstance(dtype, T.StringType):
         return F.lit(None).cast("bigint")
-    return _element_numeric_id(F.get(parse_list(c, strict=True), 0))
+    return let(_json_group(c, 1), lambda f: F.when(f != "", _token_numeric_id(f)))
 
 
 # Lower-cased texts the exception normaliser maps to "".
@@ -167,18 +205,31 @@ def exception_label(col, dtype: T.DataType = T.StringType()) -> Column:
     if isinstance(dtype, T.ArrayType):
         n = F.size(c)
         return (F.when(c.isNull(), F.lit(""))
-                .when(n > 1, _str_of(F.get(c, 1).cast("string")))
-                .when(n == 1, _str_of(F.get(c, 0).cast("string")))
+                .when(n > 1, F.coalesce(F.get(c, 1).cast("string"), F.lit("None")))
+                .when(n == 1, F.coalesce(F.get(c, 0).cast("string"), F.lit("None")))
                 .otherwise(F.lit("[]")))
     s = c.cast("string")
-    arr = parse_list(s, strict=True)
-    n = F.size(arr)
-    return (F.when(c.isNull(), F.lit(""))
-            .when(arr.isNotNull() & (n > 1), _str_of(F.get(arr, 1)))
-            .when(arr.isNotNull() & (n == 1), _str_of(F.get(arr, 0)))
-            .when(arr.isNotNull(), F.lit("[]"))
-            .when(F.lower(s).isin(*EXCEPTION_MARKERS), F.lit(""))
-            .otherwise(s))
+    parts = F.array(F.regexp_extract(s, JSON_LIST, 1), F.regexp_extract(s, JSON_LIST, 2),
+                    F.when(s.rlike(JSON_LIST), F.lit("1")).otherwise(F.lit("")))
+    return let(parts, lambda p: (
+        F.when(c.isNull(), F.lit(""))
+        .when(p[1] != "", _token_text(p[1]))
+        .when(p[0] != "", _token_text(p[0]))
+        .when(p[2] != "", F.lit("[]"))
+        .when(F.lower(s).isin(*EXCEPTION_MARKERS), F.lit(""))
+        .otherwise(s)))
+
+
+def parse_list(text: Column, strict: bool = False, element: str = "string") -> Column:
+    """Text -> ``array<element>`` via the JSON reader (lists of ids, pairs).
+
+    ``strict`` accepts only JSON starting with ``[`` (a list as landed);
+    otherwise single-quoted Python lists parse too.
+    """
+    schema = f"array<{element}>"
+    if strict:
+        return F.when(text.startswith("["), F.from_json(text, schema, _STRICT_JSON))
+    return F.from_json(text, schema)
 
 
 def tag_ids(col, dtype: T.DataType = T.StringType()) -> Column:
@@ -196,9 +247,9 @@ def tag_names(col, tag_map: dict, dtype: T.DataType = T.StringType()) -> Column:
     Order kept; unknown ids and empty names dropped; no list -> "".
     For a tag *table* see ``operators.lookup.tag_names_from_table``.
     """
-    ids = tag_ids(col, dtype)
     if not tag_map:
-        return F.when(F.lit(True), F.lit(""))
+        return F.lit("")
+    ids = tag_ids(col, dtype)
     m = F.create_map(*[x for k, v in tag_map.items() for x in (F.lit(int(k)), F.lit(str(v)))])
     names = F.transform(ids, lambda x: F.try_element_at(m, x))
     kept = F.filter(names, lambda n: n.isNotNull() & (n != F.lit("")))
@@ -214,16 +265,21 @@ def m2m_names(col, dtype: T.DataType = T.StringType()) -> Column:
         s = c.cast("string")
         pairs = F.when(~_is_marker(s) & s.startswith("["),
                        parse_list(s, element="array<string>"))
-    kept = F.filter(pairs, lambda p: F.size(p) > 1)
-    names = F.transform(kept, lambda p: _str_of(F.get(p, 1)))
-    return F.when(F.size(names) > 0, F.array_join(names, ","))
+    return let(pairs, lambda ps: let(
+        F.transform(F.filter(ps, lambda p: F.size(p) > 1),
+                    lambda p: F.coalesce(F.get(p, 1), F.lit("None"))),
+        lambda names: F.when(F.size(names) > 0, F.array_join(names, ","))))
 
 
 def list_length(col, dtype: T.DataType = T.StringType()) -> Column:
     """Length of a real list, 0 for anything else."""
     c = _c(col)
     if isinstance(dtype, T.ArrayType):
-        arr = c
-    else:
-        arr = parse_list(c.cast("string"), strict=True)
-    return F.when(arr.isNull(), F.lit(0)).otherwise(F.size(arr))
+        return F.coalesce(F.size(c), F.lit(0))
+    return let(parse_list(c.cast("string"), strict=True),
+               lambda a: F.when(a.isNull(), F.lit(0)).otherwise(F.size(a)))
+
+
+__all__ = ["RELATION_MARKERS", "EXCEPTION_MARKERS", "LIST_FIRST", "LIST_SECOND", "JSON_LIST",
+           "m2o_id", "m2o_name", "m2o_list_name", "m2o_list_id", "exception_label",
+           "parse_list", "tag_ids", "tag_names", "m2m_names", "list_length", "strip_ws"]

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F, types as T
 
+from ledgerspark.functions.common import WS_CLASS, strip_ws  # noqa: F401
+
 # Markers cleaned to "" by text cleaning A (exact, whole value).
 # The last two are how an ERP False / JSON null look once landed as text.
 TEXT_MARKERS = ["None", "False", "nan", "<NA>", "false", "null"]
@@ -11,24 +13,11 @@ TEXT_MARKERS = ["None", "False", "nan", "<NA>", "false", "null"]
 # Markers dropped to null by the id-to-text normaliser.
 ID_TEXT_MARKERS = ["<NA>", "nan", "False", "None", "false", "NaN"]
 
-# Python's str.strip() whitespace: Unicode White_Space plus the four ASCII
-# information separators (\x1c-\x1f) that Python also counts as space.
-_WS = r"[\s\x1c-\x1f]"
-_EDGE_WS = rf"(?U)^{_WS}+|{_WS}+$"
-
 
 def _c(col) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
-def strip_ws(col) -> Column:
-    """Python ``str.strip()``: remove Unicode whitespace at both ends.
-
-    Spark's ``trim`` only removes spaces, so a regex is used instead.
-    """
-    return F.regexp_replace(_c(col), _EDGE_WS, "")
-
-
 def clean_markers(col, markers=TEXT_MARKERS) -> Column:
     """Text cleaning A: null or an exact marker -> "", else unchanged (no trim)."""
     c = _c(col)
@@ -48,12 +37,12 @@ def strip_doc_code(col) -> Column:
     """
     c = _c(col)
     return F.when(c.isNull() | (c == F.lit("")) | (c == F.lit("false")), F.lit("")) \
-        .otherwise(F.regexp_replace(c, r"(?U)^\(\d+\)\s*", ""))
+        .otherwise(F.regexp_replace(c, r"^\(\p{Nd}+\)" + WS_CLASS + "*", ""))
 
 
 def street_key(col) -> Column:
     """Dedup key for streets: lower case, stripped, inner whitespace collapsed."""
-    return F.regexp_replace(strip_ws(F.lower(_c(col))), r"(?U)\s+", " ")
+    return F.regexp_replace(strip_ws(F.lower(_c(col))), WS_CLASS + "+", " ")
 
 
 def default_text(col, default: str = "") -> Column:

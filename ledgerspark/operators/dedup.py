@@ -2,20 +2,17 @@
 
 ``drop_duplicates(keep="first")`` keeps, per key, the row that comes first in
 source order. Source order must be explicit on Spark: every landed table has a
-unique sequence column (``_seq``). Null key values compare equal.
+unique, non-null sequence column (``_seq``). Null key values compare equal.
 
-Plan (skew-safe):
+Plan: one aggregation, ``groupBy(keys).agg(min(struct(_seq, <other columns>)))``.
+Structs compare field by field, so the minimum is the whole first row. The
+aggregation runs map-side first (partial aggregation), so a key holding a
+third of all rows leaves at most one row per map task before the shuffle; one
+scan and one shuffle in total.
 
-1. ``groupBy(keys).agg(min(_seq))`` -- a hash aggregate with map-side partial
-   aggregation: even a key holding a third of all rows leaves one row per map
-   task before the shuffle, and only keys plus one long are shuffled.
-2. ``left_semi`` join of the rows with those winning ``_seq`` values. The join
-   key is the unique sequence, so it is spread evenly over partitions no matter
-   how skewed the dedup keys are; AQE turns it into a broadcast join at run time
-   when the winners turn out small.
-
-A ``row_number()`` window would instead send every row of a hot key to one task
-and sort it there.
+A ``row_number()`` window would send every row of a hot key to one task and
+sort it there; a min(_seq) aggregate plus a semi join back would scan and
+parse the input twice.
 """
 
 from __future__ import annotations
@@ -43,7 +40,12 @@ def first_seq(df: DataFrame, keys: Sequence[str], order: str = SEQ) -> DataFrame
 def keep_first(df: DataFrame, keys: Sequence[str], order: str = SEQ) -> DataFrame:
     """Rows that come first in ``order`` among rows with equal ``keys``.
 
-    ``order`` must be unique (a source sequence); ties would keep every tied row.
+    ``order`` must be unique and non-null (a source sequence). Column order
+    and types of ``df`` are kept.
     """
-    winners = first_seq(df, keys, order).select(order)
-    return df.join(winners, on=order, how="left_semi")
+    require_order(df, order)
+    others = [c for c in df.columns if c not in keys and c != order]
+    first = F.min(F.struct(order, *others)).alias("_first")
+    return (df.groupBy(*keys).agg(first)
+            .select(*keys, *[F.col("_first")[c].alias(c) for c in [order] + others])
+            .select(*df.columns))

@@ -23,7 +23,9 @@ from ledgerspark.sinks import load, replace_months, upload_sheet
 from ledgerspark.sources import (clients_raw, invoice_lines_raw, invoices_raw, master_product_ids,
                                  order_lines_raw, orders_raw, products_raw, tax_ids, vendor_ids,
                                  visits_of_day)
-from ledgerspark.sources.erp import DEFAULT_INVOICE_START
+from ledgerspark.operators.joins import semi_join_on
+from ledgerspark.sources.erp import (DEFAULT_INVOICE_START, invoice_line_scope,
+                                     posted_invoice_ids)
 from ledgerspark.sources.landed import text_on_or_after
 
 # ------------------------------------------------------------ invoice headers
@@ -62,7 +64,15 @@ def sync_invoices(moves: DataFrame, history: str, current: str, asof,
 
 def invoice_lines_plan(lines: DataFrame, moves: DataFrame, start, end=None,
                        with_date: bool = False) -> DataFrame:
-    return tf.invoice_lines(invoice_lines_raw(lines, moves, start, end), with_date=with_date)
+    """S8 + T5: transformed product lines of posted invoices dated in [start, end].
+
+    Same rows as ``T5(S8(...))``: the header traversal and T5's filters are
+    all row filters, so the semi join runs last, on the invoice id T5 already
+    parsed -- the relation is parsed once and fewer, narrower rows reach the
+    join's shuffle.
+    """
+    df = tf.invoice_lines(invoice_line_scope(lines, start, end), with_date=with_date)
+    return semi_join_on(df, F.col("id_factura"), posted_invoice_ids(moves), "id")
 
 
 def sync_invoice_lines(lines: DataFrame, moves: DataFrame, history: str, current: str, asof,
@@ -170,9 +180,10 @@ def sync_invoices_sheet(moves: DataFrame, path: str, asof) -> dict:
 def invoice_lines_sheet_plan(lines: DataFrame, moves: DataFrame, asof,
                              start=DEFAULT_INVOICE_START) -> DataFrame:
     """Q8 rows: product lines of posted invoices dated in the current month."""
-    raw = invoice_lines_raw(lines, moves, start=start)
+    raw = invoice_line_scope(lines, start=start)
     raw = raw.where(parse_date("date") >= F.lit(month_start(asof)))
-    return tf.invoice_lines(raw)
+    df = tf.invoice_lines(raw)
+    return semi_join_on(df, F.col("id_factura"), posted_invoice_ids(moves), "id")
 
 
 def sync_invoice_lines_sheet(lines: DataFrame, moves: DataFrame, path: str, asof) -> dict:

@@ -25,6 +25,7 @@ from ledgerspark.functions import (amount, clean_markers, clean_strip, exception
                                    m2o_list_id, m2o_list_name, m2o_name, parse_date,
                                    parse_timestamp, round_half_even, street_key, strip_doc_code,
                                    tag_names, to_id)
+from ledgerspark.functions.common import with_columns_once
 from ledgerspark.functions.numbers import integral_or_null, parse_number
 from ledgerspark.functions.relations import parse_list
 from ledgerspark.operators import (SEQ, all_present, is_posted, keep_first, left_from_master,
@@ -89,16 +90,20 @@ def invoices(raw: DataFrame, keep: tuple = ()) -> DataFrame:
            "l10n_latam_document_type_id", "invoice_payment_term_id"]
     _require(raw, rel, "invoices")
     d = lambda c: _dtype(raw, c)
-    cols = [
-        m2o_id("partner_id", d("partner_id")).alias("id_cliente"),
-        m2o_id("invoice_user_id", d("invoice_user_id")).alias("id_vendedor"),
-        m2o_id("partner_shipping_id", d("partner_shipping_id")).alias("id_direccion_entrega"),
-        clean_strip(strip_doc_code(m2o_list_name("l10n_latam_document_type_id",
-                                                 d("l10n_latam_document_type_id"))))
-        .alias("tipo_documento"),
-        clean_strip(m2o_list_name("invoice_payment_term_id", d("invoice_payment_term_id")))
-        .alias("condicion_pago"),
-    ]
+    # Parsed once per row (regex work); filters below reuse the results.
+    parsed = {
+        "id_cliente": m2o_id("partner_id", d("partner_id")),
+        "id_vendedor": m2o_id("invoice_user_id", d("invoice_user_id")),
+        "id_direccion_entrega": m2o_id("partner_shipping_id", d("partner_shipping_id")),
+        "tipo_documento": clean_strip(strip_doc_code(m2o_list_name(
+            "l10n_latam_document_type_id", d("l10n_latam_document_type_id"), none_as_text=True))),
+        "condicion_pago": clean_strip(m2o_list_name(
+            "invoice_payment_term_id", d("invoice_payment_term_id"), none_as_text=True)),
+    }
+    for src, dst in _INVOICE_DATES.items():
+        if src in raw.columns:
+            parsed[dst] = parse_date(src, d(src))
+    cols = [F.col(k) for k in parsed]
     if "id" in raw.columns:
         cols.append(to_id("id", d("id")).alias("id_factura"))
     for src, dst in _INVOICE_TEXT.items():
@@ -107,10 +112,8 @@ def invoices(raw: DataFrame, keep: tuple = ()) -> DataFrame:
     for src, dst in _INVOICE_AMOUNTS.items():
         if src in raw.columns:
             cols.append(amount(src, d(src)).alias(dst))
-    for src, dst in _INVOICE_DATES.items():
-        if src in raw.columns:
-            cols.append(parse_date(src, d(src)).alias(dst))
-    df = raw.select(*cols, *_with_seq(raw), *[F.col(k) for k in keep if k in raw.columns])
+    df = with_columns_once(raw, parsed)
+    df = df.select(*cols, *_with_seq(raw), *[F.col(k) for k in keep if k in raw.columns])
     _require(df, ["id_factura", "fecha_factura"], "invoices")
     df = df.where(all_present("id_factura", "id_cliente", "fecha_factura"))
     if "estado" in df.columns:
@@ -135,20 +138,20 @@ def invoice_lines(raw: DataFrame, with_date: bool = False) -> DataFrame:
     _require(raw, ["move_id", "product_id", "price_subtotal"], "invoice_lines")
     d = lambda c: _dtype(raw, c)
     total_src = "price_total" if "price_total" in raw.columns else "price_subtotal"
-    cols = [
-        m2o_id("move_id", d("move_id")).alias("id_factura"),
-        m2o_id("product_id", d("product_id")).alias("id_producto"),
-        amount(total_src, d(total_src)).alias("total"),
-    ]
+    parsed = {
+        "id_factura": m2o_id("move_id", d("move_id")),
+        "id_producto": m2o_id("product_id", d("product_id")),
+    }
+    if with_date:
+        parsed["fecha"] = (parse_date("date", d("date")) if "date" in raw.columns
+                           else _null("date"))
+    cols = [F.col(k) for k in parsed] + [amount(total_src, d(total_src)).alias("total")]
     if "id" in raw.columns:
         cols.append(to_id("id", d("id")).alias("id_linea_factura"))
     for src, dst in _LINE_AMOUNTS.items():
         if src in raw.columns:
             cols.append(amount(src, d(src)).alias(dst))
-    if with_date:
-        cols.append(parse_date("date", d("date")).alias("fecha") if "date" in raw.columns
-                    else _null("date").alias("fecha"))
-    df = raw.select(*cols)
+    df = with_columns_once(raw, parsed).select(*cols)
     df = df.where(all_present("id_producto", "id_factura") & non_zero("total"))
     return _select_target(df, schemas.INVOICE_LINES, present_only=False,
                           extra=("fecha",) if with_date else ())
@@ -175,13 +178,17 @@ def orders(raw: DataFrame, vendors: IdList = None, clients: IdList = None) -> Da
     ``vendors`` / ``clients`` are optional membership lists (empty = no filter).
     """
     d = lambda c: _dtype(raw, c)
-    cols = [
-        _rel_id(raw, "partner_id").alias("id_cliente"),
-        _rel_id(raw, "user_id").alias("id_vendedor"),
-        _rel_id(raw, "partner_shipping_id").alias("id_direccion_entrega"),
-        (clean_markers(exception_label("main_exception_id", d("main_exception_id")))
-         if "main_exception_id" in raw.columns else F.lit("")).alias("excepcion"),
-    ]
+    parsed = {
+        "id_cliente": _rel_id(raw, "partner_id"),
+        "id_vendedor": _rel_id(raw, "user_id"),
+        "id_direccion_entrega": _rel_id(raw, "partner_shipping_id"),
+        "excepcion": (clean_markers(exception_label("main_exception_id", d("main_exception_id")))
+                      if "main_exception_id" in raw.columns else F.lit("")),
+    }
+    for src, dst in _ORDER_DATES.items():
+        if src in raw.columns:
+            parsed[dst] = parse_date(src, d(src))
+    cols = [F.col(k) for k in parsed]
     if "id" in raw.columns:
         cols.append(to_id("id", d("id")).alias("id_pedido"))
     for src, dst in _ORDER_TEXT.items():
@@ -190,10 +197,7 @@ def orders(raw: DataFrame, vendors: IdList = None, clients: IdList = None) -> Da
     for src, dst in _ORDER_AMOUNTS.items():
         if src in raw.columns:
             cols.append(amount(src, d(src)).alias(dst))
-    for src, dst in _ORDER_DATES.items():
-        if src in raw.columns:
-            cols.append(parse_date(src, d(src)).alias(dst))
-    df = raw.select(*cols, *_with_seq(raw))
+    df = with_columns_once(raw, parsed).select(*cols, *_with_seq(raw))
     df = member_of(df, "id_vendedor", vendors, empty="all")
     df = member_of(df, "id_cliente", clients, empty="all")
     return _select_target(df, schemas.ORDERS, present_only=True)
@@ -206,11 +210,12 @@ def order_lines(raw: DataFrame, products: IdList = None, orders: IdList = None)
     _require(raw, ["id", "product_uom_qty", "price_unit", "price_subtotal", "discount"],
              "order_lines")
     d = lambda c: _dtype(raw, c)
-    df = raw.select(
+    parsed = {"id_pedido": _rel_id(raw, "order_id"),
+              "id_cliente": _rel_id(raw, "order_partner_id"),
+              "id_producto": _rel_id(raw, "product_id")}
+    df = with_columns_once(raw, parsed).select(
         to_id("id", d("id")).alias("id_linea"),
-        _rel_id(raw, "order_id").alias("id_pedido"),
-        _rel_id(raw, "order_partner_id").alias("id_cliente"),
-        _rel_id(raw, "product_id").alias("id_producto"),
+        "id_pedido", "id_cliente", "id_producto",
         amount("product_uom_qty", d("product_uom_qty")).alias("cantidad"),
         amount("price_unit", d("price_unit")).alias("precio_unitario"),
         amount("discount", d("discount")).alias("descuento"),
@@ -240,10 +245,13 @@ def clients(raw: DataFrame, tags: TagSource = None, vendors: IdList = None) -> D
     two-column table ``id, name``).
     """
     d = lambda c: _dtype(raw, c)
-    cols = [_rel_id(raw, "user_id", allow_scalar=True).alias("id_vendedor")]
+    parsed = {"id_vendedor": _rel_id(raw, "user_id", allow_scalar=True)}
     for src, dst in _CLIENT_NAMES.items():
         name = m2o_name(src, d(src)) if src in raw.columns else _null("string")
-        cols.append(clean_markers(name).alias(dst))
+        parsed[dst] = clean_markers(name)
+    if "create_date" in raw.columns:
+        parsed["fecha_creacion"] = parse_timestamp("create_date", d("create_date"))
+    cols = [F.col(k) for k in parsed]
     if "id" in raw.columns:
         cols.append(to_id("id", d("id")).alias("id_cliente"))
     for src, dst in _CLIENT_TEXT.items():
@@ -254,8 +262,6 @@ def clients(raw: DataFrame, tags: TagSource = None, vendors: IdList = None) -> D
     for src, dst in (("partner_latitude", "geo_latitud"), ("partner_longitude", "geo_longitud")):
         if src in raw.columns:
             cols.append(round_half_even(amount(src, d(src)), 6).alias(dst))
-    if "create_date" in raw.columns:
-        cols.append(parse_timestamp("create_date", d("create_date")).alias("fecha_creacion"))
     has_tags = "category_id" in raw.columns
     if has_tags and not isinstance(tags, DataFrame):
         cols.append(tag_names("category_id", dict(tags or {}), d("category_id")).alias("etiquetas"))
@@ -263,7 +269,7 @@ def clients(raw: DataFrame, tags: TagSource = None, vendors: IdList = None) -> D
         cols.append(F.col("category_id"))
     else:
         cols.append(_null("string").alias("etiquetas"))
-    df = raw.select(*cols, *_with_seq(raw))
+    df = with_columns_once(raw, parsed).select(*cols, *_with_seq(raw))
 
     if "tipo_compania" in df.columns and "tipo_direccion" in df.columns:
         df = df.where(not_person_contact())
@@ -285,9 +291,10 @@ def _odoo_products(raw: DataFrame) -> DataFrame:
     _require(raw, ["id", "product_tmpl_id", "default_code", "name", "uom_id", "list_price",
                    "standard_price", "create_date", "sale_ok", "categ_id"], "products")
     d = lambda c: _dtype(raw, c)
-    return raw.select(
+    parsed = {"id_odoo_padre": m2o_list_id("product_tmpl_id", d("product_tmpl_id"))}
+    return with_columns_once(raw, parsed).select(
         to_id("id", d("id")).alias("id_odoo_variante"),
-        m2o_list_id("product_tmpl_id", d("product_tmpl_id")).alias("id_odoo_padre"),
+        "id_odoo_padre",
         "default_code", "name", "uom_id", "list_price", "standard_price", "create_date",
         "sale_ok", "categ_id", *[c for c in ("taxes_id", SEQ) if c in raw.columns])
 

@@ -69,18 +69,29 @@ def invoices_raw(moves: DataFrame, start=DEFAULT_INVOICE_START, end=None) -> Dat
     return fetch(moves, where=where)
 
 
+def posted_invoice_ids(moves: DataFrame) -> DataFrame:
+    """Ids of posted customer invoices / refunds (the headers S8 traverses to)."""
+    return (moves.where(F.col("move_type").isin(*INVOICE_MOVE_TYPES) & (F.col("state") == POSTED))
+            .select(F.col("id").cast("bigint").alias("id")))
+
+
+def invoice_line_scope(lines: DataFrame, start=DEFAULT_INVOICE_START, end=None) -> DataFrame:
+    """S8's predicates on the line itself: product lines dated in [start, end]."""
+    where = (F.col("display_type") == PRODUCT_LINE) & text_on_or_after("date", start)
+    if end is not None:
+        where = where & text_on_or_before("date", end)
+    return lines.where(where)
+
+
 def invoice_lines_raw(lines: DataFrame, moves: DataFrame, start=DEFAULT_INVOICE_START,
                       end=None) -> DataFrame:
     """Product lines of posted customer invoices, line date in [start, end].
 
     The ERP evaluates ``move_id.move_type`` / ``move_id.state`` by following
     the relation; here that is a semi join to the qualifying header ids.
+    Jobs that transform the lines anyway apply the same semi join after T5 on
+    the parsed invoice id (``plans.jobs.invoice_lines_plan``).
     """
-    where = (F.col("display_type") == PRODUCT_LINE) & text_on_or_after("date", start)
-    if end is not None:
-        where = where & text_on_or_before("date", end)
-    headers = moves.where(F.col("move_type").isin(*INVOICE_MOVE_TYPES)
-                          & (F.col("state") == POSTED)).select(F.col("id").cast("bigint").alias("id"))
-    scoped = lines.where(where)
+    scoped = invoice_line_scope(lines, start, end)
     key = m2o_id("move_id", lines.schema["move_id"].dataType)
-    return semi_join_on(scoped, key, headers, "id")
+    return semi_join_on(scoped, key, posted_invoice_ids(moves), "id")
