@@ -60,3 +60,20 @@ def text_on_or_before(col: str, day) -> Column:
     """``col <= day`` (whole day inclusive) on ISO date/datetime text."""
     d = str(day)[:10]
     return (F.col(col) < F.lit(d + "~")) & F.col(col).rlike(r"^\d{4}-\d{2}-\d{2}")
+
+
+def spread_small_input(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Spread an under-split scan over all task slots.
+
+    A scan yields one task per file split (per parquet row group); a small
+    landing in one row group would run all the per-row parsing on a single
+    core. When the scan has fewer partitions than the session's default
+    parallelism it is hash-partitioned on a hash of the whole row to that many
+    (deterministic under task retries, no sort, no hot key unless whole rows
+    repeat); a large input already has more splits than slots and is
+    returned unchanged (no shuffle).
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target, F.xxhash64(*df.columns))
