@@ -287,14 +287,14 @@ def clients(raw: DataFrame, tags: TagSource = None, vendors: IdList = None) -> D
 
 # ---------------------------------------------------------------- T6 products
 
-def _odoo_products(raw: DataFrame) -> DataFrame:
+def _erp_products(raw: DataFrame) -> DataFrame:
     _require(raw, ["id", "product_tmpl_id", "default_code", "name", "uom_id", "list_price",
                    "standard_price", "create_date", "sale_ok", "categ_id"], "products")
     d = lambda c: _dtype(raw, c)
-    parsed = {"id_odoo_padre": m2o_list_id("product_tmpl_id", d("product_tmpl_id"))}
+    parsed = {"_parent_id": m2o_list_id("product_tmpl_id", d("product_tmpl_id"))}
     return with_columns_once(raw, parsed).select(
-        to_id("id", d("id")).alias("id_odoo_variante"),
-        "id_odoo_padre",
+        to_id("id", d("id")).alias("_variant_id"),
+        "_parent_id",
         "default_code", "name", "uom_id", "list_price", "standard_price", "create_date",
         "sale_ok", "categ_id", *[c for c in ("taxes_id", SEQ) if c in raw.columns])
 
@@ -305,14 +305,14 @@ def products(raw: DataFrame, master: DataFrame, master_key: str = "id_producto")
     Unmatched master ids keep their id as the variant id, 0 prices, "" code,
     ``false`` sellable and null names. A landed ``false`` code becomes "".
     """
-    odoo = _odoo_products(raw)
+    variants = _erp_products(raw)
     m = master.select(F.col(master_key).cast("bigint").alias("id_producto")) \
         .where(F.col("id_producto").isNotNull())
-    df = left_from_master(m, "id_producto", odoo, "id_odoo_padre")
+    df = left_from_master(m, "id_producto", variants, "_parent_id")
     d = lambda c: _dtype(raw, c)
     code = F.col("default_code").cast("string")
     df = df.select(
-        F.coalesce("id_odoo_variante", "id_producto").alias("id_producto_variante"),
+        F.coalesce("_variant_id", "id_producto").alias("id_producto_variante"),
         F.col("id_producto").alias("id_producto_padre"),
         F.when(code.isNull() | (code == "false"), F.lit("")).otherwise(code)
         .alias("referencia_interna"),
@@ -335,13 +335,13 @@ def product_taxes(raw: DataFrame, master: DataFrame, taxes: IdList,
     in ``taxes``; an empty tax list yields no rows. Pairs are not deduplicated.
     """
     _require(raw, ["taxes_id"], "product_taxes")
-    odoo = _odoo_products(raw)
+    variants = _erp_products(raw)
     m = master.select(F.col(master_key).cast("bigint").alias("_master_id"))
-    rel = odoo.join(m, F.col("id_odoo_padre") == F.col("_master_id"), "left_semi")
+    rel = variants.join(m, F.col("_parent_id") == F.col("_master_id"), "left_semi")
     d = _dtype(raw, "taxes_id")
     arr = F.col("taxes_id") if isinstance(d, T.ArrayType) \
         else parse_list(F.col("taxes_id").cast("string"))
-    bridge = rel.select(F.col("id_odoo_variante").alias("id_producto_variante"),
+    bridge = rel.select(F.col("_variant_id").alias("id_producto_variante"),
                         F.explode(arr).alias("_tax"))
     bridge = bridge.select(
         "id_producto_variante",
