@@ -10,14 +10,14 @@ from __future__ import annotations
 
 from typing import Mapping
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, functions as F
 
 from ledgerspark import schemas
 from ledgerspark.functions import list_length, parse_date, to_id
 from ledgerspark.functions.periods import (backfill_range, is_close_day, month_start,
                                            previous_month)
-from ledgerspark.operators import (carry_over, discarded_invoiced, frequency, in_range, observed,
-                                   top_n)
+from ledgerspark.operators import carry_over, discarded_invoiced, frequency, in_range, top_n
 from ledgerspark.plans import transforms as tf
 from ledgerspark.sinks import load, replace_months, upload_sheet
 from ledgerspark.sources import (clients_raw, invoice_lines_raw, invoices_raw, master_product_ids,
@@ -97,19 +97,23 @@ def orders_carryover_plan(orders: DataFrame, asof) -> DataFrame:
 
 
 def sync_orders(orders: DataFrame, target: str, asof) -> dict:
-    """Q3 with its A7 metrics (filled by the write itself, no extra job)."""
-    df = tf.orders(orders_raw(orders, asof))
-    keep = carry_over("fecha_creacion", "estado_facturacion", asof)
-    watched, obs = observed(
-        df, "orders",
-        discarded_invoiced=F.count_if(discarded_invoiced("fecha_creacion", "estado_facturacion",
-                                                         asof)),
-        loaded=F.count_if(keep))
-    final = df.where(keep)
-    if final.isEmpty():
-        return {"loaded": False, "metrics": {}}
-    load(watched.where(keep), target, skip_if_empty=False)
-    return {"loaded": True, "metrics": obs.get}
+    """Q3 with its A7 counters.
+
+    The transformed window is persisted: one aggregate pass gives the
+    counters (and the emptiness test), the write reuses the cached rows.
+    """
+    df = tf.orders(orders_raw(orders, asof)).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        keep = carry_over("fecha_creacion", "estado_facturacion", asof)
+        m = df.agg(F.count_if(discarded_invoiced("fecha_creacion", "estado_facturacion", asof))
+                   .alias("discarded_invoiced"),
+                   F.count_if(keep).alias("loaded")).first().asDict()
+        if not m["loaded"]:
+            return {"loaded": False, "metrics": m}
+        load(df.where(keep), target, skip_if_empty=False)
+        return {"loaded": True, "metrics": m}
+    finally:
+        df.unpersist()
 
 
 def carryover_order_ids(orders: DataFrame, asof) -> DataFrame:
@@ -129,11 +133,14 @@ def order_lines_carryover_plan(orders: DataFrame, lines: DataFrame, asof) -> Dat
 
 def sync_order_lines(orders: DataFrame, lines: DataFrame, target: str, asof) -> dict:
     """Q4: stops when no order carries over (an empty id list would mean no filter)."""
-    ids = carryover_order_ids(orders, asof)
-    if ids.isEmpty():
-        return {"loaded": False}
-    df = tf.order_lines(order_lines_raw(lines, asof), orders=ids)
-    return {"loaded": load(df, target)}
+    ids = carryover_order_ids(orders, asof).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        if ids.isEmpty():
+            return {"loaded": False}
+        df = tf.order_lines(order_lines_raw(lines, asof), orders=ids)
+        return {"loaded": load(df, target)}
+    finally:
+        ids.unpersist()
 
 
 # ------------------------------------------------------------ clients, products

@@ -7,6 +7,7 @@ funnelled through one task or the driver.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from ledgerspark.functions.dates import day_text
@@ -42,12 +43,16 @@ def upload_sheet(df: DataFrame, path: str, skip_if_empty: bool = True,
                  formatted: bool = True) -> bool:
     """K4 (``formatted``) / K5: replace the tab's content with ``df`` as CSV.
 
-    An empty frame is skipped and the previous content stays.
+    An empty frame is skipped and the previous content stays; the cells are
+    persisted so the emptiness probe and the write share one computation.
     """
     if len(df.columns) > SHEET_COLUMNS:
         raise ValueError(f"a sheet tab holds at most {SHEET_COLUMNS} columns (A:Z)")
-    rows = sheet_rows(df) if formatted else raw_rows(df)
-    if skip_if_empty and rows.isEmpty():
-        return False
-    rows.write.mode("overwrite").option("header", True).csv(path)
-    return True
+    rows = (sheet_rows(df) if formatted else raw_rows(df)).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        if skip_if_empty and rows.isEmpty():
+            return False
+        rows.write.mode("overwrite").option("header", True).csv(path)
+        return True
+    finally:
+        rows.unpersist()

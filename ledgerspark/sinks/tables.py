@@ -12,7 +12,8 @@ reference's day-1 existence probe could, see SURVEY D1).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame, Observation, functions as F, types as T
 
 from ledgerspark.functions.dates import month_of
 
@@ -46,14 +47,24 @@ def load(df: DataFrame, target: str, mode: str = "overwrite", schema: T.StructTy
     """K1/K2: truncate-and-load (``overwrite``) or ``append``.
 
     With ``skip_if_empty`` an empty result writes nothing and the old content
-    stays (the reference's behaviour). Returns whether a write happened.
+    stays (the reference's behaviour). The result is persisted for the
+    emptiness probe and the write, so the plan (and its shuffles) runs once;
+    a lost cached block is recomputed from lineage. Returns whether a write
+    happened.
     """
     if schema is not None:
         df = conform(df, schema)
-    if skip_if_empty and df.isEmpty():
-        return False
-    _save(_writer(df, mode, partition_by), target, fmt)
-    return True
+    if not skip_if_empty:
+        _save(_writer(df, mode, partition_by), target, fmt)
+        return True
+    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        if cached.isEmpty():
+            return False
+        _save(_writer(cached, mode, partition_by), target, fmt)
+        return True
+    finally:
+        cached.unpersist()
 
 
 def with_month(df: DataFrame, date_col: str) -> DataFrame:
@@ -63,15 +74,21 @@ def with_month(df: DataFrame, date_col: str) -> DataFrame:
 def replace_months(df: DataFrame, target: str, date_col: str, fmt: str = "parquet",
                    drop_date: bool = False) -> bool:
     """K6/K7/K9: write rows into ``target`` partitioned by month, replacing only
-    the months present in ``df`` (idempotent re-runs). Empty input writes nothing."""
+    the months present in ``df`` (idempotent re-runs).
+
+    No emptiness probe is needed: with dynamic partition overwrite an empty
+    input replaces no partition, so the old content stays. The rows written
+    are counted by an observation on the write itself (no extra job).
+    Returns whether any row was written.
+    """
     out = with_month(df, date_col)
     if drop_date:
         out = out.drop(date_col)
-    if out.isEmpty():
-        return False
+    obs = Observation("replace_months")
+    out = out.observe(obs, F.count(F.lit(1)).alias("rows"))
     # No repartition by month: that would put a whole month into one task.
     # Each task writes the months it holds; the commit makes them visible at once.
     w = (out.write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic").partitionBy(MONTH))
     _save(w, target, fmt)
-    return True
+    return obs.get.get("rows", 0) > 0
