@@ -342,6 +342,7 @@ SELECT CAST(date_trunc('month', fecha_factura) AS DATE) AS mes,
 FROM ({_invoices(START)}) h GROUP BY 1""",
     "invoice_lines": _lines(START),
     "invoice_lines_current_month": _lines(_M0),
+    "invoice_lines_month_close": _lines(_M1, _M1_LAST),
     "backfill_by_month": f"""
 SELECT *, CAST(date_trunc('month', fecha_factura) AS DATE) AS mes
 FROM ({_invoices(BACKFILL_START, f"fecha_factura <= DATE '{_BACKFILL_LAST}'")}) h""",

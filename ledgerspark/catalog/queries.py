@@ -255,6 +255,12 @@ def q_invoice_lines_current_month(spark, d):
     return jobs.invoice_lines_plan(L.move_lines(spark, d), L.moves(spark, d), month_start(ASOF))
 
 
+def q_invoice_lines_month_close(spark, d):
+    """K7 rows: lines of last month (line date), for the line history."""
+    pm = previous_month(ASOF)
+    return jobs.invoice_lines_plan(L.move_lines(spark, d), L.moves(spark, d), pm.first, pm.last)
+
+
 def q_backfill_by_month(spark, d):
     """K9 headers: one pass with the month partition column."""
     return with_month(jobs.backfill_invoices_plan(L.moves(spark, d), ASOF, BACKFILL_START),
@@ -394,6 +400,7 @@ QUERIES: dict[str, Query] = {
     "month_guard": q_month_guard,
     "invoice_lines": q_invoice_lines,
     "invoice_lines_current_month": q_invoice_lines_current_month,
+    "invoice_lines_month_close": q_invoice_lines_month_close,
     "backfill_by_month": q_backfill_by_month,
     "backfill_lines_by_month": q_backfill_lines_by_month,
     "sheet_rows": q_sheet_rows,

@@ -73,7 +73,11 @@ def spread_small_input(df: DataFrame, min_partitions: int | None = None) -> Data
     repeat); a large input already has more splits than slots and is
     returned unchanged (no shuffle).
     """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    try:
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # no RDD view (e.g. a Spark Connect session): leave the scan as is
+        return df
+    if splits >= target:
         return df
     return df.repartition(target, F.xxhash64(*df.columns))

@@ -94,6 +94,14 @@ def test_load_skips_empty_and_keeps_old(spark, tmp_path):
     assert spark.read.parquet(target).count() == 0
 
 
+def test_load_append(spark, tmp_path):
+    target = str(tmp_path / "a")
+    df = spark.createDataFrame([(1,)], "x long")
+    load(df, target, mode="append")
+    load(df, target, mode="append")
+    assert ids(spark.read.parquet(target), "x") == [1, 1]
+
+
 def test_replace_months_only_touches_present_months(spark, tmp_path):
     target = str(tmp_path / "h")
     a = spark.createDataFrame([(1, dt.date(2024, 1, 5)), (2, dt.date(2024, 2, 5))], "x long, d date")
