@@ -8,6 +8,7 @@ parsed token several times -- a regex would run once per copy.
 
 from __future__ import annotations
 
+import functools
 from typing import Callable
 
 from pyspark.sql import Column, functions as F
@@ -48,3 +49,30 @@ def with_columns_once(df, cols: dict):
         return df
     packed = F.struct(*[c.alias(n) for n, c in cols.items()])
     return df.select("*", F.inline(F.array(packed)))
+
+
+def memo_by_name(fn):
+    """Memoise a normaliser called with a column *name*.
+
+    The normalisers are pure: the same (name, type, options) always builds
+    the same unresolved expression, and an unresolved Column can be reused in
+    any plan. Building one costs hundreds of Python -> JVM calls (the lambda
+    variables of ``let`` in particular), so repeated builds -- one job run
+    per month, several plans over one raw table -- reuse the first. Column
+    objects passed in (not names) are never cached.
+    """
+    cache: dict = {}
+
+    @functools.wraps(fn)
+    def wrapper(col, *args, **kwargs):
+        if not isinstance(col, str):
+            return fn(col, *args, **kwargs)
+        key = (col, tuple(a.simpleString() if hasattr(a, "simpleString") else a for a in args),
+               tuple(sorted((k, v.simpleString() if hasattr(v, "simpleString") else v)
+                            for k, v in kwargs.items())))
+        hit = cache.get(key)
+        if hit is None:
+            hit = cache[key] = fn(col, *args, **kwargs)
+        return hit
+
+    return wrapper

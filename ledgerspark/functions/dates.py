@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F, types as T
 
-from ledgerspark.functions.common import let, strip_ws
+from ledgerspark.functions.common import let, memo_by_name, strip_ws
 
 # ISO date text with an optional time part. Spark's cast alone would also
 # read "2024" or "2024-1" as dates; the reference rejects those.
@@ -18,6 +18,7 @@ def _c(col) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
+@memo_by_name
 def parse_timestamp(col, dtype: T.DataType = T.StringType()) -> Column:
     """Loose timestamp parse (no time zone): unparsable text -> null."""
     c = _c(col)
@@ -27,6 +28,7 @@ def parse_timestamp(col, dtype: T.DataType = T.StringType()) -> Column:
         s.rlike(ISO_DATE_TEXT), F.regexp_replace(s, "T", " ").try_cast("timestamp_ntz")))
 
 
+@memo_by_name
 def parse_date(col, dtype: T.DataType = T.StringType()) -> Column:
     """The calendar day of a loose date/datetime value; unparsable -> null."""
     c = _c(col)
@@ -35,6 +37,7 @@ def parse_date(col, dtype: T.DataType = T.StringType()) -> Column:
     return F.to_date(parse_timestamp(c, dtype))
 
 
+@memo_by_name
 def iso_datetime(col, dtype: T.DataType = T.StringType()) -> Column:
     """ISO-8601 text ``yyyy-MM-ddTHH:mm:ss[.ffffff]``; markers/unparsable -> null."""
     c = _c(col)

@@ -23,7 +23,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F, types as T
 
-from ledgerspark.functions.common import WS_CLASS, let, strip_ws
+from ledgerspark.functions.common import WS_CLASS, let, memo_by_name, strip_ws
 from ledgerspark.functions.numbers import (int_text, integral_or_null, parse_number,
                                            truncate_float_text)
 
@@ -114,6 +114,7 @@ def _json_group(c: Column, i: int) -> Column:
 
 # ---- public normalisers ------------------------------------------------------
 
+@memo_by_name
 def m2o_id(col, dtype: T.DataType = T.StringType(), allow_scalar: bool = False) -> Column:
     """X1 (``allow_scalar=False``) / X2 (``allow_scalar=True``): relation -> bigint id.
 
@@ -148,6 +149,7 @@ def m2o_id(col, dtype: T.DataType = T.StringType(), allow_scalar: bool = False)
         .otherwise(truncate_float_text(c))))
 
 
+@memo_by_name
 def m2o_name(col, dtype: T.DataType = T.StringType()) -> Column:
     """Relation -> display name ``str(second element)``, or null.
 
@@ -164,6 +166,7 @@ def m2o_name(col, dtype: T.DataType = T.StringType()) -> Column:
                lambda s: F.when(s != "", _token_text(s)))
 
 
+@memo_by_name
 def m2o_list_name(col, dtype: T.DataType = T.StringType(), none_as_text: bool = False) -> Column:
     """Name (second element) of a real list only -- a JSON list as landed.
 
@@ -182,6 +185,7 @@ def m2o_list_name(col, dtype: T.DataType = T.StringType(), none_as_text: bool =
     return let(_json_group(c, 2), lambda s: F.when(s != "", conv(s)))
 
 
+@memo_by_name
 def m2o_list_id(col, dtype: T.DataType = T.StringType()) -> Column:
     """First element of a real list as a nullable id, else null."""
     c = _c(col)
@@ -198,6 +202,7 @@ def m2o_list_id(col, dtype: T.DataType = T.StringType()) -> Column:
 EXCEPTION_MARKERS = ["false", "none", "nan"]
 
 
+@memo_by_name
 def exception_label(col, dtype: T.DataType = T.StringType()) -> Column:
     """Order exception. List -> its name (or only element); markers -> "";
     any other text kept as it is (even list-looking text)."""
@@ -256,6 +261,7 @@ def tag_names(col, tag_map: dict, dtype: T.DataType = T.StringType()) -> Column:
     return F.coalesce(F.array_join(kept, ", "), F.lit(""))
 
 
+@memo_by_name
 def m2m_names(col, dtype: T.DataType = T.StringType()) -> Column:
     """List of ``[id, name]`` pairs -> names joined by "," ; none -> null."""
     c = _c(col)
@@ -271,6 +277,7 @@ def m2m_names(col, dtype: T.DataType = T.StringType()) -> Column:
         lambda names: F.when(F.size(names) > 0, F.array_join(names, ","))))
 
 
+@memo_by_name
 def list_length(col, dtype: T.DataType = T.StringType()) -> Column:
     """Length of a real list, 0 for anything else."""
     c = _c(col)
