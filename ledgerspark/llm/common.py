@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,6 +32,23 @@ def scratch(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once a context, so that nothing has to be installed there."""
+    sc = spark.sparkContext
+    if getattr(sc, "_ledgerspark_shipped", False):
+        return
+    top = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    out = os.path.join(tempfile.mkdtemp(prefix="ledgerspark-zip-"), "ledgerspark.zip")
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, names in os.walk(top):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    z.write(path, os.path.relpath(path, os.path.dirname(top)))
+    sc.addPyFile(out)
+    sc._ledgerspark_shipped = True
+
+
 def new_path(spark: SparkSession, name: str) -> str:
     """A path in the shared folder that nothing has used."""
     return f"{scratch(spark)}/{name}-{uuid.uuid4().hex}"
@@ -58,26 +77,33 @@ def held_out(col: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(col).cast("string").cast("binary")) % 4 == 2, F.lit(True))
 
 
-#: Words of 64 bits in the id filter (2 MB whatever the input).
-FILTER_WORDS = 1 << 18
+def keyed(docs: DataFrame) -> DataFrame:
+    """``docs`` plus ``__id`` (internal id) and ``__key`` (hash of the whole text).
+
+    The pair names a text even where ids repeat: rows with equal pairs are copies.
+    """
+    ship(docs.sparkSession)
+    return docs.select("*", internal_id().alias("__id"), F.xxhash64("text").alias("__key"))
 
 
-def id_filter(ids: DataFrame, col: str) -> bytes:
-    """Bit map of hashed ids, 2 MB at any input size: no false negatives, some false positives.
+#: Longs in a bit map (2 MB whatever the input).
+BITMAP_WORDS = 1 << 18
 
-    It lets a scan drop rows that cannot join before they are shuffled. When the
-    ids outgrow it, it only filters less.
+
+def bitmap(rows: DataFrame, *cols: str) -> DataFrame:
+    """Bit map of the hashed values of ``cols``: at most 2^18 longs at any input size.
+
+    It lets a scan drop rows that cannot join before they are shuffled. It has no
+    false negatives; where the input outgrows it, it only drops less.
     """
-    h = F.pmod(F.xxhash64(F.col(col)), F.lit(FILTER_WORDS * 64))
-    rows = (
-        ids.select(h.alias("h"))
-        .groupBy((F.col("h") / 64).cast("int").alias("w"))
-        .agg(F.bit_or(F.expr("shiftleft(1L, cast(h % 64 as int))")).alias("bits"))
-        .collect()
-    )
-    import numpy as np
-
-    out = np.zeros(FILTER_WORDS, np.int64)
-    for w, bits in rows:
-        out[w] = bits
-    return out.tobytes()
+    h = F.pmod(F.xxhash64(*cols), F.lit(BITMAP_WORDS * 64))
+    bits = F.bit_or(F.expr("shiftleft(1L, cast(__h % 64 as int))"))
+    return written(rows.select(h.alias("__h")).groupBy(F.expr("cast(__h div 64 as int)").alias("__w")).agg(bits.alias("__bits")), "bitmap")
+
+
+def marked(df: DataFrame, bits: DataFrame, *cols: str) -> DataFrame:
+    """``df`` plus ``__hit``: false where the bit map rules the row out. Broadcasts the bit map (bounded)."""
+    h = F.pmod(F.xxhash64(*cols), F.lit(BITMAP_WORDS * 64))
+    df = df.withColumn("__h", h).withColumn("__w", F.expr("cast(__h div 64 as int)"))
+    hit = F.expr("coalesce((shiftright(__bits, cast(__h % 64 as int)) & 1L) = 1L, false)")
+    return df.join(F.broadcast(bits), "__w", "left").withColumn("__hit", hit).drop("__h", "__w", "__bits")
