@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from ledgerspark.llm import mixing, quality_rules
+from ledgerspark.llm import mixing, quality_rules, substring_dedup, suffix_dedup
 
 QUERIES = {
     "op2_mix_sources": mixing.query,
+    "op3_suffix_dedup": suffix_dedup.query,
     "op8_quality_rules": quality_rules.query,
+    "op9_substring_dedup": substring_dedup.query,
 }
 ORACLE_SQL = {
     "op2_mix_sources": mixing.SQL,
+    "op9_substring_dedup": substring_dedup.SQL,
 }
