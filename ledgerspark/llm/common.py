@@ -107,3 +107,14 @@ def marked(df: DataFrame, bits: DataFrame, *cols: str) -> DataFrame:
     df = df.withColumn("__h", h).withColumn("__w", F.expr("cast(__h div 64 as int)"))
     hit = F.expr("coalesce((shiftright(__bits, cast(__h % 64 as int)) & 1L) = 1L, false)")
     return df.join(F.broadcast(bits), "__w", "left").withColumn("__hit", hit).drop("__h", "__w", "__bits")
+
+
+def bounded_sample(rows: DataFrame, most: int, col: str = "doc_id") -> DataFrame:
+    """At most ``most`` rows, those with the least hash of ``col``: the same at every layout."""
+    return rows.orderBy(F.xxhash64(col), col).limit(most)
+
+
+def training_labels(labels: DataFrame, target: str) -> DataFrame:
+    """doc_id and 0/1 ``target`` of the rows that may be learnt from: not held out, one per id (the larger label)."""
+    rows = labels.where(~held_out("doc_id") & F.col(target).isNotNull())
+    return rows.groupBy("doc_id").agg(F.max(F.col(target).cast("int")).alias(target))

@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
-from ledgerspark.llm import mixing, quality_rules, substring_dedup, suffix_dedup
+from ledgerspark.llm import mixing, near_dedup, quality_model, quality_rules, substring_dedup, suffix_dedup, toxicity
 
 QUERIES = {
+    "op1_quality_model": quality_model.query,
     "op2_mix_sources": mixing.query,
     "op3_suffix_dedup": suffix_dedup.query,
+    "op4_near_dedup": near_dedup.query,
+    "op5_toxicity": toxicity.query,
     "op8_quality_rules": quality_rules.query,
     "op9_substring_dedup": substring_dedup.query,
 }
 ORACLE_SQL = {
     "op2_mix_sources": mixing.SQL,
+    "op4_near_dedup": near_dedup.SQL,
     "op9_substring_dedup": substring_dedup.SQL,
 }
