@@ -18,6 +18,11 @@ _SPACE = np.zeros(256, bool)
 _SPACE[[32, 9, 10, 11, 12, 13]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
+#: Letters lower-cased, bytes of other scripts kept, everything else a space.
+_LETTERS = np.full(256, 32, np.uint8)
+_LETTERS[97:123] = np.arange(97, 123)
+_LETTERS[65:91] = np.arange(97, 123)
+_LETTERS[128:] = np.arange(128, 256)
 U = np.uint64
 _BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)  # odd, hence invertible modulo 2^64
 _tables: dict[int, tuple[np.ndarray, np.ndarray]] = {}
@@ -119,6 +124,10 @@ class Block:
         """Lower-case A to Z."""
         self.bytes = _LOWER[self.bytes]
 
+    def letters(self) -> None:
+        """Lower-case A to Z and make words of letters only."""
+        self.bytes = _LETTERS[self.bytes]
+
     def words(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """First byte and end of every word, and where each text's words begin and end."""
         space, n = _SPACE[self.bytes], len(self.bytes)

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from ledgerspark.llm import mixing, near_dedup, quality_model, quality_rules, substring_dedup, suffix_dedup, toxicity
+from ledgerspark.llm import (imatch, mixing, near_dedup, quality_model, quality_rules, substring_dedup, suffix_dedup, tokenise,
+                             toxicity, warc)
 
 QUERIES = {
     "op1_quality_model": quality_model.query,
@@ -10,11 +11,15 @@ QUERIES = {
     "op3_suffix_dedup": suffix_dedup.query,
     "op4_near_dedup": near_dedup.query,
     "op5_toxicity": toxicity.query,
+    "op6_imatch": imatch.query,
+    "op7_warc": warc.query,
     "op8_quality_rules": quality_rules.query,
     "op9_substring_dedup": substring_dedup.query,
+    "op10_sentencepiece": tokenise.query,
 }
 ORACLE_SQL = {
     "op2_mix_sources": mixing.SQL,
     "op4_near_dedup": near_dedup.SQL,
+    "op7_warc": warc.SQL,
     "op9_substring_dedup": substring_dedup.SQL,
 }

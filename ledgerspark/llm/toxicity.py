@@ -39,16 +39,11 @@ from ledgerspark.llm.common import bounded_sample, held_out, ship, training_labe
 PREFIX = 8
 MAX_POSITIVE, MAX_UNLABELLED, MAX_FEATURES = 4000, 12000, 2000
 LEAST_G = 15
-#: Bytes of words: letters are lower-cased, bytes of other scripts kept, all else parts words.
-_WORDS = np.full(256, 32, np.uint8)
-_WORDS[97:123] = np.arange(97, 123)
-_WORDS[65:91] = np.arange(97, 123)
-_WORDS[128:] = np.arange(128, 256)
 
 
 def features(b: Block) -> tuple[np.ndarray, np.ndarray]:
     """(text, feature) of every word of a block and of its prefix; not distinct."""
-    b.bytes = _WORDS[b.bytes]
+    b.letters()
     start, end, offsets = b.words()
     roll = Rolling(b.bytes.astype(U) + U(1))
     text = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
