@@ -71,16 +71,12 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, budget_x: float = 1.5, max
     return t.select("no_source", "src", "source_size", F.coalesce(share, F.col("cap").cast("double")).alias("target"))
 
 
-def mix(docs: DataFrame, weights=WEIGHTS, budget_x: float = 1.5, max_repeats: int = 2) -> DataFrame:
-    """Documents with the words that the mix takes from them.
-
-    ``docs`` needs doc_id, text and source. Returns doc_id, size, source_size,
-    target (of the source), taken (size times the rounds that take the document).
-    """
-    spark = docs.sparkSession
+def _mixed(docs: DataFrame, weights, budget_x: float, max_repeats: int) -> DataFrame:
+    """doc_id, key (hash of the text), no_source, src, size, source_size, target and taken of every row."""
     light = written(
         docs.select(
             "doc_id",
+            F.xxhash64("text").alias("key"),
             F.col("source").isNull().alias("no_source"),
             F.coalesce("source", F.lit("")).alias("src"),
             word_count(F.col("text")).alias("size"),
@@ -93,11 +89,11 @@ def mix(docs: DataFrame, weights=WEIGHTS, budget_x: float = 1.5, max_repeats: in
     offset = F.sum("slice_size").over(Window.partitionBy(*key).orderBy("slice").rowsBetween(Window.unboundedPreceding, -1))
     targets = source_targets(slices.groupBy(*key).agg(F.sum("slice_size").alias("source_size")), weights, budget_x, max_repeats)
     slices = slices.select(*key, "slice", F.coalesce(offset, F.lit(0)).alias("before")).join(targets, key)
-    inside = Window.partitionBy(*key, "slice").orderBy("h", "doc_id", "size").rowsBetween(Window.unboundedPreceding, 0)
+    inside = Window.partitionBy(*key, "slice").orderBy("h", "doc_id", "size", "key").rowsBetween(Window.unboundedPreceding, 0)
     served = light.join(slices, [*key, "slice"]).withColumn("served", F.col("before") + F.sum("size").over(inside))
-    finish = lambda k: ((F.col("served") + k * F.col("source_size")).cast("double") / F.col("target")).alias(f"finish{k}")
+    finish = lambda k: (F.col("served") + k * F.col("source_size")).cast("double") / F.col("target")
     queued = written(
-        served.select("doc_id", "no_source", "src", "h", "size", "source_size", "target",
+        served.select("doc_id", "key", *key, "size", "source_size", "target",
                       *[F.when(F.col("size") > 0, finish(k)).alias(f"finish{k}") for k in range(max_repeats)]),
         "mix-queues",
     )
@@ -107,7 +103,36 @@ def mix(docs: DataFrame, weights=WEIGHTS, budget_x: float = 1.5, max_repeats: in
     cut = _cut(rounds, int(total * budget_x))
     taken = sum((F.when((F.col("size") > 0) & _up_to(F.col(f"finish{k}"), cut), F.col("size")).otherwise(0)
                  for k in range(max_repeats)), F.lit(0).cast("long"))
-    return queued.select("doc_id", "size", "source_size", "target", taken.alias("taken"))
+    return queued.select("doc_id", "key", *key, "size", "source_size", "target", taken.alias("taken"))
+
+
+def mix(docs: DataFrame, weights=WEIGHTS, budget_x: float = 1.5, max_repeats: int = 2) -> DataFrame:
+    """Documents with the words that the mix takes from them.
+
+    ``docs`` needs doc_id, text and source. Returns doc_id, size, source_size,
+    target (of the source), taken (size times the rounds that take the document).
+    """
+    return _mixed(docs, weights, budget_x, max_repeats).select("doc_id", "size", "source_size", "target", "taken")
+
+
+def mixed_documents(docs: DataFrame, weights=WEIGHTS, budget_x: float = 1.5, max_repeats: int = 2) -> DataFrame:
+    """The mix itself: every document as often as it is taken, all columns kept.
+
+    Rows equal in id, text and source are interchangeable: their repeats carry the columns of one of them.
+    """
+    taken = _mixed(docs, weights, budget_x, max_repeats).where("taken > 0")
+    taken = taken.groupBy(F.col("doc_id").alias("__d"), F.col("key").alias("__k"), F.col("no_source").alias("__n"),
+                          F.col("src").alias("__s")).agg(F.sum(F.col("taken") / F.col("size")).cast("int").alias("__times"))
+    keys = ["__k", "__n", "__s"]
+    rows = docs.withColumns({"__d": F.col("doc_id"), "__k": F.xxhash64("text"), "__n": F.col("source").isNull(),
+                             "__s": F.coalesce("source", F.lit(""))})
+    taken = written(taken, "mix-taken").withColumnRenamed("__d", "__e")
+    on = F.col("__d").eqNullSafe(F.col("__e"))
+    for k in keys:
+        on = on & (rows[k] == taken[k])
+    both = rows.join(taken, on).drop(*[taken[k] for k in keys], "__e").dropDuplicates(["__d", *keys])
+    own = [F.col(f"`{c}`") for c in docs.columns]
+    return both.select(*own, F.explode(F.sequence(F.lit(1), "__times")).alias("__round")).drop("__round")
 
 
 def _up_to(finish: Column, cut: tuple | None) -> Column:

@@ -28,8 +28,8 @@ exchanges on both sides, which Spark splits when a bucket or hub is hot.
 
 Defined cases: null, empty or wordless texts have n_shingles 0, are linked with
 nothing and kept; a text with fewer than ``size`` words has its whole sequence as
-one shingle; an id names a document, so rows that share an id (also null, which
-sorts last) share a component when they are linked with anything; an empty table
+one shingle; an id names a document, so rows that share an id share a component;
+rows without id are linked with nothing and kept (component null); an empty table
 gives an empty result. Other columns are not read.
 """
 
@@ -41,11 +41,11 @@ from math import ceil, floor
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerspark.llm.blocks import Block, U, blocks, mix
-from ledgerspark.llm.common import bitmap, external_id, keyed, marked, written
+from ledgerspark.llm.common import NO_ID, bitmap, external_id, internal_id, keyed, marked, written
 from ledgerspark.llm.components import components
 from ledgerspark.llm.minhash import shingles, superminhash
 
@@ -175,17 +175,34 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, bands: in
     docs = keyed(docs.select("doc_id", "text"))
     signed = written(docs.select("__id", "__key", "text").mapInArrow(
         _sign(size, bands, rows), "__id long, __key long, n_shingles long, s1 long, s2 long, bands array<long>"), "near-signed")
-    some = signed.where("n_shingles > 0")
+    some = signed.where((F.col("n_shingles") > 0) & (F.col("__id") != NO_ID))
     found = components(links(some, docs, size, percent))
     classes = some.groupBy("s1", "s2").agg(F.min("__id").alias("node")).join(found, "node", "left")
     classes = written(classes.select("s1", "s2", F.coalesce("component", "node").alias("component")), "near-components")
     out = some.select("__id", "n_shingles", "s1", "s2").join(classes, ["s1", "s2"]).select("__id", "n_shingles", "component")
-    none = signed.where("n_shingles = 0").select("__id", "n_shingles", F.col("__id").alias("component"))
+    none = signed.where((F.col("n_shingles") == 0) | (F.col("__id") == NO_ID)).select("__id", "n_shingles", F.col("__id").alias("component"))
     return out.unionByName(none).select(
         external_id(F.col("__id")).alias("doc_id"), "n_shingles", external_id(F.col("component")).alias("component_id"),
         (F.col("__id") == F.col("component")).alias("kept"))
 
 
+def one_of_each(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
+    """``docs`` with one document of every component, all columns kept.
+
+    Of rows that share the id of a kept document the one with the least text hash stays; rows without id all stay.
+    """
+    found = written(near_duplicates(docs, size, percent).where("doc_id is not null"), "near-found")
+    gone = found.where("not kept").select("doc_id").unionByName(
+        found.groupBy("doc_id").count().where("count > 1").select("doc_id"))
+    rows = marked(docs.withColumn("__id", internal_id()), bitmap(gone.withColumnRenamed("doc_id", "__id"), "__id"), "__id")
+    own = [F.col(f"`{c}`") for c in docs.columns]
+    whole = rows.where("not __hit or doc_id is null").select(*own)
+    kept = found.where("kept").select(F.col("doc_id").alias("__kept")).distinct()
+    some = rows.where("__hit and doc_id is not null").join(kept, F.col("doc_id") == F.col("__kept"))
+    place = F.row_number().over(Window.partitionBy("__kept").orderBy(F.xxhash64("text"), F.col("text")))
+    return whole.unionByName(some.withColumn("__place", place).where("__place = 1").select(*own))
+
+
 def query(spark, sf_dir: str) -> DataFrame:
     """op4: components of all documents on 2-word shingles at a similarity of 0.8."""
     return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"), size=2)

@@ -134,7 +134,7 @@ def fit(docs: DataFrame, labels: DataFrame, target: str = "toxic") -> Model | No
     unlabelled = bounded_sample(docs.select("doc_id").where(~held_out("doc_id")).distinct(), MAX_UNLABELLED)
     ids = confirmed.withColumn("positive", F.lit(True)).unionByName(unlabelled.withColumn("positive", F.lit(False)))
     texts = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id")
-    rows = texts.mapInArrow(_collect_features, "doc_id long, positive boolean, f array<int>").toArrow()
+    rows = texts.mapInArrow(_collect_features, "doc_id long, positive boolean, f array<bigint>").toArrow()
     rows = rows.sort_by([("doc_id", "ascending"), ("positive", "ascending")])
     positive = rows.column("positive").to_numpy()
     if not positive.any() or positive.all():
