@@ -2,19 +2,14 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
+from pyspark.sql import SparkSession
 
-from pyspark.sql import DataFrame, SparkSession
-
-# Settings every job relies on: UTC, AQE with skew-join splitting, and
-# partition-wise overwrite so month partitions can be rewritten idempotently.
+# Settings every job relies on: UTC and AQE with skew-join splitting.
 DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
@@ -45,24 +40,13 @@ def get_spark(master: str | None = None, app: str = "ledgerspark",
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    The cluster's setting always wins. Only when it is unset (local runs,
-    tests) a fresh folder under the local temp dir is created and registered.
+    Progress and checkpoints must outlive the driver's machine, so an unset
+    folder is an error; tests set their own.
     """
     sc = spark.sparkContext
-    current = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
-    if not current:
-        current = tempfile.mkdtemp(prefix="ledgerspark-ckpt-")
+    current = sc.getConf().get("spark.checkpoint.dir", None)
+    if not current and not sc.getCheckpointDir():
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(current)
-    return sc.getCheckpointDir() or current
-
-
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared folder (never a local checkpoint)."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
-def env_master(default: str = "local[8]") -> str:
-    cpus = os.environ.get("BENCH_CPUS")
-    return f"local[{cpus}]" if cpus else default
+    return current or sc.getCheckpointDir()

@@ -7,25 +7,44 @@ funnelled through one task or the driver.
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from ledgerspark.functions.dates import day_text
+from ledgerspark.sinks.tables import staged_write
 
-# Fixed value: the sheet range is columns A:Z.
-SHEET_COLUMNS = 26
+
+def number_text(c):
+    """A number as plain decimal text: no exponent, no trailing zeros, one decimal at least.
+
+    The shortest text that reads back as the number is rewritten digit by digit,
+    so nothing is rounded; infinities keep their names.
+    """
+    t = c.cast("string")
+    body = F.regexp_replace(t, r"^-|E.*$", "")
+    whole, frac = F.substring_index(body, ".", 1), F.element_at(F.split(body, r"\."), 2)
+    power = F.regexp_extract(t, r"E(-?\d+)$", 1).cast("int")
+    digits = F.concat(whole, frac)
+    up = F.concat(F.rpad(digits, F.greatest(power + 1, F.length(digits)), "0"))
+    place = F.length(whole) + power
+    big = F.concat(F.substring(up, F.lit(1), place), F.lit("."), F.coalesce(
+        F.nullif(F.regexp_replace(F.substring(up, place + 1, F.length(up)), "0+$", ""), F.lit("")), F.lit("0")))
+    small = F.concat(F.lit("0."), F.repeat(F.lit("0"), -power - 1), F.regexp_replace(digits, "0+$", ""))
+    sign = F.when(t.startswith("-"), F.lit("-")).otherwise(F.lit(""))
+    return F.when(t.contains("E"), F.concat(sign, F.when(power >= 0, big).otherwise(small))).otherwise(t)
+
+
+def _cell(c, dtype: T.DataType):
+    """The value as text: numbers in plain decimals, NaN and null as null."""
+    if isinstance(dtype, (T.FloatType, T.DoubleType)):
+        return F.when(~F.isnan(c), number_text(c))
+    return c.cast("string")
 
 
 def sheet_cell(col: str, dtype: T.DataType):
     """X14 for one column: dates -> yyyy-MM-dd, NaN/null -> "", others as text."""
     c = F.col(col)
-    if isinstance(dtype, (T.DateType, T.TimestampType, T.TimestampNTZType)):
-        text = day_text(c)
-    elif isinstance(dtype, (T.FloatType, T.DoubleType)):
-        text = F.when(~F.isnan(c), c.cast("string"))
-    else:
-        text = c.cast("string")
-    return F.coalesce(text, F.lit("")).alias(col)
+    dates = isinstance(dtype, (T.DateType, T.TimestampType, T.TimestampNTZType))
+    return F.coalesce(day_text(c) if dates else _cell(c, dtype), F.lit("")).alias(col)
 
 
 def sheet_rows(df: DataFrame) -> DataFrame:
@@ -35,7 +54,7 @@ def sheet_rows(df: DataFrame) -> DataFrame:
 
 def raw_rows(df: DataFrame) -> DataFrame:
     """K5 cells: values as text with nulls -> "" (no date formatting)."""
-    return df.select(*[F.coalesce(F.col(f.name).cast("string"), F.lit("")).alias(f.name)
+    return df.select(*[F.coalesce(_cell(F.col(f.name), f.dataType), F.lit("")).alias(f.name)
                        for f in df.schema.fields])
 
 
@@ -43,16 +62,8 @@ def upload_sheet(df: DataFrame, path: str, skip_if_empty: bool = True,
                  formatted: bool = True) -> bool:
     """K4 (``formatted``) / K5: replace the tab's content with ``df`` as CSV.
 
-    An empty frame is skipped and the previous content stays; the cells are
-    persisted so the emptiness probe and the write share one computation.
+    The tab is staged and switched like a truncate load: an empty or failed
+    upload leaves the previous content.
     """
-    if len(df.columns) > SHEET_COLUMNS:
-        raise ValueError(f"a sheet tab holds at most {SHEET_COLUMNS} columns (A:Z)")
-    rows = (sheet_rows(df) if formatted else raw_rows(df)).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        if skip_if_empty and rows.isEmpty():
-            return False
-        rows.write.mode("overwrite").option("header", True).csv(path)
-        return True
-    finally:
-        rows.unpersist()
+    rows = sheet_rows(df) if formatted else raw_rows(df)
+    return staged_write(rows, path, lambda d, place: d.write.option("header", True).csv(place), skip_if_empty)

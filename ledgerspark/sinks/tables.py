@@ -1,19 +1,24 @@
 """Table loads (K1-K3) and the period load policies (K6-K9).
 
-Targets are parquet folders (or catalog tables). Writes go through Spark's
-file commit protocol, so a lost executor only re-runs its tasks and a failed
-job leaves the previous content in place.
-
-History tables are partitioned by ``mes`` (first day of the month) and
-written with *dynamic partition overwrite*: a month is replaced as a whole,
-so re-running a month close or a backfill never duplicates rows (the
-reference's day-1 existence probe could, see SURVEY D1).
+Targets are parquet folders (or catalog tables).
+
+* A truncate load is *staged*: the rows are written beside the target, counted
+  by an observation on that write, and the target is switched to them by
+  renames only when the write succeeded and there is something to load. A
+  failed or empty load leaves the previous content untouched.
+* Appends and month replacements go through Spark's file commit protocol.
+  History tables are partitioned by ``mes`` (first day of the month) and
+  replaced month by month (dynamic partition overwrite), so re-running a month
+  close or a backfill never duplicates rows (the reference's day-1 existence
+  probe could, see SURVEY D1). The overwrite mode is set per write.
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Observation, functions as F, types as T
+import uuid
+from contextlib import contextmanager
+
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
 from ledgerspark.functions.dates import month_of
 
@@ -28,43 +33,120 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
-def _writer(df: DataFrame, mode: str, partition_by=None):
-    w = df.write.mode(mode)
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    return w
+def _is_path(target: str) -> bool:
+    return "/" in target or ":" in target
 
 
-def _save(w, target: str, fmt: str) -> None:
-    if "/" in target or ":" in target:
-        w.format(fmt).save(target)
-    else:
-        w.format(fmt).saveAsTable(target)
+@contextmanager
+def _overwrite_mode(spark: SparkSession, mode: str):
+    """The session's partition overwrite mode for the writes inside."""
+    key = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(key)
+    spark.conf.set(key, mode)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
+def _hadoop(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def _switch_folder(spark: SparkSession, staged: str, target: str) -> None:
+    """Rename ``staged`` to ``target``; the old folder goes only when the new one stands."""
+    fs, new = _hadoop(spark, staged)
+    _, place = _hadoop(spark, target)
+    _, old = _hadoop(spark, f"{target.rstrip('/')}.__old-{uuid.uuid4().hex}")
+    had = fs.exists(place)
+    if had and not fs.rename(place, old):
+        raise OSError(f"cannot move {target} aside")
+    if not fs.rename(new, place):
+        if had:
+            fs.rename(old, place)
+        raise OSError(f"cannot switch {target} to the staged rows")
+    if had:
+        fs.delete(old, True)
+
+
+def _switch_table(spark: SparkSession, staged: str, target: str) -> None:
+    """The same for catalog tables."""
+    old = f"{target}__old_{uuid.uuid4().hex}"
+    had = spark.catalog.tableExists(target)
+    if had:
+        spark.sql(f"ALTER TABLE {target} RENAME TO {old}")
+    try:
+        spark.sql(f"ALTER TABLE {staged} RENAME TO {target}")
+    except Exception:
+        if had:
+            spark.sql(f"ALTER TABLE {old} RENAME TO {target}")
+        raise
+    _follow_rename(spark, target)
+    if had:
+        spark.sql(f"DROP TABLE {old}")
+
+
+def _follow_rename(spark: SparkSession, table: str) -> None:
+    """Point the partitions of a renamed table into its folder (not every catalog does that itself)."""
+    info = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()}
+    if "# Partition Information" not in info:
+        return
+    for row in spark.sql(f"SHOW PARTITIONS {table}").collect():
+        spec = ", ".join("{}='{}'".format(*part.split("=", 1)) for part in row[0].split("/"))
+        spark.sql(f"ALTER TABLE {table} PARTITION ({spec}) SET LOCATION '{info['Location'].rstrip('/')}/{row[0]}'")
+
+
+def staged_write(df: DataFrame, target: str, write, skip_if_empty: bool = True) -> bool:
+    """Write ``df`` beside ``target`` with ``write(df, place)`` and switch on success.
+
+    Rows are counted on the write itself, so the plan runs once. Returns whether
+    the target was switched.
+    """
+    spark = df.sparkSession
+    seen = Observation(f"load-{uuid.uuid4().hex}")
+    df = df.observe(seen, F.count(F.lit(1)).alias("rows"))
+    path = _is_path(target)
+    staged = f"{target.rstrip('/')}.__new-{uuid.uuid4().hex}" if path else f"{target}__new_{uuid.uuid4().hex}"
+    done = False
+    try:
+        with _overwrite_mode(spark, "static"):
+            write(df, staged)
+        if skip_if_empty and not seen.get.get("rows", 0):
+            return False
+        (_switch_folder if path else _switch_table)(spark, staged, target)
+        done = True
+        return True
+    finally:
+        if not done:
+            if path:
+                fs, p = _hadoop(spark, staged)
+                fs.delete(p, True)
+            else:
+                spark.sql(f"DROP TABLE IF EXISTS {staged}")
 
 
 def load(df: DataFrame, target: str, mode: str = "overwrite", schema: T.StructType | None = None,
          skip_if_empty: bool = True, partition_by=None, fmt: str = "parquet") -> bool:
-    """K1/K2: truncate-and-load (``overwrite``) or ``append``.
+    """K1/K2: truncate-and-load (``overwrite``, staged) or ``append``.
 
-    With ``skip_if_empty`` an empty result writes nothing and the old content
-    stays (the reference's behaviour). The result is persisted for the
-    emptiness probe and the write, so the plan (and its shuffles) runs once;
-    a lost cached block is recomputed from lineage. Returns whether a write
-    happened.
+    With ``skip_if_empty`` an empty result changes nothing (the reference's
+    behaviour). Returns whether the target was written.
     """
     if schema is not None:
         df = conform(df, schema)
-    if not skip_if_empty:
-        _save(_writer(df, mode, partition_by), target, fmt)
-        return True
-    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        if cached.isEmpty():
-            return False
-        _save(_writer(cached, mode, partition_by), target, fmt)
-        return True
-    finally:
-        cached.unpersist()
+
+    def write(rows: DataFrame, place: str) -> None:
+        w = rows.write.mode(mode).format(fmt)
+        if partition_by:
+            w = w.partitionBy(*partition_by)
+        w.save(place) if _is_path(place) else w.saveAsTable(place)
+
+    if mode == "overwrite":
+        return staged_write(df, target, write, skip_if_empty)
+    seen = Observation(f"load-{uuid.uuid4().hex}")
+    write(df.observe(seen, F.count(F.lit(1)).alias("rows")), target)  # no rows append nothing
+    return not skip_if_empty or seen.get.get("rows", 0) > 0
 
 
 def with_month(df: DataFrame, date_col: str) -> DataFrame:
@@ -76,19 +158,25 @@ def replace_months(df: DataFrame, target: str, date_col: str, fmt: str = "parque
     """K6/K7/K9: write rows into ``target`` partitioned by month, replacing only
     the months present in ``df`` (idempotent re-runs).
 
-    No emptiness probe is needed: with dynamic partition overwrite an empty
-    input replaces no partition, so the old content stays. The rows written
-    are counted by an observation on the write itself (no extra job).
-    Returns whether any row was written.
+    With dynamic partition overwrite an empty input replaces no partition, so the
+    old content stays; a catalog table that exists is inserted into, never
+    replaced. The rows written are counted by an observation on the write itself
+    (no extra job). Returns whether any row was written.
     """
     out = with_month(df, date_col)
     if drop_date:
         out = out.drop(date_col)
-    obs = Observation("replace_months")
-    out = out.observe(obs, F.count(F.lit(1)).alias("rows"))
+    spark = out.sparkSession
+    obs = Observation(f"months-{uuid.uuid4().hex}")
     # No repartition by month: that would put a whole month into one task.
     # Each task writes the months it holds; the commit makes them visible at once.
-    w = (out.write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy(MONTH))
-    _save(w, target, fmt)
+    with _overwrite_mode(spark, "dynamic"):
+        if not _is_path(target) and spark.catalog.tableExists(target):
+            out = out.select(*spark.table(target).columns)
+            out = out.observe(obs, F.count(F.lit(1)).alias("rows"))
+            out.write.mode("overwrite").insertInto(target)
+        else:
+            out = out.observe(obs, F.count(F.lit(1)).alias("rows"))
+            w = out.write.mode("overwrite").format(fmt).partitionBy(MONTH)
+            w.save(target) if _is_path(target) else w.saveAsTable(target)
     return obs.get.get("rows", 0) > 0

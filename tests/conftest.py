@@ -9,10 +9,10 @@ sys.path.insert(0, ROOT)
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
-    from ledgerspark.session import checkpoint_dir, get_spark
+    from ledgerspark.session import get_spark
     s = get_spark("local[2]", app="ledgerspark-tests", shuffle_partitions=4,
-                  extra={"spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("wh"))})
-    checkpoint_dir(s)
+                  extra={"spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("wh")),
+                         "spark.checkpoint.dir": str(tmp_path_factory.mktemp("ckpt"))})
     yield s
     s.stop()
 
