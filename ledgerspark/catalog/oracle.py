@@ -23,7 +23,18 @@ DBL0 = "CAST(0 AS DOUBLE)"
 
 # ----------------------------------------------------------------- invoices
 
-def _invoices(start: str, where: str = "TRUE") -> str:
+_FIRST_OF_ID = """SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY id_factura ORDER BY k) AS rn FROM src)
+  WHERE rn = 1"""
+
+#: The backfill's month loop: for each month, everything from its first day on, the first row of an id, stored
+#: if it is of the month.
+_FIRST_OF_MONTHS = """SELECT * EXCLUDE (rn, m) FROM (
+    SELECT src.*, m, row_number() OVER (PARTITION BY m, id_factura ORDER BY k) AS rn
+    FROM (SELECT DISTINCT date_trunc('month', d) AS m FROM src) AS months JOIN src ON src.d >= m)
+  WHERE rn = 1 AND date_trunc('month', d) = m"""
+
+
+def _invoices(start: str, where: str = "TRUE", firsts: str = _FIRST_OF_ID) -> str:
     """Posted invoice headers (T4) from ``start``; ``where`` filters the result."""
     return f"""
 WITH mv AS (
@@ -37,8 +48,7 @@ src AS (
   WHERE move_type IN ('out_invoice', 'out_refund') AND o_orderstatus = 'F'
     AND d >= DATE '{start}' AND k % 10 <> 7),
 firsts AS (
-  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY id_factura ORDER BY k) AS rn FROM src)
-  WHERE rn = 1),
+  {firsts}),
 inv AS (
   SELECT id_factura,
          'INV/' || k AS numero_factura,
@@ -72,6 +82,11 @@ def _sheet_cells(cols: list[str], dates=(), doubles=()) -> str:
     for c in cols:
         if c in dates:
             out.append(f"COALESCE(strftime({c}, '%Y-%m-%d'), '') AS {c}")
+        elif c in doubles:  # plain decimals: from the 17 digits that DuckDB prints, without an exponent
+            out.append(f"COALESCE(CASE WHEN contains(CAST({c} AS VARCHAR), 'e') THEN "
+                       f"CASE WHEN abs({c}) >= 1 THEN CAST(CAST({c} AS DECIMAL(38, 0)) AS VARCHAR) || '.0' "
+                       f"ELSE rtrim(CAST(CAST({c} AS DECIMAL(38, 20)) AS VARCHAR), '0') END "
+                       f"ELSE CAST({c} AS VARCHAR) END, '') AS {c}")
         else:
             out.append(f"COALESCE(CAST({c} AS VARCHAR), '') AS {c}")
     return ", ".join(out)
@@ -256,7 +271,7 @@ ORACLE_SQL: dict[str, str] = {
     # ---- scalar normalisers
     "m2o_id": """
 SELECT o_orderkey AS id,
-       CASE o_orderkey % 8 WHEN 2 THEN NULL WHEN 7 THEN NULL ELSE o_custkey END AS id_cliente
+       CASE o_orderkey % 10 WHEN 2 THEN NULL WHEN 7 THEN NULL ELSE o_custkey END AS id_cliente
 FROM orders""",
     "m2o_id_scalar": """
 SELECT o_orderkey AS id,
@@ -265,19 +280,21 @@ SELECT o_orderkey AS id,
 FROM orders""",
     "m2o_name": """
 SELECT o_orderkey AS id,
-       CASE o_orderkey % 8 WHEN 0 THEN o_orderpriority WHEN 1 THEN o_orderpriority
+       CASE o_orderkey % 9 WHEN 0 THEN o_orderpriority WHEN 1 THEN o_orderpriority WHEN 8 THEN o_orderpriority
             WHEN 5 THEN 'None' WHEN 6 THEN 'None' ELSE NULL END AS nombre
 FROM orders""",
     "m2m_names": """
 SELECT p_partkey AS id,
-       CASE p_partkey % 4 WHEN 0 THEN p_brand || ',' || p_type WHEN 1 THEN p_brand ELSE NULL END
-         AS nombres
+       CASE p_partkey % 6 WHEN 0 THEN p_brand || ',' || p_type WHEN 1 THEN p_brand WHEN 4 THEN p_brand
+            WHEN 5 THEN p_brand || ',None' ELSE NULL END AS nombres
 FROM part""",
     "tag_map": """
+WITH nation2 AS (
+  SELECT n_nationkey, CASE WHEN n_nationkey = 3 THEN greatest(n_name, 'AAA') ELSE n_name END AS n_name FROM nation)
 SELECT c_custkey AS id, concat_ws(', ', n1.n_name, n2.n_name) AS etiquetas
 FROM customer c
-LEFT JOIN nation n1 ON n1.n_nationkey = c.c_nationkey
-LEFT JOIN nation n2 ON n2.n_nationkey = c.c_nationkey + 20
+LEFT JOIN nation2 n1 ON n1.n_nationkey = c.c_nationkey
+LEFT JOIN nation2 n2 ON n2.n_nationkey = c.c_nationkey + 20
 WHERE c_custkey % 31 <> 0""",
     "exception_label": """
 SELECT o_orderkey AS id,
@@ -345,7 +362,7 @@ FROM ({_invoices(START)}) h GROUP BY 1""",
     "invoice_lines_month_close": _lines(_M1, _M1_LAST),
     "backfill_by_month": f"""
 SELECT *, CAST(date_trunc('month', fecha_factura) AS DATE) AS mes
-FROM ({_invoices(BACKFILL_START, f"fecha_factura <= DATE '{_BACKFILL_LAST}'")}) h""",
+FROM ({_invoices(BACKFILL_START, f"fecha_factura <= DATE '{_BACKFILL_LAST}'", _FIRST_OF_MONTHS)}) h""",
     "backfill_lines_by_month": _lines(BACKFILL_START, _BACKFILL_LAST, with_month=True),
     "sheet_rows": f"""
 SELECT {_sheet_cells(_INV_COLS, dates=("fecha_factura", "fecha_vencimiento"))}
@@ -364,6 +381,43 @@ SELECT count(*) FILTER (WHERE {_DISCARDED}) AS descartados_facturados,
        count(*) FILTER (WHERE {_CARRY}) AS cargados,
        count(*) AS leidos
 FROM ({_ORDERS}) o""",
+    "orders_members": f"""
+SELECT * FROM ({_ORDERS}) o
+WHERE id_vendedor IN (SELECT n_nationkey FROM nation WHERE n_regionkey <= 2)
+  AND id_cliente IN (SELECT s_suppkey FROM supplier)""",
+    "orders_missing_columns": f"SELECT * EXCLUDE (comentarios, impuestos) FROM ({_ORDERS}) o",
+    "invoice_lines_price_total": f"SELECT * REPLACE (total * CAST(2 AS DOUBLE) AS total) FROM ({_lines(START)}) l",
+    "tax_array_profile_all": f"""
+SELECT l_partkey % 3 AS n_taxes, count(*) AS count
+FROM lineitem
+WHERE (l_orderkey + l_linenumber) % 19 <> 0 AND CAST(l_shipdate AS DATE) >= DATE '{START}'
+  AND l_orderkey // 2 IN ({_HEADERS})
+GROUP BY 1""",
+    # ---- written tables, read back
+    "landed_json": f"""
+SELECT o_orderkey AS id_pedido,
+       CASE WHEN o_orderkey % 5 = 0 THEN '' ELSE 'SO' || o_orderkey END AS referencia_pedido,
+       CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE CAST(o_orderdate AS DATE) END AS fecha_creacion,
+       CASE WHEN o_orderkey % 3 = 0 THEN {DBL0} ELSE o_totalprice END AS total,
+       CASE WHEN o_orderkey % 4 = 0 THEN NULL ELSE o_custkey END AS id_cliente,
+       CAST(NULL AS BIGINT) AS id_vendedor
+FROM orders""",
+    "truncate_load": f"SELECT * FROM ({_ORDERS}) o WHERE id_vendedor < 5",
+    "append_load": f"SELECT * FROM ({_ORDERS}) o WHERE id_vendedor < 5 OR id_vendedor >= 7",
+    "schema_load": _PRODUCTS,
+    "history_load": f"""
+SELECT *, CAST(date_trunc('month', fecha_factura) AS DATE) AS mes
+FROM ({_invoices(BACKFILL_START, f"fecha_factura < DATE '{_M1}'", _FIRST_OF_MONTHS)}) h
+UNION ALL
+SELECT *, CAST(date_trunc('month', fecha_factura) AS DATE) AS mes
+FROM ({_invoices(_M1, f"fecha_factura <= DATE '{_M1_LAST}'")}) c""",
+    "line_history_load": _lines(BACKFILL_START, _BACKFILL_LAST, with_month=True),
+    "sheet_upload": """
+SELECT CAST(o_orderkey AS VARCHAR) AS id, strftime(o_orderdate, '%Y-%m-%d') AS fecha,
+       CAST(CAST(round(o_totalprice) AS BIGINT) * 1000 AS VARCHAR) || '.0' AS grande,
+       CASE WHEN o_orderkey % 10 = 0 THEN '0.0'
+            ELSE '-' || rtrim(CAST(CAST((o_orderkey % 10) / CAST(4096 AS DOUBLE) AS DECIMAL(20, 12)) AS VARCHAR), '0') END AS chico
+FROM orders""",
     "order_lines": _ORDER_LINES,
     "order_lines_carryover": f"SELECT * FROM ({_ORDER_LINES}) l WHERE id_pedido IN ({_CARRY_IDS})",
     # ---- clients
@@ -375,8 +429,10 @@ FROM ({_ORDERS}) o""",
     "products_sheet": f"""
 SELECT {_sheet_cells(_PRODUCT_COLS)} FROM ({_PRODUCTS}) p""",
     "taxes_extract": """
+SELECT s_suppkey AS id, s_name AS name, s_acctbal / 100 AS amount FROM supplier""",
+    "taxes_limited": """
 SELECT s_suppkey AS id, s_name AS name, s_acctbal / 100 AS amount
-FROM supplier ORDER BY s_suppkey LIMIT 100""",
+FROM supplier ORDER BY s_suppkey LIMIT 40""",
     # ---- visits
     "visits_of_day": f"""
 SELECT event_id AS id,
@@ -384,10 +440,9 @@ SELECT event_id AS id,
          AS status,
        CASE event_type WHEN 'purchase' THEN '{VISIT_ICON_SUCCESS}' WHEN 'error' THEN '{VISIT_ICON_FAILED}'
             ELSE '{VISIT_ICON_OTHER}' END AS icon,
-       substr(COALESCE(CASE WHEN event_id % 4 = 0 THEN NULL
-                            ELSE 'REF-' || user_id || '-' || event_id || '-' || event_type END, 'S/R'),
-              1, 20) AS referencia,
-       substr('Visit to customer number ' || user_id || ' (' || event_type || ')', 1, 25) AS titulo,
+       COALESCE(CASE WHEN event_id % 4 = 0 THEN NULL
+                     ELSE 'REF-' || user_id || '-' || event_id || '-' || event_type END, 'S/R') AS referencia,
+       'Visit to customer number ' || user_id || ' (' || event_type || ')' AS titulo,
        strftime(ts, '%Y-%m-%d') AS planned_date
 FROM events
 WHERE CAST(ts AS DATE) = DATE '{VISIT_DAY}' AND NOT (event_id % 3 = 2 AND event_type = 'error')""",

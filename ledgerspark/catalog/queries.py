@@ -7,10 +7,13 @@ DuckDB oracle in ``oracle.py`` exactly.
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from ledgerspark import schemas
 from ledgerspark.catalog import landing as L
 from ledgerspark.functions import (amount, clean_markers, clean_strip, exception_label,
                                    id_text, iso_datetime, list_length, m2m_names, m2o_id,
@@ -21,9 +24,11 @@ from ledgerspark.operators import (carry_over, day_count, discarded_invoiced, fr
                                    tag_names_from_table, top_n)
 from ledgerspark.operators.counts import month_guard
 from ledgerspark.plans import jobs, transforms as tf
-from ledgerspark.sinks import raw_rows, sheet_rows, with_month
+from ledgerspark.sinks import (load, raw_rows, replace_months, sheet_rows, upload_sheet,
+                               with_month)
 from ledgerspark.sources import (clients_raw, invoice_lines_raw, invoices_raw, master_product_ids,
-                                 order_lines_raw, orders_raw, products_raw, tax_ids, taxes_raw,
+                                 order_lines_raw, orders_raw, products_raw, read_landed, tax_ids,
+                                 taxes_raw,
                                  vendor_ids, visit_listing, visits_of_day)
 
 # Fixed parameters of the catalogue (the test data spans 1995-01 .. 2001-11).
@@ -44,7 +49,9 @@ def _orders(spark, d):
 def q_m2o_id(spark, d):
     """X1 over eight relation encodings."""
     o = _orders(spark, d)
-    rel = F.expr("""CASE pmod(o_orderkey, 8)
+    rel = F.expr("""CASE pmod(o_orderkey, 10)
+        WHEN 8 THEN concat('[', o_custkey, ', ["x"]]')
+        WHEN 9 THEN concat('[', o_custkey, ', {"a": 1}]')
         WHEN 0 THEN concat('[', o_custkey, ', "Customer ', o_custkey, '"]')
         WHEN 1 THEN concat('[', o_custkey, ", 'Customer']")
         WHEN 2 THEN 'false'
@@ -68,7 +75,8 @@ def q_m2o_id_scalar(spark, d):
 def q_m2o_name(spark, d):
     """X3 over eight encodings (repr lists, None, no strip, bare text)."""
     o = _orders(spark, d)
-    rel = F.expr("""CASE pmod(o_orderkey, 8)
+    rel = F.expr("""CASE pmod(o_orderkey, 9)
+        WHEN 8 THEN concat('[', o_custkey, ", '", o_orderpriority, "', ['x']]")
         WHEN 0 THEN concat('[', o_custkey, ', "', o_orderpriority, '"]')
         WHEN 1 THEN concat('[', o_custkey, ", '", o_orderpriority, "']")
         WHEN 2 THEN 'false'
@@ -83,7 +91,9 @@ def q_m2o_name(spark, d):
 def q_m2m_names(spark, d):
     """Names of [id, name] pairs joined by ','."""
     p = L.table(spark, d, "part")
-    rel = F.expr("""CASE pmod(p_partkey, 4)
+    rel = F.expr("""CASE pmod(p_partkey, 6)
+        WHEN 4 THEN concat('[[', p_size, ", '", p_brand, "'], ", p_size, ']')
+        WHEN 5 THEN concat('[[', p_size, ", '", p_brand, "'], [", p_partkey, ', None]]')
         WHEN 0 THEN concat('[[', p_size, ', "', p_brand, '"], [', p_partkey, ', "', p_type, '"]]')
         WHEN 1 THEN concat('[[', p_size, ", '", p_brand, "']]")
         WHEN 2 THEN '[]'
@@ -92,9 +102,13 @@ def q_m2m_names(spark, d):
 
 
 def q_tag_map(spark, d):
-    """X8 with a tag table (nation names), size-checked into a literal map."""
+    """X8 with a tag table (nation names; one id comes twice); every seventh list holds a stray word."""
     raw = clients_raw(L.partners(spark, d))
-    out = tag_names_from_table(raw, "category_id", L.tags(spark, d), "etiquetas")
+    raw = raw.withColumn("category_id", F.expr(
+        "CASE WHEN pmod(id, 7) = 0 THEN replace(category_id, ', ', \", 'x', \") ELSE category_id END"))
+    tags = L.tags(spark, d)
+    tags = tags.unionByName(tags.where("id = 3").select("id", F.lit("AAA").alias("name")))
+    out = tag_names_from_table(raw, "category_id", tags, "etiquetas")
     return out.select(F.col("id"), "etiquetas")
 
 
@@ -365,10 +379,128 @@ def q_products_sheet(spark, d):
 
 
 def q_taxes_extract(spark, d):
-    """The first 100 taxes in source order."""
+    """All taxes."""
     return taxes_raw(L.taxes(spark, d)).select("id", "name", "amount")
 
 
+def q_taxes_limited(spark, d):
+    """O2: an extract limit that cuts rows, the first 40 in source order."""
+    return taxes_raw(L.taxes(spark, d), limit=40).select("id", "name", "amount")
+
+
+# ------------------------------------------------- optional lists, missing columns
+
+def q_orders_members(spark, d):
+    """Orders of listed vendors and listed clients."""
+    clients = spark.read.parquet(f"{d}/supplier.parquet").select(F.col("s_suppkey").alias("id_cliente"))
+    return tf.orders(orders_raw(L.sale_orders(spark, d), ASOF),
+                     vendors=vendor_ids(L.vendors(spark, d)), clients=clients)
+
+
+def q_orders_missing_columns(spark, d):
+    """Target columns whose source is missing are left out."""
+    return tf.orders(orders_raw(L.sale_orders(spark, d), ASOF).drop("note_new", "amount_tax"))
+
+
+def q_invoice_lines_price_total(spark, d):
+    """X23 with a price_total column."""
+    lines = L.move_lines(spark, d).withColumn("price_total", F.expr("price_subtotal * CAST(2 AS DOUBLE)"))
+    return jobs.invoice_lines_plan(lines, L.moves(spark, d), START)
+
+
+def q_tax_array_profile_all(spark, d):
+    """A6 over all lines instead of the sample."""
+    return jobs.tax_array_profile(L.move_lines(spark, d), L.moves(spark, d), None, START)
+
+
+# ---------------------------------------------------- written tables, read back
+
+def _target(spark: SparkSession, name: str) -> str:
+    """A new folder under spark.checkpoint.dir; a local session without one uses its own temporary folder."""
+    sc = spark.sparkContext
+    base = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
+    if not base:
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        base = tempfile.mkdtemp(prefix="ledgerspark-catalog-")
+        sc.setCheckpointDir(base)
+    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def q_landed_json(spark, d):
+    """JSON lines with false in empty fields, numbers and relations alike, through T2."""
+    path = _target(spark, "orders-json")
+    line = F.expr("""concat('{"id": ', o_orderkey, ', "_seq": ', o_orderkey,
+        ', "name": ', CASE WHEN pmod(o_orderkey, 5) = 0 THEN 'false' ELSE concat('"SO', o_orderkey, '"') END,
+        ', "create_date": ', CASE WHEN pmod(o_orderkey, 7) = 0 THEN 'false'
+                                  ELSE concat('"', date_format(o_orderdate, 'yyyy-MM-dd HH:mm:ss'), '"') END,
+        ', "amount_total": ', CASE WHEN pmod(o_orderkey, 3) = 0 THEN 'false' ELSE CAST(o_totalprice AS STRING) END,
+        ', "partner_id": ', CASE WHEN pmod(o_orderkey, 4) = 0 THEN 'false'
+                                 ELSE concat('[', o_custkey, ', "Customer"]') END,
+        ', "user_id": false, "unknown": 1}')""")
+    spark.read.parquet(f"{d}/orders.parquet").select(line.alias("value")).write.text(path)
+    df = tf.orders(read_landed(spark, path, schemas.RAW_ORDERS, fmt="json"))
+    return df.select("id_pedido", "referencia_pedido", "fecha_creacion", "total", "id_cliente", "id_vendedor")
+
+
+def q_truncate_load(spark, d):
+    """K1: a load replaces what a larger one left, an empty one leaves it; read back."""
+    path = _target(spark, "orders-load")
+    df = tf.orders(orders_raw(L.sale_orders(spark, d), ASOF))
+    load(df, path)
+    load(df.where("id_vendedor < 5"), path)
+    load(df.where("false"), path)
+    return spark.read.parquet(path)
+
+
+def q_append_load(spark, d):
+    """K2: two appends; read back."""
+    path = _target(spark, "orders-append")
+    df = tf.orders(orders_raw(L.sale_orders(spark, d), ASOF))
+    load(df.where("id_vendedor < 5"), path, mode="append")
+    load(df.where("id_vendedor >= 7"), path, mode="append")
+    return spark.read.parquet(path)
+
+
+def q_schema_load(spark, d):
+    """K1 + K3: the product table loaded with its declared schema; read back."""
+    path = _target(spark, "products-load")
+    load(q_products_master(spark, d), path, schema=schemas.PRODUCTS)
+    return spark.read.schema(schemas.PRODUCTS).parquet(path)
+
+
+def q_history_load(spark, d):
+    """K9 then K6 (twice): the backfilled header history with last month closed again; read back."""
+    path = _target(spark, "invoices-history")
+    moves = L.moves(spark, d)
+    replace_months(jobs.backfill_invoices_plan(moves, ASOF, BACKFILL_START), path, "fecha_factura")
+    for _ in range(2):
+        replace_months(jobs.closed_month_invoices_plan(moves, ASOF), path, "fecha_factura")
+    return spark.read.parquet(path)
+
+
+def q_line_history_load(spark, d):
+    """K9 then K7: the backfilled line history with last month closed again; read back."""
+    path = _target(spark, "lines-history")
+    lines, moves, pm = L.move_lines(spark, d), L.moves(spark, d), previous_month(ASOF)
+    replace_months(jobs.backfill_invoice_lines_plan(lines, moves, ASOF, BACKFILL_START), path, "fecha", drop_date=True)
+    closed = jobs.invoice_lines_plan(lines, moves, pm.first, pm.last, with_date=True)
+    replace_months(closed, path, "fecha", drop_date=True)
+    return spark.read.parquet(path)
+
+
+def q_sheet_upload(spark, d):
+    """K4: a sheet written as CSV, amounts above ten million and below a thousandth in plain decimals; read back."""
+    path = _target(spark, "sheet")
+    o = spark.read.parquet(f"{d}/orders.parquet")
+    upload_sheet(o.select(F.col("o_orderkey").alias("id"), F.col("o_orderdate").alias("fecha"),
+                          F.expr("round(o_totalprice) * 1000").alias("grande"),
+                          F.expr("-pmod(o_orderkey, 10) / CAST(4096 AS DOUBLE)").alias("chico")), path)
+    names = ["id", "fecha", "grande", "chico"]
+    df = spark.read.option("header", True).schema(", ".join(f"{c} string" for c in names)).csv(path)
+    return df.select(*[F.coalesce(c, F.lit("")).alias(c) for c in names])
+
+
 # --------------------------------------------------------------------- visits
 
 def q_visits_of_day(spark, d):
@@ -418,5 +550,17 @@ QUERIES: dict[str, Query] = {
     "product_taxes": q_product_taxes,
     "products_sheet": q_products_sheet,
     "taxes_extract": q_taxes_extract,
+    "taxes_limited": q_taxes_limited,
+    "orders_members": q_orders_members,
+    "orders_missing_columns": q_orders_missing_columns,
+    "invoice_lines_price_total": q_invoice_lines_price_total,
+    "tax_array_profile_all": q_tax_array_profile_all,
+    "landed_json": q_landed_json,
+    "truncate_load": q_truncate_load,
+    "append_load": q_append_load,
+    "schema_load": q_schema_load,
+    "history_load": q_history_load,
+    "line_history_load": q_line_history_load,
+    "sheet_upload": q_sheet_upload,
     "visits_of_day": q_visits_of_day,
 }

@@ -6,6 +6,5 @@ from ledgerspark.functions.numbers import amount, round_half_even, to_id  # noqa
 from ledgerspark.functions.relations import (exception_label, list_length, m2m_names,  # noqa: F401
                                              m2o_id, m2o_list_id, m2o_list_name, m2o_name,
                                              tag_names)
-from ledgerspark.functions.text import (clean_markers, clean_strip, default_bool,  # noqa: F401
-                                        default_text, id_text, street_key, strip_doc_code,
-                                        strip_ws)
+from ledgerspark.functions.text import (clean_markers, clean_strip, id_text, street_key,  # noqa: F401
+                                        strip_doc_code, strip_ws)

@@ -1,9 +1,11 @@
 """Shared building blocks for the column normalisers.
 
-``let`` evaluates an expression once and hands it to a function as a lambda
-variable (``transform(array(x), f)[0]``). Catalyst otherwise copies a
-sub-expression into every place that uses it, and the normalisers use their
-parsed token several times -- a regex would run once per copy.
+Catalyst copies a sub-expression into every place that uses it, and the
+normalisers use their parsed token several times -- a regex would run once per
+copy. ``let`` binds the token: used as a column it is a lambda variable
+(``transform(array(x), f)[0]``); ``with_columns_once`` takes it apart and puts
+the token into a select of its own and the conversion into the next, which stays
+in generated code.
 """
 
 from __future__ import annotations
@@ -26,8 +28,19 @@ def col(c) -> Column:
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """Bind ``value`` once and evaluate ``body(value)``."""
-    return F.get(F.transform(F.array(value), body), 0)
+    """Bind ``value`` once and evaluate ``body(value)``. The result remembers both."""
+    out = F.get(F.transform(F.array(value), body), 0)
+    out._let = (value, body)
+    return out
+
+
+def then(c: Column, fn: Callable[[Column], Column]) -> Column:
+    """``fn(c)``, keeping what ``let`` bound."""
+    bound = c.__dict__.get("_let")  # a plain attribute access would be a field of the column
+    if bound:
+        value, body = bound
+        return let(value, lambda v: fn(body(v)))
+    return fn(c)
 
 
 def strip_ws(c) -> Column:
@@ -35,20 +48,30 @@ def strip_ws(c) -> Column:
     return F.btrim(col(c), F.lit(WS_CHARS))
 
 
-def with_columns_once(df, cols: dict):
-    """Add ``cols`` (name -> Column), each evaluated exactly once per row.
+def with_columns_once(df, cols: dict, keys=()):
+    """Add ``cols`` (name -> Column), each parsed once per row.
 
-    Catalyst pushes filters and join keys below projections by copying the
-    projected expression into them, so a parsed column that is both kept and
-    filtered on would be parsed twice. A one-element ``inline`` generator is a
-    boundary predicates cannot cross: the expressions run once, in the
-    generator, and every later use reads the generated column. One output row
-    per input row -- nothing is dropped or duplicated.
+    Tokens come in one select, conversions in the next: Catalyst does not merge
+    two selects when that would copy an expensive expression, and it prunes the
+    tokens of columns that nobody uses. Filters and join keys are another
+    matter: Catalyst pushes them below selects by copying. So the tokens of the
+    columns named in ``keys`` (those that a later filter or join reads) are made in a
+    one-element ``inline`` generator, which predicates cannot cross; filters on them then
+    run before the other columns are parsed. One output row per input row --
+    nothing is dropped or duplicated.
     """
     if not cols:
         return df
-    packed = F.struct(*[c.alias(n) for n, c in cols.items()])
-    return df.select("*", F.inline(F.array(packed)))
+    keep = df.columns
+    token = {n: f"__token_{n}" for n in cols}
+    bound = {n: c.__dict__.get("_let", (c, lambda v: v)) for n, c in cols.items()}
+    first = [bound[n][0].alias(token[n]) for n in cols if n in keys]
+    if first:
+        df = df.select("*", F.inline(F.array(F.struct(*first))))
+    rest = [bound[n][0].alias(token[n]) for n in cols if n not in keys]
+    if rest:
+        df = df.select("*", *rest)
+    return df.select(*[F.col(f"`{c}`") for c in keep], *[bound[n][1](F.col(token[n])).alias(n) for n in cols])
 
 
 def memo_by_name(fn):

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F, types as T
 
-from ledgerspark.functions.common import let, memo_by_name, strip_ws
+from ledgerspark.functions.common import let, memo_by_name, strip_ws, then
 
 # ISO date text with an optional time part. Spark's cast alone would also
 # read "2024" or "2024-1" as dates; the reference rejects those.
@@ -34,7 +34,7 @@ def parse_date(col, dtype: T.DataType = T.StringType()) -> Column:
     c = _c(col)
     if isinstance(dtype, T.DateType):
         return c
-    return F.to_date(parse_timestamp(c, dtype))
+    return then(parse_timestamp(c, dtype), F.to_date)
 
 
 @memo_by_name
@@ -48,7 +48,7 @@ def iso_datetime(col, dtype: T.DataType = T.StringType()) -> Column:
         return F.concat(F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss"),
                         F.when(frac != F.lit("000000"), F.concat(F.lit("."), frac))
                         .otherwise(F.lit("")))
-    return let(parse_timestamp(c, dtype), render)
+    return then(parse_timestamp(c, dtype), lambda ts: let(ts, render))
 
 
 def day_text(col) -> Column:

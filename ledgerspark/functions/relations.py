@@ -40,15 +40,18 @@ _ELEM = (r"""(?>"(?:[^"\\]|\\.)*+"|'(?:[^'\\]|\\.)*+'|[-+]?(?:\d++\.?\d*+|\.\d++
          r"""(?:[eE][-+]?\d++)?|None|True|False|null|true|false)""")
 # One element of a JSON list (as landed from a real list).
 _JELEM = r"""(?>"(?:[^"\\]|\\.)*+"|-?\d++(?:\.\d++)?(?:[eE][-+]?\d++)?|null|true|false)"""
+# A list or object inside a list (its own elements flat).
+_NEST = r"""(?>\[[^\[\]{}]*+\]|\{[^\[\]{}]*+\})"""
 _SEP = r"\s*+,\s*+"
 _END = r"\s*+,?\s*+\]" + WS_CLASS + "*+$"
 
 # Python-literal lists; group 1 = first element. Surrounding space allowed.
-LIST_FIRST = rf"^{WS_CLASS}*+\[\s*+({_ELEM})(?:{_SEP}{_ELEM})*+{_END}"
+LIST_FIRST = rf"^{WS_CLASS}*+\[\s*+({_ELEM})(?:{_SEP}(?:{_ELEM}|{_NEST}))*+{_END}"
 # Python-literal lists with 2+ elements, text starting with "["; group 1 = second.
-LIST_SECOND = rf"^\[\s*+{_ELEM}{_SEP}({_ELEM})(?:{_SEP}{_ELEM})*+{_END}"
+LIST_SECOND = rf"^\[\s*+{_ELEM}{_SEP}({_ELEM}|{_NEST})(?:{_SEP}(?:{_ELEM}|{_NEST}))*+{_END}"
 # JSON lists of any length starting with "["; groups 1, 2 = first, second element.
-JSON_LIST = rf"^\[\s*+(?:({_JELEM})(?:{_SEP}({_JELEM})(?:{_SEP}{_JELEM})*+)?)?\s*+\]{WS_CLASS}*+$"
+JSON_LIST = (rf"^\[\s*+(?:({_JELEM})(?:{_SEP}({_JELEM}|{_NEST})(?:{_SEP}(?:{_JELEM}|{_NEST}))*+)?)?"
+             rf"\s*+\]{WS_CLASS}*+$")
 
 _STRICT_JSON = {"allowSingleQuotes": "false"}
 
@@ -73,8 +76,11 @@ def _unquote(t: Column) -> Column:
 
 
 def _token_text(t: Column) -> Column:
-    """``str(x)`` of a list element token (None -> "None", true -> "True")."""
+    """``str(x)`` of a list element token (None -> "None", true -> "True"; a nested list or object as Python
+    would print it)."""
+    nested = F.regexp_replace(F.regexp_replace(F.regexp_replace(t, '"', "'"), r"\s*,\s*", ", "), r"\s*:\s*", ": ")
     return (F.when(_quoted(t), _unquote(t))
+            .when(t.startswith("[") | t.startswith("{"), nested)
             .when(t.isin("None", "null"), F.lit("None"))
             .when(t.isin("True", "true"), F.lit("True"))
             .when(t.isin("False", "false"), F.lit("False"))
@@ -237,13 +243,21 @@ def parse_list(text: Column, strict: bool = False, element: str = "string") -> C
     return F.from_json(text, schema)
 
 
+def _python_words(s: Column) -> Column:
+    """Python's keywords as list elements -> JSON's."""
+    for word, json in (("None", "null"), ("True", "true"), ("False", "false")):
+        s = F.regexp_replace(s, rf"(?<=[\[,]\s{{0,4}}){word}(?=\s*[,\]])", json)
+    return s
+
+
 def tag_ids(col, dtype: T.DataType = T.StringType()) -> Column:
-    """Many2many id list -> ``array<bigint>`` (null when not a list)."""
+    """Many2many id list -> ``array<bigint>`` (null when not a list); an element that is no id is null."""
     c = _c(col)
     if isinstance(dtype, T.ArrayType):
         return F.transform(c, lambda x: x.try_cast("bigint"))
     s = c.cast("string")
-    return F.when(s.startswith("["), parse_list(s, element="bigint"))
+    items = F.when(s.startswith("["), parse_list(_python_words(s)))
+    return F.transform(items, lambda x: x.try_cast("double").try_cast("bigint"))
 
 
 def tag_names(col, tag_map: dict, dtype: T.DataType = T.StringType()) -> Column:
@@ -269,8 +283,9 @@ def m2m_names(col, dtype: T.DataType = T.StringType()) -> Column:
         pairs = c
     else:
         s = c.cast("string")
-        pairs = F.when(~_is_marker(s) & s.startswith("["),
-                       parse_list(s, element="array<string>"))
+        items = F.when(~_is_marker(s) & s.startswith("["), parse_list(_python_words(s)))
+        # an element that is no pair drops out, the others stay
+        pairs = F.transform(items, lambda x: F.when(x.startswith("["), parse_list(x)))
     return let(pairs, lambda ps: let(
         F.transform(F.filter(ps, lambda p: F.size(p) > 1),
                     lambda p: F.coalesce(F.get(p, 1), F.lit("None"))),

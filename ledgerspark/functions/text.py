@@ -33,7 +33,7 @@ def clean_strip(col) -> Column:
 def strip_doc_code(col) -> Column:
     """Document type: drop a leading ``(<digits>)`` code and the spaces after it.
 
-    ``"(39) Electronic Receipt"`` -> ``"Electronic Receipt"``; null -> "".
+    ``"(7) Delivery Slip"`` -> ``"Delivery Slip"``; null -> "".
     """
     c = _c(col)
     return F.when(c.isNull() | (c == F.lit("")) | (c == F.lit("false")), F.lit("")) \
@@ -45,14 +45,6 @@ def street_key(col) -> Column:
     return F.regexp_replace(strip_ws(F.lower(_c(col))), WS_CLASS + "+", " ")
 
 
-def default_text(col, default: str = "") -> Column:
-    return F.coalesce(_c(col), F.lit(default))
-
-
-def default_bool(col, default: bool = False) -> Column:
-    return F.coalesce(_c(col), F.lit(default))
-
-
 def id_text(col, dtype: T.DataType = T.StringType()) -> Column:
     """Ids rendered as text without a decimal part: ``12.0`` -> ``"12"``.
 
@@ -67,14 +59,12 @@ def id_text(col, dtype: T.DataType = T.StringType()) -> Column:
     return F.when(s.contains("."), F.substring_index(s, ".", 1)).otherwise(s)
 
 
-# Route-visit listing status icons, defaults and widths.
-VISIT_ICON_SUCCESS = "\U0001F7E2"
-VISIT_ICON_FAILED = "\U0001F534"
-VISIT_ICON_OTHER = "\U0001F7E1"
+# Route-visit listing status icons and defaults.
+VISIT_ICON_SUCCESS = "🟢"
+VISIT_ICON_FAILED = "🔴"
+VISIT_ICON_OTHER = "🟡"
 VISIT_REFERENCE_DEFAULT = "S/R"
 VISIT_TITLE_DEFAULT = "Sin nombre"
-VISIT_REFERENCE_WIDTH = 20
-VISIT_TITLE_WIDTH = 25
 
 
 def visit_status_flag(status) -> Column:
@@ -86,10 +76,8 @@ def visit_status_flag(status) -> Column:
 
 
 def visit_reference(ref) -> Column:
-    return F.substring(F.coalesce(_c(ref).cast("string"), F.lit(VISIT_REFERENCE_DEFAULT)),
-                       1, VISIT_REFERENCE_WIDTH)
+    return F.coalesce(_c(ref).cast("string"), F.lit(VISIT_REFERENCE_DEFAULT))
 
 
 def visit_title(title) -> Column:
-    return F.substring(F.coalesce(_c(title).cast("string"), F.lit(VISIT_TITLE_DEFAULT)),
-                       1, VISIT_TITLE_WIDTH)
+    return F.coalesce(_c(title).cast("string"), F.lit(VISIT_TITLE_DEFAULT))

@@ -25,12 +25,6 @@ def day_count(df: DataFrame, date_col: str, day) -> DataFrame:
             .select(F.lit(d).alias("dia"), "n", (F.col("n") > 0).alias("existe")))
 
 
-def month_exists(df: DataFrame, date_col: str, first_day) -> bool:
-    """A1: the reference's guard -- any row dated on the month's first day."""
-    return bool(df.where(F.to_date(_c(date_col)) == F.lit(as_date(first_day)))
-                .limit(1).count() > 0)
-
-
 def month_guard(df: DataFrame, date_col: str) -> DataFrame:
     """A1 for every month at once: per month, rows dated on its first day.
 

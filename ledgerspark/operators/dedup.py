@@ -31,12 +31,6 @@ def require_order(df: DataFrame, order: str = SEQ) -> None:
             "land a unique sequence column with every raw table")
 
 
-def first_seq(df: DataFrame, keys: Sequence[str], order: str = SEQ) -> DataFrame:
-    """Per key, the smallest order value (one narrow row per distinct key)."""
-    require_order(df, order)
-    return df.groupBy(*keys).agg(F.min(order).alias(order))
-
-
 def keep_first(df: DataFrame, keys: Sequence[str], order: str = SEQ) -> DataFrame:
     """Rows that come first in ``order`` among rows with equal ``keys``.
 

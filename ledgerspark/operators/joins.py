@@ -36,8 +36,3 @@ def semi_join_on(df: DataFrame, key: Column, other: DataFrame, other_key: str) -
     """
     ids = other.select(F.col(other_key).alias("_join_id")).where(F.col("_join_id").isNotNull())
     return df.join(ids, key == F.col("_join_id"), "left_semi")
-
-
-def explode_ids(df: DataFrame, array_col: Column, out: str, keep: Sequence[str]) -> DataFrame:
-    """G1: one row per array element (rows with a null or empty array vanish)."""
-    return df.select(*keep, F.explode(array_col).alias(out))

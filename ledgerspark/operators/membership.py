@@ -1,9 +1,9 @@
 """Membership filters.
 
 ``member_of`` keeps rows whose column value is in an id list. The list is
-either a Python sequence (a literal ``IN``, bounded by its own length) or a
-DataFrame (a ``left_semi`` join; the planner and AQE pick broadcast only after
-checking the list's size).
+either a Python sequence (a literal ``IN``; long lists belong in a DataFrame) or
+a DataFrame (a semi join; the planner and AQE pick broadcast only after checking
+the list's size). Building the plan runs no job.
 
 Two empty-list policies exist in the reference and both are kept:
 
@@ -21,10 +21,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 IdList = Union[None, Sequence[int], DataFrame]
 
-# Python lists up to this length become a literal IN; longer ones are turned
-# into a one-column DataFrame and semi-joined.
-LITERAL_IN_MAX = 10_000
-
 
 def _clean_ids(ids: Sequence) -> list[int]:
     out = []
@@ -41,21 +37,6 @@ def _clean_ids(ids: Sequence) -> list[int]:
     return sorted(set(out))
 
 
-def ids_frame(df: DataFrame, column: str) -> DataFrame:
-    """Distinct non-null ids of one column, named ``_id``."""
-    return (df.select(F.col(column).cast("bigint").alias("_id"))
-            .where(F.col("_id").isNotNull()).distinct())
-
-
-def is_empty(ids: IdList) -> bool:
-    """Plan-time test; for a DataFrame this runs one small ``limit(1)`` job."""
-    if ids is None:
-        return True
-    if isinstance(ids, DataFrame):
-        return ids.isEmpty()
-    return len(_clean_ids(ids)) == 0
-
-
 def member_of(df: DataFrame, column: Union[str, Column], ids: IdList,
               empty: str = "all", id_column: str | None = None) -> DataFrame:
     """Keep rows whose ``column`` is in ``ids`` (see module doc for ``empty``)."""
@@ -68,14 +49,13 @@ def member_of(df: DataFrame, column: Union[str, Column], ids: IdList,
         name = id_column or ids.columns[0]
         id_df = ids.select(F.col(name).cast("bigint").alias("_member_id")) \
             .where(F.col("_member_id").isNotNull())
-        if empty == "all" and id_df.isEmpty():
-            return df
-        return df.join(id_df, col == F.col("_member_id"), "left_semi")
+        if empty == "none":
+            return df.join(id_df, col == F.col("_member_id"), "left_semi")
+        # an empty list is decided at run time, by a scalar subquery
+        keyed = df.withColumn("_member_key", col)
+        found = id_df.where(F.col("_member_id") == F.col("_member_key").outer()).exists()
+        return keyed.where(~id_df.exists() | found).drop("_member_key")
     clean = _clean_ids(ids)
     if not clean:
         return df if empty == "all" else df.where(F.lit(False))
-    if len(clean) <= LITERAL_IN_MAX:
-        return df.where(col.isin(clean))
-    spark = df.sparkSession
-    id_df = spark.createDataFrame([(v,) for v in clean], "_member_id bigint")
-    return df.join(id_df, col == F.col("_member_id"), "left_semi")
+    return df.where(col.isin(clean))

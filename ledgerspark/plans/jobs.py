@@ -10,14 +10,14 @@ from __future__ import annotations
 
 from typing import Mapping
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, functions as F
 
 from ledgerspark import schemas
 from ledgerspark.functions import list_length, parse_date, to_id
 from ledgerspark.functions.periods import (backfill_range, is_close_day, month_start,
                                            previous_month)
-from ledgerspark.operators import carry_over, discarded_invoiced, frequency, in_range, top_n
+from ledgerspark.operators import (carry_over, discarded_invoiced, frequency, in_range,
+                                   observed, top_n)
 from ledgerspark.plans import transforms as tf
 from ledgerspark.sinks import load, replace_months, upload_sheet
 from ledgerspark.sources import (clients_raw, invoice_lines_raw, invoices_raw, master_product_ids,
@@ -97,23 +97,14 @@ def orders_carryover_plan(orders: DataFrame, asof) -> DataFrame:
 
 
 def sync_orders(orders: DataFrame, target: str, asof) -> dict:
-    """Q3 with its A7 counters.
-
-    The transformed window is persisted: one aggregate pass gives the
-    counters (and the emptiness test), the write reuses the cached rows.
-    """
-    df = tf.orders(orders_raw(orders, asof)).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        keep = carry_over("fecha_creacion", "estado_facturacion", asof)
-        m = df.agg(F.count_if(discarded_invoiced("fecha_creacion", "estado_facturacion", asof))
-                   .alias("discarded_invoiced"),
-                   F.count_if(keep).alias("loaded")).first().asDict()
-        if not m["loaded"]:
-            return {"loaded": False, "metrics": m}
-        load(df.where(keep), target, skip_if_empty=False)
-        return {"loaded": True, "metrics": m}
-    finally:
-        df.unpersist()
+    """Q3 with its A7 counters, observed on the one pass that loads."""
+    df = tf.orders(orders_raw(orders, asof))
+    keep = carry_over("fecha_creacion", "estado_facturacion", asof)
+    df, seen = observed(
+        df, "orders", loaded=F.count_if(keep),
+        discarded_invoiced=F.count_if(discarded_invoiced("fecha_creacion", "estado_facturacion", asof)))
+    done = load(df.where(keep), target)
+    return {"loaded": done, "metrics": seen.get}
 
 
 def carryover_order_ids(orders: DataFrame, asof) -> DataFrame:
@@ -126,21 +117,14 @@ def carryover_order_ids(orders: DataFrame, asof) -> DataFrame:
 
 
 def order_lines_carryover_plan(orders: DataFrame, lines: DataFrame, asof) -> DataFrame:
-    """Q4 rows: lines of the last two months whose order carries over (semi join)."""
+    """Q4 rows: lines of the last two months whose order carries over (none if no order does)."""
     ids = carryover_order_ids(orders, asof)
-    return tf.order_lines(order_lines_raw(lines, asof), orders=ids)
+    return tf.order_lines(order_lines_raw(lines, asof), orders=ids, empty_orders="none")
 
 
 def sync_order_lines(orders: DataFrame, lines: DataFrame, target: str, asof) -> dict:
-    """Q4: stops when no order carries over (an empty id list would mean no filter)."""
-    ids = carryover_order_ids(orders, asof).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        if ids.isEmpty():
-            return {"loaded": False}
-        df = tf.order_lines(order_lines_raw(lines, asof), orders=ids)
-        return {"loaded": load(df, target)}
-    finally:
-        ids.unpersist()
+    """Q4: without carry-over orders nothing is loaded."""
+    return {"loaded": load(order_lines_carryover_plan(orders, lines, asof), target)}
 
 
 # ------------------------------------------------------------ clients, products
@@ -173,11 +157,14 @@ def sync_products(products: DataFrame, master: DataFrame, taxes: DataFrame,
 # --------------------------------------------------------------------- sheets
 
 
+def _from_month(start, asof) -> str:
+    """The later of ``start`` and the first day of ``asof``'s month, as ISO text."""
+    return max(str(start)[:10], month_start(asof).isoformat())
+
+
 def invoices_sheet_plan(moves: DataFrame, asof, start=DEFAULT_INVOICE_START) -> DataFrame:
-    """Q7 rows: posted invoices, raw date in the current month, transformed."""
-    raw = invoices_raw(moves, start=start)
-    raw = raw.where(parse_date("invoice_date") >= F.lit(month_start(asof)))
-    return tf.invoices(raw)
+    """Q7 rows: posted invoices, raw date in the current month (pushed to the scan), transformed."""
+    return tf.invoices(invoices_raw(moves, start=_from_month(start, asof)))
 
 
 def sync_invoices_sheet(moves: DataFrame, path: str, asof) -> dict:
@@ -186,11 +173,8 @@ def sync_invoices_sheet(moves: DataFrame, path: str, asof) -> dict:
 
 def invoice_lines_sheet_plan(lines: DataFrame, moves: DataFrame, asof,
                              start=DEFAULT_INVOICE_START) -> DataFrame:
-    """Q8 rows: product lines of posted invoices dated in the current month."""
-    raw = invoice_line_scope(lines, start=start)
-    raw = raw.where(parse_date("date") >= F.lit(month_start(asof)))
-    df = tf.invoice_lines(raw)
-    return semi_join_on(df, F.col("id_factura"), posted_invoice_ids(moves), "id")
+    """Q8 rows: product lines of posted invoices dated in the current month (pushed to the scan)."""
+    return invoice_lines_plan(lines, moves, _from_month(start, asof))
 
 
 def sync_invoice_lines_sheet(lines: DataFrame, moves: DataFrame, path: str, asof) -> dict:
@@ -207,9 +191,9 @@ def sync_products_sheet(products: DataFrame, master: DataFrame, path: str) -> di
 
 
 def backfill_invoices_plan(moves: DataFrame, asof, start=DEFAULT_INVOICE_START) -> DataFrame:
-    """K9 rows: one pass over [start, last day of the previous month], inclusive."""
+    """K9 rows: what the month-by-month loop stores for [start, last day of the previous month], in one pass."""
     rng = backfill_range(start, asof)
-    df = tf.invoices(invoices_raw(moves, start=rng.first))
+    df = tf.invoices(invoices_raw(moves, start=rng.first), by_month=True)
     return df.where(in_range("fecha_factura", rng.first, rng.last))
 
 
@@ -224,7 +208,7 @@ def backfill(moves: DataFrame, lines: DataFrame, headers_target: str, lines_targ
     """Q10: the historical load in a single pass per table, partitioned by month.
 
     The reference loops month by month and re-extracts from each month's start
-    to today (quadratic); one range scan with month partitions is equivalent.
+    to today (quadratic); one range scan that resolves ids month by month is equivalent.
     """
     return {
         "headers": replace_months(backfill_invoices_plan(moves, asof, start), headers_target,
@@ -237,15 +221,16 @@ def backfill(moves: DataFrame, lines: DataFrame, headers_target: str, lines_targ
 # ------------------------------------------------------------ profile, visits
 
 
-def tax_array_sample(lines: DataFrame, moves: DataFrame, n: int = 100,
+def tax_array_sample(lines: DataFrame, moves: DataFrame, n: int | None,
                      start=DEFAULT_INVOICE_START) -> DataFrame:
-    """Q11 sample: the ``n`` newest invoice lines by id (a top-k, not a sort)."""
-    raw = invoice_lines_raw(lines, moves, start=start)
-    sample = top_n(raw, n, [F.col("id").desc_nulls_last(), F.col("_seq").desc()])
+    """Q11 sample: the ``n`` newest invoice lines by id (a top-k, not a sort); all lines with None."""
+    sample = invoice_lines_raw(lines, moves, start=start)
+    if n is not None:
+        sample = top_n(sample, n, [F.col("id").desc_nulls_last(), F.col("_seq").desc()])
     return sample.select("id", "move_id", "tax_ids", "price_unit", "price_subtotal")
 
 
-def tax_array_profile(lines: DataFrame, moves: DataFrame, n: int = 100,
+def tax_array_profile(lines: DataFrame, moves: DataFrame, n: int | None,
                       start=DEFAULT_INVOICE_START) -> DataFrame:
     """Q11: how many taxes the sampled lines carry (value counts of list length)."""
     sample = tax_array_sample(lines, moves, n, start)

@@ -18,14 +18,14 @@ from __future__ import annotations
 
 from typing import Mapping, Union
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from ledgerspark import schemas
 from ledgerspark.functions import (amount, clean_markers, clean_strip, exception_label, m2o_id,
-                                   m2o_list_id, m2o_list_name, m2o_name, parse_date,
+                                   m2o_list_id, m2o_list_name, m2o_name, month_of, parse_date,
                                    parse_timestamp, round_half_even, street_key, strip_doc_code,
                                    tag_names, to_id)
-from ledgerspark.functions.common import with_columns_once
+from ledgerspark.functions.common import then, with_columns_once
 from ledgerspark.functions.numbers import integral_or_null, parse_number
 from ledgerspark.functions.relations import parse_list
 from ledgerspark.operators import (SEQ, all_present, is_posted, keep_first, left_from_master,
@@ -73,6 +73,7 @@ def _with_seq(df: DataFrame) -> list:
 
 # ---------------------------------------------------------------- T4 invoices
 
+# Raw field -> target column.
 _INVOICE_TEXT = {"name": "numero_factura", "state": "estado", "payment_state": "estado_pago",
                  "invoice_origin": "origen", "l10n_latam_document_number": "folio_document"}
 _INVOICE_AMOUNTS = {"amount_untaxed": "monto_neto", "amount_tax": "monto_impuesto",
@@ -80,11 +81,14 @@ _INVOICE_AMOUNTS = {"amount_untaxed": "monto_neto", "amount_tax": "monto_impuest
 _INVOICE_DATES = {"invoice_date": "fecha_factura", "invoice_date_due": "fecha_vencimiento"}
 
 
-def invoices(raw: DataFrame, keep: tuple = ()) -> DataFrame:
+def invoices(raw: DataFrame, keep: tuple = (), by_month: bool = False) -> DataFrame:
     """T4: posted invoice headers, one row per invoice id (first in source order).
 
     ``keep`` names extra output columns to retain (e.g. ``"fecha_factura"`` is
-    already there; jobs use it to derive the month partition).
+    already there; jobs use it to derive the month partition). ``by_month`` gives
+    what month-by-month runs store, each of which reads everything from its month's
+    first day on, keeps the first row of an id and stores those of its month: of an
+    id, a month's first row stays where no later month has an earlier one.
     """
     rel = ["partner_id", "invoice_user_id", "partner_shipping_id",
            "l10n_latam_document_type_id", "invoice_payment_term_id"]
@@ -95,10 +99,10 @@ def invoices(raw: DataFrame, keep: tuple = ()) -> DataFrame:
         "id_cliente": m2o_id("partner_id", d("partner_id")),
         "id_vendedor": m2o_id("invoice_user_id", d("invoice_user_id")),
         "id_direccion_entrega": m2o_id("partner_shipping_id", d("partner_shipping_id")),
-        "tipo_documento": clean_strip(strip_doc_code(m2o_list_name(
-            "l10n_latam_document_type_id", d("l10n_latam_document_type_id"), none_as_text=True))),
-        "condicion_pago": clean_strip(m2o_list_name(
-            "invoice_payment_term_id", d("invoice_payment_term_id"), none_as_text=True)),
+        "tipo_documento": then(m2o_list_name("l10n_latam_document_type_id", d("l10n_latam_document_type_id"),
+                                             none_as_text=True), lambda c: clean_strip(strip_doc_code(c))),
+        "condicion_pago": then(m2o_list_name("invoice_payment_term_id", d("invoice_payment_term_id"),
+                                             none_as_text=True), clean_strip),
     }
     for src, dst in _INVOICE_DATES.items():
         if src in raw.columns:
@@ -112,18 +116,24 @@ def invoices(raw: DataFrame, keep: tuple = ()) -> DataFrame:
     for src, dst in _INVOICE_AMOUNTS.items():
         if src in raw.columns:
             cols.append(amount(src, d(src)).alias(dst))
-    df = with_columns_once(raw, parsed)
+    df = with_columns_once(raw, parsed, keys=("id_cliente", "fecha_factura"))
     df = df.select(*cols, *_with_seq(raw), *[F.col(k) for k in keep if k in raw.columns])
     _require(df, ["id_factura", "fecha_factura"], "invoices")
     df = df.where(all_present("id_factura", "id_cliente", "fecha_factura"))
     if "estado" in df.columns:
         df = df.where(is_posted("estado"))
-    df = keep_first(df, ["id_factura"])
+    if by_month:
+        df = keep_first(df.withColumn("_mes", month_of("fecha_factura")), ["id_factura", "_mes"])
+        later = Window.partitionBy("id_factura").orderBy(F.desc("_mes"))
+        df = df.withColumn("_least", F.min(SEQ).over(later)).where(F.col(SEQ) == F.col("_least"))
+    else:
+        df = keep_first(df, ["id_factura"])
     return _select_target(df, schemas.INVOICES, present_only=False, extra=keep)
 
 
 # ---------------------------------------------------------- T5 invoice lines
 
+# Raw field -> target column.
 _LINE_AMOUNTS = {"quantity": "cantidad", "price_unit": "precio_unitario",
                  "cost_price": "costo_unitario", "price_subtotal": "subtotal",
                  "discount": "descuento"}
@@ -151,7 +161,7 @@ def invoice_lines(raw: DataFrame, with_date: bool = False) -> DataFrame:
     for src, dst in _LINE_AMOUNTS.items():
         if src in raw.columns:
             cols.append(amount(src, d(src)).alias(dst))
-    df = with_columns_once(raw, parsed).select(*cols)
+    df = with_columns_once(raw, parsed, keys=("id_factura", "id_producto", "fecha")).select(*cols)
     df = df.where(all_present("id_producto", "id_factura") & non_zero("total"))
     return _select_target(df, schemas.INVOICE_LINES, present_only=False,
                           extra=("fecha",) if with_date else ())
@@ -159,6 +169,7 @@ def invoice_lines(raw: DataFrame, with_date: bool = False) -> DataFrame:
 
 # ------------------------------------------------------------------ T2 orders
 
+# Raw field -> target column.
 _ORDER_TEXT = {"name": "referencia_pedido", "note_new": "comentarios", "state": "estado_pedido",
                "invoice_status": "estado_facturacion"}
 _ORDER_AMOUNTS = {"amount_untaxed": "base_imponible", "amount_tax": "impuestos",
@@ -182,7 +193,7 @@ def orders(raw: DataFrame, vendors: IdList = None, clients: IdList = None) -> Da
         "id_cliente": _rel_id(raw, "partner_id"),
         "id_vendedor": _rel_id(raw, "user_id"),
         "id_direccion_entrega": _rel_id(raw, "partner_shipping_id"),
-        "excepcion": (clean_markers(exception_label("main_exception_id", d("main_exception_id")))
+        "excepcion": (then(exception_label("main_exception_id", d("main_exception_id")), clean_markers)
                       if "main_exception_id" in raw.columns else F.lit("")),
     }
     for src, dst in _ORDER_DATES.items():
@@ -197,7 +208,8 @@ def orders(raw: DataFrame, vendors: IdList = None, clients: IdList = None) -> Da
     for src, dst in _ORDER_AMOUNTS.items():
         if src in raw.columns:
             cols.append(amount(src, d(src)).alias(dst))
-    df = with_columns_once(raw, parsed).select(*cols, *_with_seq(raw))
+    keys = [n for n, ids in (("id_vendedor", vendors), ("id_cliente", clients)) if ids is not None]
+    df = with_columns_once(raw, parsed, keys=["fecha_creacion", *keys]).select(*cols, *_with_seq(raw))
     df = member_of(df, "id_vendedor", vendors, empty="all")
     df = member_of(df, "id_cliente", clients, empty="all")
     return _select_target(df, schemas.ORDERS, present_only=True)
@@ -205,15 +217,18 @@ def orders(raw: DataFrame, vendors: IdList = None, clients: IdList = None) -> Da
 
 # ------------------------------------------------------------- T3 order lines
 
-def order_lines(raw: DataFrame, products: IdList = None, orders: IdList = None) -> DataFrame:
-    """Sale-order lines; optional product / order membership (empty = no filter)."""
+def order_lines(raw: DataFrame, products: IdList = None, orders: IdList = None,
+                empty_orders: str = "all") -> DataFrame:
+    """Sale-order lines; optional product / order membership (empty = no filter; an empty order list
+    keeps nothing with ``empty_orders="none"``)."""
     _require(raw, ["id", "product_uom_qty", "price_unit", "price_subtotal", "discount"],
              "order_lines")
     d = lambda c: _dtype(raw, c)
     parsed = {"id_pedido": _rel_id(raw, "order_id"),
               "id_cliente": _rel_id(raw, "order_partner_id"),
               "id_producto": _rel_id(raw, "product_id")}
-    df = with_columns_once(raw, parsed).select(
+    keys = [n for n, ids in (("id_producto", products), ("id_pedido", orders)) if ids is not None]
+    df = with_columns_once(raw, parsed, keys=keys).select(
         to_id("id", d("id")).alias("id_linea"),
         "id_pedido", "id_cliente", "id_producto",
         amount("product_uom_qty", d("product_uom_qty")).alias("cantidad"),
@@ -222,12 +237,13 @@ def order_lines(raw: DataFrame, products: IdList = None, orders: IdList = None)
         amount("price_subtotal", d("price_subtotal")).alias("subtotal"),
     )
     df = member_of(df, "id_producto", products, empty="all")
-    df = member_of(df, "id_pedido", orders, empty="all")
+    df = member_of(df, "id_pedido", orders, empty=empty_orders)
     return _select_target(df, schemas.ORDER_LINES, present_only=False)
 
 
 # ----------------------------------------------------------------- T1 clients
 
+# Raw field -> target column.
 _CLIENT_TEXT = {"commercial_company_name": "nombre_cliente", "vat": "rut", "email": "correo",
                 "phone": "telefono", "city": "ciudad", "street": "calle",
                 "company_type": "tipo_compania", "type": "tipo_direccion",
@@ -248,7 +264,7 @@ def clients(raw: DataFrame, tags: TagSource = None, vendors: IdList = None) -> D
     parsed = {"id_vendedor": _rel_id(raw, "user_id", allow_scalar=True)}
     for src, dst in _CLIENT_NAMES.items():
         name = m2o_name(src, d(src)) if src in raw.columns else _null("string")
-        parsed[dst] = clean_markers(name)
+        parsed[dst] = then(name, clean_markers)
     if "create_date" in raw.columns:
         parsed["fecha_creacion"] = parse_timestamp("create_date", d("create_date"))
     cols = [F.col(k) for k in parsed]
@@ -269,7 +285,7 @@ def clients(raw: DataFrame, tags: TagSource = None, vendors: IdList = None) -> D
         cols.append(F.col("category_id"))
     else:
         cols.append(_null("string").alias("etiquetas"))
-    df = with_columns_once(raw, parsed).select(*cols, *_with_seq(raw))
+    df = with_columns_once(raw, parsed, keys=("id_vendedor",)).select(*cols, *_with_seq(raw))
 
     if "tipo_compania" in df.columns and "tipo_direccion" in df.columns:
         df = df.where(not_person_contact())
@@ -292,7 +308,7 @@ def _erp_products(raw: DataFrame) -> DataFrame:
                    "standard_price", "create_date", "sale_ok", "categ_id"], "products")
     d = lambda c: _dtype(raw, c)
     parsed = {"_parent_id": m2o_list_id("product_tmpl_id", d("product_tmpl_id"))}
-    return with_columns_once(raw, parsed).select(
+    return with_columns_once(raw, parsed, keys=("_parent_id",)).select(
         to_id("id", d("id")).alias("_variant_id"),
         "_parent_id",
         "default_code", "name", "uom_id", "list_price", "standard_price", "create_date",
@@ -304,6 +320,7 @@ def products(raw: DataFrame, master: DataFrame, master_key: str = "id_producto")
 
     Unmatched master ids keep their id as the variant id, 0 prices, "" code,
     ``false`` sellable and null names. A landed ``false`` code becomes "".
+    No raw rows at all give no products (decided at run time, by a subquery).
     """
     variants = _erp_products(raw)
     m = master.select(F.col(master_key).cast("bigint").alias("id_producto")) \
@@ -324,7 +341,7 @@ def products(raw: DataFrame, master: DataFrame, master_key: str = "id_producto")
         F.coalesce(F.col("sale_ok").cast("boolean"), F.lit(False)).alias("puede_ser_vendido"),
         m2o_list_name("categ_id", d("categ_id")).alias("categoria"),
     )
-    return _select_target(df, schemas.PRODUCTS, present_only=False)
+    return _select_target(df.where(raw.select(F.lit(1)).exists()), schemas.PRODUCTS, present_only=False)
 
 
 def product_taxes(raw: DataFrame, master: DataFrame, taxes: IdList,

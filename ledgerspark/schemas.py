@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
+# The raw field names and the target column names below.
 S, L, D, B = T.StringType(), T.LongType(), T.DoubleType(), T.BooleanType()
 DATE, TS = T.DateType(), T.TimestampNTZType()
 

@@ -10,12 +10,11 @@ from ledgerspark.operators.joins import semi_join_on
 from ledgerspark.sources.landed import fetch, text_on_or_after, text_on_or_before
 
 # Invoice kinds extracted (customer invoices and refunds), the
-# posted state, the product line type, default tax limit, backfill start and
+# posted state, the product line type, the backfill start and
 # the default order window in months.
 INVOICE_MOVE_TYPES = ["out_invoice", "out_refund"]
 POSTED = "posted"
 PRODUCT_LINE = "product"
-TAX_LIMIT = 100
 DEFAULT_INVOICE_START = "2023-01-01"
 ORDER_WINDOW_MONTHS = 2
 
@@ -50,16 +49,17 @@ def products_raw(products: DataFrame, limit: int | None = None) -> DataFrame:
     return fetch(products, limit=limit)
 
 
-def taxes_raw(taxes: DataFrame, limit: int | None = TAX_LIMIT) -> DataFrame:
-    """Taxes, first ``limit`` (default 100) in source order."""
+def taxes_raw(taxes: DataFrame, limit: int | None = None) -> DataFrame:
+    """All taxes, or the first ``limit`` in source order."""
     return fetch(taxes, fields=["id", "name", "amount"], limit=limit)
 
 
 def invoices_raw(moves: DataFrame, start=DEFAULT_INVOICE_START, end=None) -> DataFrame:
     """Posted customer invoices / refunds dated on or after ``start``.
 
-    ``end`` (inclusive) is an optional extra bound pushed to the scan; the
-    reference filtered it after the transform, with the same result.
+    ``end`` (inclusive) is an optional extra bound pushed to the scan. Of an id
+    dated on both sides of it, the row kept first may differ from a filter after
+    the transform; the jobs that close a month filter afterwards.
     """
     where = (F.col("move_type").isin(*INVOICE_MOVE_TYPES)
              & text_on_or_after("invoice_date", start)

@@ -15,15 +15,27 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from ledgerspark.operators.dedup import SEQ
 
 
+def loose_schema(schema: T.StructType) -> T.StructType:
+    """``schema`` with every scalar but booleans and ``_seq`` as text.
+
+    An ERP writes ``false`` for any empty field, numbers included; as text it
+    passes, and the normalisers (X10, X11, X12) turn it into 0 or null.
+    """
+    loose = (T.NumericType, T.StringType, T.DateType, T.TimestampType, T.TimestampNTZType)
+    return T.StructType([T.StructField(f.name, T.StringType() if isinstance(f.dataType, loose) and f.name != SEQ
+                                       else f.dataType) for f in schema.fields])
+
+
 def read_landed(spark: SparkSession, path: str, schema: T.StructType,
                 fmt: str = "parquet") -> DataFrame:
-    """Read a landed table with its declared schema (JSON lines or parquet)."""
-    reader = spark.read.schema(schema)
+    """Read a landed table: parquet with its declared schema, JSON lines loosely typed (``loose_schema``).
+
+    In JSON, unknown fields are ignored; a malformed line fails the job instead
+    of silently turning into "no data" (the reference returned []).
+    """
     if fmt == "json":
-        # Unknown fields are ignored; a malformed line fails the job instead of
-        # silently turning into "no data" (the reference returned []).
-        return reader.option("mode", "FAILFAST").json(path)
-    return reader.format(fmt).load(path)
+        return spark.read.schema(loose_schema(schema)).option("mode", "FAILFAST").json(path)
+    return spark.read.schema(schema).format(fmt).load(path)
 
 
 def fetch(df: DataFrame, fields: Sequence[str] | None = None,
@@ -60,24 +72,3 @@ def text_on_or_before(col: str, day) -> Column:
     """``col <= day`` (whole day inclusive) on ISO date/datetime text."""
     d = str(day)[:10]
     return (F.col(col) < F.lit(d + "~")) & F.col(col).rlike(r"^\d{4}-\d{2}-\d{2}")
-
-
-def spread_small_input(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Spread an under-split scan over all task slots.
-
-    A scan yields one task per file split (per parquet row group); a small
-    landing in one row group would run all the per-row parsing on a single
-    core. When the scan has fewer partitions than the session's default
-    parallelism it is hash-partitioned on a hash of the whole row to that many
-    (deterministic under task retries, no sort, no hot key unless whole rows
-    repeat); a large input already has more splits than slots and is
-    returned unchanged (no shuffle).
-    """
-    try:
-        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # no RDD view (e.g. a Spark Connect session): leave the scan as is
-        return df
-    if splits >= target:
-        return df
-    return df.repartition(target, F.xxhash64(*df.columns))

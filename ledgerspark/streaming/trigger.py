@@ -18,7 +18,7 @@ def run_on_new_landings(spark: SparkSession, landing_path: str, schema: T.Struct
     run and then stops, so this fits a scheduled daily run. Progress is kept
     in ``<spark.checkpoint.dir>/streams/<name>``: a re-run after a failure
     resumes at the first unfinished batch, and a batch whose job failed is
-    retried. Returns the ids of the batches that carried rows.
+    retried, so a job may see a batch again (at least once). Returns the ids of the batches that carried rows.
     """
     ckpt = f"{checkpoint_dir(spark).rstrip('/')}/streams/{name}"
     done: list[int] = []
