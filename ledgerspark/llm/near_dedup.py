@@ -14,17 +14,20 @@ are linked, and linked documents share a component.
    member and bucket at most, never all pairs.
 4. The rest, without loss. Two members of a bucket that are not both linked with its
    hub p may still be linked. With D(z) the symmetric difference of z and p,
-   |x| + |y| - 2 |x & y| = |D(x)| + |D(y)| - 2 |D(x) & D(y)|, so a link needs a
-   common part of D(x) and D(y) of at least w(x) + w(y), w(z) = (|D(z)| - r |z|) / 2
-   with r = (1 - s) / (1 + s), which is above zero. By the prefix principle it is
-   enough to look up the first |D| - t + 1 elements (t the least such part) in any
-   fixed order; here what x adds to p comes before what it lacks. The few pairs that
-   meet are verified as well.
+   |x ^ y| = |D(x)| + |D(y)| - 2 |D(x) & D(y)|, and x and y are linked exactly when
+   |x ^ y| <= r (|x| + |y|), r = (1 - s) / (1 + s). If x is not linked with p, that
+   needs a common element of D(x) and D(y). So verification also returns D, and the
+   members that are not linked are looked up among all members of their hub by the
+   elements of D: counting common elements gives the exact similarity, pairs without
+   one never appear, and only links leave the task. The looked-up members of a hub are
+   split into blocks of about ``BLOCK_ELEMENTS`` elements, against which the others are
+   streamed.
 5. Components of the verified links by union-find and star rounds.
 
-Scale: everything but steps 3 and 4 works on hashes. Texts are shuffled only for
+Scale: everything but step 3 works on hashes. Texts are shuffled only for
 representatives in a bucket, found by a bit map of fixed size. Joins have plain
-exchanges on both sides, which Spark splits when a bucket or hub is hot.
+exchanges on both sides, which Spark splits when a bucket or hub is hot; a block of
+step 4 is bounded, and its other side is streamed.
 
 Defined cases: null, empty or wordless texts have n_shingles 0, are linked with
 nothing and kept; a text with fewer than ``size`` words has its whole sequence as
@@ -36,8 +39,6 @@ gives an empty result. Other columns are not read.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from fractions import Fraction
-from math import ceil, floor
 
 import numpy as np
 import pyarrow as pa
@@ -89,22 +90,9 @@ def _sets(texts: pa.Array, size: int) -> list[np.ndarray]:
     return out
 
 
-def _verify(size: int, percent: int, deltas: bool):
-    """Rows with texts ``left`` and ``right``: whether they are linked; with ``deltas`` also the elements of
-    left's difference to right, its hub, that step 4 looks up."""
-    ratio = Fraction(100 - percent, 100 + percent)
-    most = Fraction(100, percent)  # of the sizes of two linked sets
-
-    def prefix(x: np.ndarray, p: np.ndarray, common: int, linked: bool) -> np.ndarray:
-        d = len(x) + len(p) - 2 * common
-        if linked:  # the partner is not linked with p: its w is above r |p| / 2
-            t = ratio * len(p) / 2 + (d - ratio * len(x)) / 2
-        else:  # the part is no larger than the partner's difference, and the partner at most ``most`` times as large
-            t = d - ratio * len(x) - ratio * len(x) * most
-        keep = d - max(1, ceil(t)) + 1
-        adds = np.setdiff1d(x, p, assume_unique=True)[:max(keep, 0)]
-        lacks = np.setdiff1d(p, x, assume_unique=True)[:max(keep - len(adds), 0)]
-        return np.concatenate((mix(adds + U(1)), mix(lacks + U(2)))).view(np.int64)
+def _verify(size: int, percent: int):
+    """Rows with texts ``left`` and ``right``, its hub: whether they are linked on the full sets, left's size and,
+    where ``wide``, the hashed elements of left's difference to right (with the side they are on)."""
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for big in batches:
@@ -112,31 +100,84 @@ def _verify(size: int, percent: int, deltas: bool):
                 b = big.slice(at, 512)
                 get = lambda c: b.column(b.schema.get_field_index(c))
                 left, right = _sets(get("left"), size), _sets(get("right"), size)
-                linked, parts = [], []
-                for x, y in zip(left, right):
+                linked, sizes, parts = [], [], []
+                for x, y, wide in zip(left, right, get("wide").to_pylist()):
                     common = len(np.intersect1d(x, y, assume_unique=True))
-                    ok = 100 * common >= percent * (len(x) + len(y) - common)
-                    linked.append(ok)
-                    if deltas:
-                        parts.append(prefix(x, y, common, ok))
-                cols = [get("u"), get("u_key"), get("v"), get("v_key"), pa.array(linked)]
-                names = ["u", "u_key", "v", "v_key", "linked"]
-                if deltas:
-                    cols.append(pa.array(parts, pa.list_(pa.int64())))
-                    names.append("part")
-                yield pa.RecordBatch.from_arrays(cols, names=names)
+                    linked.append(100 * common >= percent * (len(x) + len(y) - common))
+                    sizes.append(len(x))
+                    parts.append(np.concatenate((mix(np.setdiff1d(x, y, assume_unique=True) + U(1)),
+                                                 mix(np.setdiff1d(y, x, assume_unique=True) + U(2)))).view(np.int64) if wide else None)
+                yield pa.RecordBatch.from_arrays(
+                    [get("u"), get("u_key"), get("v"), get("v_key"), pa.array(linked), pa.array(sizes, pa.int64()),
+                     pa.array(parts, pa.list_(pa.int64()))],
+                    names=["u", "u_key", "v", "v_key", "linked", "n", "part"])
 
     return verify
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, size: int, percent: int, deltas: bool) -> DataFrame:
-    """``pairs`` (u, u_key, v, v_key) with ``linked`` on the full sets."""
+#: Elements that a block of looked-up members holds.
+BLOCK_ELEMENTS = 1 << 20
+
+
+def _look_up(percent: int):
+    """Rows sorted by (v, v_key, block, role): the members of a block (role 0), then all members of its hub."""
+
+    def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hub, asked, index = None, [], None
+
+        def build():
+            sizes = np.array([len(r["part"]) for r in asked], np.int64)
+            e = np.concatenate([np.array(r["part"], np.int64) for r in asked]) if asked else np.zeros(0, np.int64)
+            owner = np.repeat(np.arange(len(asked)), sizes)
+            by = np.argsort(e, kind="stable")
+            return e[by], owner[by], sizes, np.array([r["n"] for r in asked], np.int64)
+
+        def links_of(rows: list[dict]) -> Iterator[pa.RecordBatch]:
+            e, owner, sizes, ns = index
+            for at in range(0, len(rows), 256):
+                some = rows[at:at + 256]
+                d = np.array([len(r["part"]) for r in some])
+                mine = np.concatenate([np.array(r["part"], np.int64) for r in some])
+                who = np.repeat(np.arange(len(some)), d)
+                lo, hi = np.searchsorted(e, mine, side="left"), np.searchsorted(e, mine, side="right")
+                n = hi - lo
+                met = np.repeat(lo, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+                common = np.bincount(np.repeat(who, n) * len(sizes) + owner[met], minlength=len(some) * len(sizes))
+                common = common.reshape(len(some), len(sizes))
+                both = np.array([r["n"] for r in some])[:, None] + ns[None, :]
+                apart = d[:, None] + sizes[None, :] - 2 * common
+                m, q = np.nonzero((common > 0) & (100 * (both - apart) >= percent * (both + apart)))
+                u, v = [some[i]["u"] for i in m], [asked[j]["u"] for j in q]
+                yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], names=["u", "v"])
+
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                wait: list[dict] = []
+                for r in batch.slice(at, 256).to_pylist():
+                    key = (r["v"], r["v_key"], r["block"])
+                    if key != hub:
+                        if wait:
+                            yield from links_of(wait)
+                        hub, asked, index, wait = key, [], None, []
+                    if r["role"] == 0:
+                        asked.append(r)
+                    else:
+                        index = index or build()
+                        wait.append(r)
+                if wait:
+                    yield from links_of(wait)
+
+    return look_up
+
+
+def _verified(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
+    """``pairs`` (u, u_key, v, v_key, wide) judged on the full sets."""
     ends = pairs.select("u").unionByName(pairs.select(F.col("v").alias("u")))
     there = marked(texts, bitmap(ends, "u"), "__id").where("__hit").drop("__hit").dropDuplicates(["__id", "__key"])
     left = there.select(F.col("__id").alias("u"), F.col("__key").alias("u_key"), F.col("text").alias("left"))
     right = there.select(F.col("__id").alias("v"), F.col("__key").alias("v_key"), F.col("text").alias("right"))
-    schema = "u long, u_key long, v long, v_key long, linked boolean" + ", part array<long>" * deltas
-    return pairs.join(left, ["u", "u_key"]).join(right, ["v", "v_key"]).mapInArrow(_verify(size, percent, deltas), schema)
+    return pairs.join(left, ["u", "u_key"]).join(right, ["v", "v_key"]).mapInArrow(
+        _verify(size, percent), "u long, u_key long, v long, v_key long, linked boolean, n long, part array<long>")
 
 
 def links(signed: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
@@ -158,16 +199,21 @@ def links(signed: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFr
     hubs = members.groupBy("band").agg(F.max_by(F.struct("__id", "__key"), F.struct("score", -F.col("__id"), "__key")).alias("hub"))
     stars = members.join(written(hubs, "near-hubs"), "band").where("__id <> hub.__id").select(
         F.col("__id").alias("u"), F.col("__key").alias("u_key"), F.col("hub.__id").alias("v"), F.col("hub.__key").alias("v_key"))
-    tested = written(_verified(written(stars.distinct(), "near-stars"), texts, size, percent, True), "near-tested")
-
-    parts = tested.select("v", "v_key", "u", "u_key", "linked", F.explode("part").alias("e"))
-    open_ = parts.where("not linked").select("v", "v_key", "e", "u", "u_key")
-    other = parts.select("v", "v_key", "e", F.col("u").alias("o"), F.col("u_key").alias("o_key"), "linked")
-    # of two open members each would meet the other: the smaller one keeps the pair
-    meet = open_.join(other, ["v", "v_key", "e"]).where("u <> o and (linked or u < o)")
-    pairs = written(meet.select("u", "u_key", F.col("o").alias("v"), F.col("o_key").alias("v_key")).distinct(), "near-pairs")
-    more = _verified(pairs, texts, size, percent, False)
-    return written(tested.where("linked").select("u", "v").unionByName(more.where("linked").select("u", "v")), "near-links")
+    stars = written(stars.distinct(), "near-stars")
+    wide = stars.groupBy("v", "v_key").count().where("count > 1").select("v", "v_key", F.lit(True).alias("wide"))
+    stars = written(stars.join(wide, ["v", "v_key"], "left").withColumn("wide", F.coalesce("wide", F.lit(False))), "near-pairs")
+    tested = written(_verified(stars, texts, size, percent), "near-tested")
+
+    hub = ["v", "v_key"]
+    open_ = tested.where("not linked and part is not null")
+    blocks_ = written(open_.groupBy(*hub).agg((F.floor(F.sum(F.size("part")) / BLOCK_ELEMENTS) + 1).cast("int").alias("blocks")), "near-open")
+    asked = open_.join(blocks_, hub).withColumn("block", F.pmod(F.xxhash64("u", "u_key"), "blocks").cast("int"))
+    others = tested.join(blocks_, hub).withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    cols = [*hub, "block", "role", "u", "n", "part"]
+    rows = asked.withColumn("role", F.lit(0)).select(*cols).unionByName(others.withColumn("role", F.lit(1)).select(*cols))
+    dealt = rows.repartition(*hub, "block").sortWithinPartitions(*hub, "block", "role")
+    more = dealt.mapInArrow(_look_up(percent), "u long, v long").where("u <> v")
+    return written(tested.where("linked").select("u", "v").unionByName(more), "near-links")
 
 
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
