@@ -18,9 +18,10 @@ once. A window repeats when a neighbour shares ``width`` bytes with it or its
 segment has copies.
 
 Across shards: an anchor with more than ``SHARD_SEGMENTS`` different segments is
-split over several shards. These hand on digests of their windows in sorted runs;
-runs are dealt by digest and looked up in each other by binary search, so what
-two of them share is found wherever it stands.
+split over several shards. These hand on digests of their different windows as
+sorted runs, cut at fixed digests into ranges (more ranges for more shards, so a
+range of an anchor stays of one size); the runs of a range are looked up in each
+other by binary search, so what two shards share is found wherever it stands.
 
 Scale: a shard takes about a megabyte of segments at a time; only segments under
 anchors with different segments are ever sorted. Texts are shuffled only where a
@@ -168,21 +169,21 @@ def _extract(width: int):
             at = [int(b.offsets[d]) + s["first"] for d, s in rows]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(ids[doc]), pa.array(keys[doc]), col("anchor", pa.int64()), col("shard", pa.int32()),
-                 col("split", pa.bool_()), col("single", pa.bool_()), col("first", pa.int32()),
+                 col("shards", pa.int32()), col("single", pa.bool_()), col("first", pa.int32()),
                  pa.array([raw[a:a + s["n"] - 1 + width] for a, (_, s) in zip(at, rows)], pa.binary())],
-                names=["__id", "__key", "anchor", "shard", "split", "single", "first", "bytes"])
+                names=["__id", "__key", "anchor", "shard", "shards", "single", "first", "bytes"])
 
     return extract
 
 
-SHARD_OUT = "__id long, __key long, start int, stop int, w1 long, w2 long, single boolean"
+#: Spans of repeated windows (part -1), or a run of window digests: windows of one anchor in one range of digests.
+SHARD_OUT = ("anchor long, part int, ids array<long>, keys array<long>, starts array<int>, stops array<int>, "
+             "w1 array<long>, w2 array<long>, single array<boolean>")
+RANGES_PER_SHARD = 16
 
 
-def _out(ids, keys, start, stop, w1, w2, single) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [pa.array(ids, pa.int64()), pa.array(keys, pa.int64()), pa.array(start, pa.int32()), pa.array(stop, pa.int32()),
-         pa.array(w1, pa.int64()), pa.array(w2, pa.int64()), pa.array(single, pa.bool_())],
-        names=[c.split()[0] for c in SHARD_OUT.split(", ")])
+def _lists(cuts: np.ndarray, *columns: np.ndarray) -> list[pa.ListArray]:
+    return [pa.ListArray.from_arrays(pa.array(cuts.astype(np.int32)), pa.array(c)) for c in columns]
 
 
 def repeated_windows(texts: list[bytes], width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -213,26 +214,37 @@ def repeated_windows(texts: list[bytes], width: int) -> tuple[np.ndarray, np.nda
 
 
 def _shards(width: int):
-    """Sorted segments of shards to spans of repeated windows, and digests of the windows of split anchors."""
+    """Sorted segments of shards to spans of repeated windows, and runs of window digests of split anchors."""
+    names = [c.split()[0] for c in SHARD_OUT.split(", ")]
 
     def solve(rows: list[dict]) -> Iterator[pa.RecordBatch]:
         text, place, repeats, leads = repeated_windows([r["bytes"] for r in rows], width)
         get = lambda name: np.array([r[name] for r in rows])[text]
-        single, split = get("single"), get("split")
-        ids, keys, first = get("__id"), get("__key"), get("first")
+        single, shards, anchors = get("single"), get("shards").astype(U), get("anchor")
+        ids, keys, start = get("__id"), get("__key"), (get("first") + place).astype(np.int32)
         hit = np.flatnonzero(repeats & single)
         if len(hit):  # consecutive windows of a segment become one span
             new = np.concatenate(([True], (np.diff(hit) > 1) | (text[hit][1:] != text[hit][:-1])))
             a, z = hit[new], hit[np.append(np.flatnonzero(new)[1:], len(hit)) - 1]
-            no = np.zeros(len(a), np.int64)
-            yield _out(ids[a], keys[a], first[a] + place[a], first[z] + place[z] + width, no, no, np.zeros(len(a), bool))
-        hand = np.flatnonzero(split & leads)
+            none = np.zeros(0, np.int64)
+            at = np.array([0, len(a)])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([0], pa.int64()), pa.array([-1], pa.int32()), *_lists(at, ids[a], keys[a], start[a], start[z] + np.int32(width)),
+                 *_lists(np.zeros(2), none, none, none.astype(bool))], names=names)
+        hand = np.flatnonzero((shards > 1) & leads)
         if len(hand):
-            at = place[hand]
             d = np.frombuffer(b"".join([hashlib.blake2b(rows[t]["bytes"][p:p + width], digest_size=16).digest()
-                                        for t, p in zip(text[hand].tolist(), at.tolist())]), np.int64)
-            yield _out(ids[hand], keys[hand], first[hand] + at, first[hand] + at + width, d[::2], d[1::2],
-                       single[hand] & ~repeats[hand])
+                                        for t, p in zip(text[hand].tolist(), place[hand].tolist())]), U)
+            w1, w2 = d[::2], d[1::2]
+            part = ((w1 >> U(32)) * (shards[hand] * U(RANGES_PER_SHARD)) >> U(32)).astype(np.int32)
+            by = np.lexsort((w2, w1, part, anchors[hand]))
+            hand, w1, w2, part = hand[by], w1[by], w2[by], part[by]
+            anchor = anchors[hand]
+            new = np.flatnonzero(np.concatenate(([True], (part[1:] != part[:-1]) | (anchor[1:] != anchor[:-1]))))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(anchor[new]), pa.array(part[new]), *_lists(
+                    np.append(new, len(hand)), ids[hand], keys[hand], start[hand], start[hand] + np.int32(width),
+                    w1.view(np.int64), w2.view(np.int64), single[hand] & ~repeats[hand])], names=names)
 
     def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         todo: list[dict] = []  # whole shards of anchors, about SHARD_BYTES of them
@@ -253,31 +265,32 @@ def _shards(width: int):
 def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Windows of split anchors that another shard has too.
 
-    The input is sorted by digest. The equals of a window lie between two binary
-    searches; rows with a batch's last digest wait for the next batch.
+    The input is sorted by (anchor, part). The runs of a part are merged, and the equals of a window lie
+    between two binary searches in the merged digests.
     """
-    names = ["__id", "__key", "start", "stop"]
 
-    def settle(t: pa.Table) -> list[pa.RecordBatch]:
-        w1, w2 = t.column("w1").to_numpy(), t.column("w2").to_numpy()
-        new = np.concatenate(([True], (w1[1:] != w1[:-1]) | (w2[1:] != w2[:-1])))
-        name = np.cumsum(new)
+    def settle(runs: list[dict]) -> pa.RecordBatch:
+        get = lambda c, kind: np.concatenate([np.array(r[c], kind) for r in runs])
+        w1, w2, single = get("w1", np.int64), get("w2", np.int64), get("single", bool)
+        by = np.lexsort((w2, w1))
+        w1, w2 = w1[by], w2[by]
+        name = np.cumsum(np.concatenate(([True], (w1[1:] != w1[:-1]) | (w2[1:] != w2[:-1]))))
         many = np.searchsorted(name, name, side="right") - np.searchsorted(name, name, side="left") > 1
-        return t.filter(pa.array(many & t.column("single").to_numpy())).select(names).to_batches()
+        out = by[many & single[by]]
+        return pa.RecordBatch.from_arrays(
+            [pa.array(get(c, k)[out]) for c, k in (("ids", np.int64), ("keys", np.int64), ("starts", np.int32), ("stops", np.int32))],
+            names=["__id", "__key", "start", "stop"])
 
-    wait = None
+    runs: list[dict] = []
     for batch in batches:
-        if not batch.num_rows:
-            continue
-        t = pa.Table.from_batches([batch])
-        t = t if wait is None else pa.concat_tables([wait, t])
-        w1 = t.column("w1").to_numpy()
-        cut = int(np.searchsorted(w1, w1[-1], side="left"))
-        if cut:
-            yield from settle(t.slice(0, cut))
-        wait = t.slice(cut)
-    if wait is not None:
-        yield from settle(wait)
+        for k in range(batch.num_rows):
+            row = batch.slice(k, 1).to_pylist()[0]
+            if runs and (runs[0]["anchor"], runs[0]["part"]) != (row["anchor"], row["part"]):
+                yield settle(runs)
+                runs = []
+            runs.append(row)
+    if runs:
+        yield settle(runs)
 
 
 def repeated_spans(docs: DataFrame, width: int = 400, part: int = PART) -> DataFrame:
@@ -302,18 +315,19 @@ def repeated_spans(docs: DataFrame, width: int = 400, part: int = PART) -> DataF
     shards = shards.where("segments > 1").withColumn("shards", F.ceil(F.col("segments") / SHARD_SEGMENTS))
     rows = kinds.join(written(shards, "suffix-shards"), "anchor").select(
         "one.*", "anchor", F.pmod("d1", "shards").cast("int").alias("shard"),
-        (F.col("shards") > 1).alias("split"), (F.col("copies") == 1).alias("single"))
-    fields = ["anchor", "shard", "split", "single", "first", "n"]
+        F.col("shards").cast("int").alias("shards"), (F.col("copies") == 1).alias("single"))
+    fields = ["anchor", "shard", "shards", "single", "first", "n"]
     lists = written(rows.groupBy("__id", "__key").agg(F.collect_list(F.struct(*fields)).alias("segments")), "suffix-lists")
     there = marked(texts, bitmap(lists, "__id"), "__id").where("__hit").drop("__hit").dropDuplicates(["__id", "__key"])
     sent = there.join(lists, ["__id", "__key"]).mapInArrow(
-        _extract(width), "__id long, __key long, anchor long, shard int, split boolean, single boolean, first int, bytes binary")
+        _extract(width), "__id long, __key long, anchor long, shard int, shards int, single boolean, first int, bytes binary")
     dealt = sent.repartition("anchor", "shard").sortWithinPartitions("anchor", "shard")
     solved = written(dealt.mapInArrow(_shards(width), SHARD_OUT), "suffix-solved")
-    local = solved.where("w1 = 0 and w2 = 0").select("__id", "__key", "start", "stop")
-    handed = solved.where("w1 <> 0 or w2 <> 0")
-    merged = handed.repartition("w1", "w2").sortWithinPartitions("w1", "w2").mapInArrow(
-        _merge, "__id long, __key long, start int, stop int")
+    spans = F.explode(F.arrays_zip("ids", "keys", "starts", "stops")).alias("s")
+    local = solved.where("part < 0").select(spans).select(
+        F.col("s.ids").alias("__id"), F.col("s.keys").alias("__key"), F.col("s.starts").alias("start"), F.col("s.stops").alias("stop"))
+    handed = solved.where("part >= 0").repartition("anchor", "part").sortWithinPartitions("anchor", "part")
+    merged = handed.mapInArrow(_merge, "__id long, __key long, start int, stop int")
     return written(whole.unionByName(local).unionByName(merged), "suffix-spans")
 
 
