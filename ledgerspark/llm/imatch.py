@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerspark.llm.blocks import Block, U, blocks, mix
-from ledgerspark.llm.common import external_id, keyed, written
+from ledgerspark.llm.common import NO_ID, external_id, keyed, written
 from ledgerspark.llm.sharding import shard_bounds
 
 BITS, SLICE = 20, 1 << 12
@@ -167,7 +167,7 @@ def neighbours(docs: DataFrame, function, schema: str, shard_bytes: int = SHARD_
     consecutive documents plus the one after them; it returns a record batch for all but the last."""
     light = written(docs.select("__id", "__key", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n")), "imatch-light")
     light = light.withColumn("n", F.col("n") + 64)
-    bounds = shard_bounds(light, "__id", "n", shard_bytes)
+    bounds = shard_bounds(light.where(F.col("__id") != NO_ID), "__id", "n", shard_bytes)
     # the first (id, key) of every range, eight-byte values: as many rows as there are ranges
     dealt = light.select("__id", "__key").mapInArrow(_to_range(bounds, {}, {}), "__id long, __key long, part int, tail boolean")
     heads = {r["part"]: tuple(r["h"]) for r in dealt.groupBy("part").agg(F.min(F.struct("__id", "__key")).alias("h")).collect()}

@@ -204,6 +204,8 @@ class Codec:
             return ids, [None] * len(ids)
         # a word's first marker is the dummy prefix that the library adds itself
         theirs = self.library.encode([w[1:].replace(MARK, " ") for w in new], num_threads=1)
+        alone = [self.library.piece_to_id(MARK)]  # of an empty text the library leaves out the prefix
+        theirs = [alone if w == MARK else x for w, x in zip(new, theirs)]
         self.odd.update(w for w, a, b in zip(new, found, theirs) if a != b)
         return ids, [self.odd.isdisjoint(ws) for ws in words]
 

@@ -20,9 +20,10 @@ def shard_bounds(light: DataFrame, col: str, size: str, shard_bytes: int) -> np.
     low, high, total = light.agg(F.min(col), F.max(col), F.sum(size)).first()
     if not total:
         return np.zeros(0, np.int64)
+    low, high = int(low), int(high)
     shards = -(-int(total) // shard_bytes)
     width = max(1, -(-(high - low + 1) // (shards * BINS_PER_SHARD)))
-    bins = light.groupBy(((F.col(col) - low).cast("decimal(20,0)") / width).cast("long").alias("bin")).agg(F.sum(size).alias("s"))
+    bins = light.groupBy(F.floor((F.col(col).cast("decimal(20,0)") - F.lit(low).cast("decimal(20,0)")) / width).alias("bin")).agg(F.sum(size).alias("s"))
     before = F.sum("s").over(Window.orderBy("bin").rowsBetween(Window.unboundedPreceding, -1))
     cuts = (bins.withColumn("shard", (F.coalesce(before, F.lit(0)) / shard_bytes).cast("long")).where("shard > 0")
             .groupBy("shard").agg(F.min("bin").alias("bin")))

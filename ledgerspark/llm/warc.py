@@ -172,7 +172,7 @@ def write_archives(pages: DataFrame, folder: str, least_bytes: int = 0, shard_by
     latest = light.where(F.col("n") >= least_bytes).groupBy("digest").agg(F.max("page").alias("last"), F.min("page").alias("first"))
     latest = written(latest.where("first < last").select("digest", "last"), "warc-latest")
     revisits = light.join(latest, "digest").where("page < last").select("page", "digest", F.col("last").alias("refers_to")).distinct()
-    bounds = shard_bounds(light.withColumn("n", F.col("n") + 512), "page", "n", shard_bytes)
+    bounds = shard_bounds(light.where(F.col("page") != NO_PAGE).withColumn("n", F.col("n") + 512), "page", "n", shard_bytes)
     no = lambda kind: F.lit(None).cast(kind)
     decisions = revisits.select("page", F.lit(0).alias("kind"), "refers_to", "digest", no("string").alias("url"), no("string").alias("html"))
     rows = pages.select(page, F.lit(1).alias("kind"), no("long").alias("refers_to"), no("string").alias("digest"), "url", "html")
