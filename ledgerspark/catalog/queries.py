@@ -19,6 +19,7 @@ from ledgerspark.functions import (amount, clean_markers, clean_strip, exception
                                    id_text, iso_datetime, list_length, m2m_names, m2o_id,
                                    m2o_name, parse_date, round_half_even, street_key,
                                    strip_doc_code, to_id)
+from ledgerspark.functions.common import then, with_columns_once
 from ledgerspark.functions.periods import month_start, previous_month
 from ledgerspark.operators import (carry_over, day_count, discarded_invoiced, frequency,
                                    tag_names_from_table, top_n)
@@ -60,7 +61,8 @@ def q_m2o_id(spark, d):
         WHEN 5 THEN concat(' [', o_custkey, ', "x"]')
         WHEN 6 THEN concat(o_custkey, '.7')
         ELSE '[]' END""")
-    return o.select(F.col("o_orderkey").alias("id"), m2o_id(rel).alias("id_cliente"))
+    df = o.select(F.col("o_orderkey").alias("id"), rel.alias("rel"))
+    return with_columns_once(df, {"id_cliente": m2o_id("rel")}).drop("rel")
 
 
 def q_m2o_id_scalar(spark, d):
@@ -85,7 +87,8 @@ def q_m2o_name(spark, d):
         WHEN 5 THEN concat('[', o_custkey, ', None]')
         WHEN 6 THEN concat('[', o_custkey, ', null]')
         ELSE CAST(o_custkey AS STRING) END""")
-    return o.select(F.col("o_orderkey").alias("id"), m2o_name(rel).alias("nombre"))
+    df = o.select(F.col("o_orderkey").alias("id"), rel.alias("rel"))
+    return with_columns_once(df, {"nombre": m2o_name("rel")}).drop("rel")
 
 
 def q_m2m_names(spark, d):
@@ -115,8 +118,8 @@ def q_tag_map(spark, d):
 def q_exception_label(spark, d):
     """X7 then text cleaning A, as in the order transform."""
     raw = L.sale_orders(spark, d)
-    return raw.select(F.col("id"),
-                      clean_markers(exception_label("main_exception_id")).alias("excepcion"))
+    label = then(exception_label("main_exception_id"), clean_markers)
+    return with_columns_once(raw.select("id", "main_exception_id"), {"excepcion": label}).drop("main_exception_id")
 
 
 def q_num_default(spark, d):
@@ -152,7 +155,8 @@ def q_date_parse(spark, d):
         WHEN 5 THEN date_format(o_orderdate, 'yyyy')
         WHEN 6 THEN date_format(o_orderdate, "yyyy-MM-dd'T'10:00:00")
         ELSE concat(' ', date_format(o_orderdate, 'yyyy-MM-dd'), ' ') END""")
-    return o.select(F.col("o_orderkey").alias("id"), parse_date(txt).alias("fecha"))
+    df = o.select(F.col("o_orderkey").alias("id"), txt.alias("txt"))
+    return with_columns_once(df, {"fecha": parse_date("txt")}).drop("txt")
 
 
 def q_iso_date(spark, d):
@@ -228,7 +232,7 @@ def q_coord_round(spark, d):
 def q_list_length(spark, d):
     """Length of the tax list of each invoice line (0 when not a list)."""
     raw = L.move_lines(spark, d)
-    return raw.select(F.col("id"), list_length("tax_ids").alias("n_taxes"))
+    return with_columns_once(raw.select("id", "tax_ids"), {"n_taxes": list_length("tax_ids")}).drop("tax_ids")
 
 
 # ------------------------------------------------------------------- invoices
