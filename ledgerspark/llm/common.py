@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 import zipfile
@@ -29,6 +30,10 @@ def scratch(spark: SparkSession) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         folder = "file://" + tempfile.mkdtemp(prefix="ledgerspark-llm-")
         sc.setCheckpointDir(folder)
+    if "://" not in folder:  # a bare path belongs to the cluster's default file system, for every reader alike
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        folder = path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString()
+        folder = re.sub(r"^file:/(?!//)", "file:///", folder)
     return folder.rstrip("/")
 
 

@@ -105,7 +105,11 @@ class _Files:
             return []
         self.out.close()
         self.out = None
-        self.fs.move(self.temporary, f"{self.folder}/{self.name}")
+        try:
+            self.fs.move(self.temporary, f"{self.folder}/{self.name}")
+        except OSError:  # some stores do not rename over the equal file of an earlier attempt
+            self.fs.delete_file(f"{self.folder}/{self.name}")
+            self.fs.move(self.temporary, f"{self.folder}/{self.name}")
         row = (self.shard, self.part, self.name, self.records, self.bytes, self.first, self.last, self.sha.hexdigest())
         self.part += 1
         return [row]
