@@ -8,7 +8,7 @@ where asked for, the ids are compared with those of the sentencepiece library
 itself, on every word where words encode independently, else on every text.
 
 The model's bytes (under a megabyte) travel with the tasks; its path is read on the
-driver only. A task keeps the ids of at most half a million words.
+driver only. A task keeps the ids of at most a quarter of a million words or so.
 
 Defined cases: null text has null ids and no tokens, and counts as a round trip; an
 empty text has no ids; repeated rows are encoded alike; texts that hold the marker
@@ -21,6 +21,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -38,23 +39,23 @@ ADDED = [("ids", "array<int>", pa.list_(pa.int32())), ("n_tokens", "bigint", pa.
 def _encode(data: bytes, decoded: bool, parity: bool):
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = sentencepiece_model.Codec(data, parity=parity)
-        bytes_ = {i for i, (_, _, kind) in enumerate(codec.model.pieces) if kind == sentencepiece_model.BYTE}
         for b in blocks(batches):
             rows = b.rows
-            texts = rows.column(rows.schema.get_field_index("text")).to_pylist()
-            some = [t or "" for t in texts]
-            ids, same = codec.encode(some)
-            back = codec.decode(ids)
-            null = [t is None for t in texts]
+            texts = rows.column(rows.schema.get_field_index("text"))
+            null = texts.is_null().to_numpy(zero_copy_only=False)
+            plain = [t or "" for t in texts.to_pylist()]
+            out = codec.encode_all(plain)
+            # a list whose start is masked is null
+            starts = pa.array(out.offsets.astype(np.int32), mask=np.append(null, False))
             made = {
-                "ids": [None if z else x for x, z in zip(ids, null)], "n_tokens": [len(x) for x in ids],
-                "n_byte_tokens": [0 if bytes_.isdisjoint(x) else sum(i in bytes_ for i in x) for x in ids],
-                "decoded": [None if z else x for x, z in zip(back, null)] if decoded else [None] * len(some),
-                "round_trip": [x == t for x, t in zip(back, some)], "parity": same,
+                "ids": pa.ListArray.from_arrays(starts, pa.array(out.ids)),
+                "n_tokens": np.diff(out.offsets), "n_byte_tokens": out.n_byte,
+                "decoded": [None if z or not decoded else x.decode("utf-8", "replace") for x, z in zip(out.decoded, null)],
+                "round_trip": [x == t.encode() for x, t in zip(out.decoded, plain)], "parity": out.same,
             }
             names = [c for c in rows.schema.names if c not in made]
             yield pa.RecordBatch.from_arrays(
-                [*(rows.column(rows.schema.get_field_index(c)) for c in names), *(pa.array(made[c], kind) for c, _, kind in ADDED)],
+                [*(rows.column(rows.schema.get_field_index(c)) for c in names), *(made[c] if c == "ids" else pa.array(made[c], kind) for c, _, kind in ADDED)],
                 names=[*names, *(c for c, _, _ in ADDED)])
 
     return encode

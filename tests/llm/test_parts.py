@@ -137,5 +137,6 @@ def test_unigram_model_with_byte_fallback():
     codec = sentencepiece_model.Codec(data, parity=True)
     expected = theirs.encode(texts)
     assert [e.ids for e in ours.encode_batch(texts, add_special_tokens=False)] == expected
-    ids, same = codec.encode(texts)
-    assert ids == expected and all(same) and codec.decode(ids) == texts
+    out = codec.encode_all(texts)
+    assert codec.encode(texts) == expected and all(out.same) and codec.decode(expected) == texts
+    assert out.n_byte.tolist() == [0, 0, 0, 2, 3, 0, 0]
