@@ -90,7 +90,7 @@ def suffix_array(data: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
     """
     n = len(data)
     head = _heads(np.concatenate((data, np.zeros(8, np.uint8))), n)
-    order = np.argsort(head, kind="stable")
+    order = np.argsort(head)
     first = np.concatenate(([True], head[order][1:] != head[order][:-1])) if n else np.zeros(0, bool)
     group = np.maximum.accumulate(np.where(first, np.arange(n), 0))
     rank = np.empty(n + 1, np.int64)
@@ -104,7 +104,7 @@ def suffix_array(data: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
         step = min(have, depth - have)
         pos = order[slots]
         after = rank[np.minimum(pos + step, n)]
-        by = np.lexsort((after, rank[pos]))
+        by = np.argsort(rank[pos] * (n + 2) + after)
         pos, after = pos[by], after[by]
         order[slots] = pos
         old = rank[pos]
