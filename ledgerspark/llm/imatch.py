@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from ledgerspark.llm.blocks import Block, U, blocks, mix
 from ledgerspark.llm.common import NO_ID, external_id, keyed, written
-from ledgerspark.llm.sharding import shard_bounds
+from ledgerspark.llm.sharding import one_per_task, shard_bounds
 
 BITS, SLICE = 20, 1 << 12
 CHAINS = 16
@@ -196,7 +196,7 @@ def neighbours(docs: DataFrame, function, schema: str, shard_bytes: int = SHARD_
 
     sent = docs.select("__id", "__key", "text").mapInArrow(
         _to_range(bounds, heads, before), "__id long, __key long, text string, part int, tail boolean")
-    ordered = sent.repartition(max(len(parts), 1), "part").sortWithinPartitions("part", "tail", "__id", "__key")
+    ordered = one_per_task(sent, len(bounds) + 1, "part").sortWithinPartitions("part", "tail", "__id", "__key")
     return ordered.mapInArrow(stream, schema)
 
 

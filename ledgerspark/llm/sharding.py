@@ -8,6 +8,13 @@ from pyspark.sql import functions as F
 
 #: Bins of the histogram for each shard.
 BINS_PER_SHARD = 16
+#: Most tasks that shards are dealt to; beyond that a task gets several shards, one after another.
+MAX_TASKS = 50_000
+
+
+def one_per_task(rows: DataFrame, shards: int, col: str) -> DataFrame:
+    """``rows`` with shard ``col`` in task ``col`` (by number, not by hash, so no task gets two by chance)."""
+    return rows.repartitionById(max(1, min(shards, MAX_TASKS)), col)
 
 
 def shard_bounds(light: DataFrame, col: str, size: str, shard_bytes: int) -> np.ndarray:

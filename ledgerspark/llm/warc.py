@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerspark.llm.common import new_path, ship, written
-from ledgerspark.llm.sharding import shard_bounds
+from ledgerspark.llm.sharding import one_per_task, shard_bounds
 
 NO_PAGE = -(2**63)
 MANIFEST = "shard int, part int, file string, records long, bytes long, first_page long, last_page long, sha256 string"
@@ -182,7 +182,7 @@ def write_archives(pages: DataFrame, folder: str, least_bytes: int = 0, shard_by
     rows = pages.select(page, F.lit(1).alias("kind"), no("long").alias("refers_to"), no("string").alias("digest"), "url", "html")
     schema = "page long, kind int, refers_to long, digest string, url string, html string, shard int"
     both = decisions.unionByName(rows).mapInArrow(_to_shard(bounds), schema)
-    dealt = both.repartition(max(len(bounds) + 1, 1), "shard").sortWithinPartitions("shard", "page", "kind", "digest", "url", "html")
+    dealt = one_per_task(both, len(bounds) + 1, "shard").sortWithinPartitions("shard", "page", "kind", "digest", "url", "html")
     manifest = dealt.mapInArrow(_write(folder, file_bytes, level, date), MANIFEST)
     manifest.write.parquet(f"{folder}/_manifest")
     return spark.read.schema(MANIFEST).parquet(f"{folder}/_manifest")
