@@ -1,7 +1,7 @@
 """Whole texts as numpy arrays: byte blocks, words, rolling hashes, sliding minima.
 
-Used inside Arrow tasks. A block holds the texts of consecutive rows, about a
-megabyte, or one longer text; texts are never cut.
+Used inside Arrow tasks. A block holds the texts of consecutive rows, about half
+a megabyte, or one longer text; texts are never cut.
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-BLOCK = 1 << 20
+BLOCK = 1 << 19
 #: Positions in a block take the low bits of packed minima (a text has less than 2 GB).
 POS_BITS = 31
 _SPACE = np.zeros(256, bool)

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 #: Words of a text: maximal runs of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
+BATCH_BYTES = 8 << 20
 #: Internal id of rows without doc_id; it sorts after every real id.
 NO_ID = 2**63 - 1
 
@@ -38,8 +39,12 @@ def scratch(spark: SparkSession) -> str:
 
 
 def ship(spark: SparkSession) -> None:
-    """Send this package to the Python workers, once a context, so that nothing has to be installed there."""
+    """Send this package to the Python workers, once a context, so that nothing has to be installed there.
+
+    Arrow batches are held to 8 MB, which bounds what a worker and its JVM keep of a batch.
+    """
     sc = spark.sparkContext
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
     if getattr(sc, "_ledgerspark_shipped", False):
         return
     top = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))

@@ -60,13 +60,31 @@ def _distinct(text: np.ndarray, f: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return text[new], f[new]
 
 
-def _collect_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in blocks(batches):
-        text, f = _distinct(*features(b))
-        cut = np.searchsorted(text, np.arange(len(b.rows) + 1)).astype(np.int32)
-        get = lambda c: b.rows.column(b.rows.schema.get_field_index(c))
-        yield pa.RecordBatch.from_arrays([get("doc_id"), get("positive"), pa.ListArray.from_arrays(pa.array(cut), pa.array(f))],
-                                         names=["doc_id", "positive", "f"])
+def _collect_features(only: np.ndarray | None):
+    """Distinct features of texts; of a sorted list of hashes ``only`` those."""
+
+    def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in blocks(batches):
+            text, f = features(b)
+            if only is not None:
+                has = _place(only, f) >= 0
+                text, f = text[has], f[has]
+            text, f = _distinct(text, f)
+            cut = np.searchsorted(text, np.arange(len(b.rows) + 1)).astype(np.int32)
+            yield pa.RecordBatch.from_arrays(
+                [b.rows.column(b.rows.schema.get_field_index("doc_id")), pa.ListArray.from_arrays(pa.array(cut), pa.array(f))],
+                names=["doc_id", "f"])
+
+    return collect
+
+
+def _place(hashes: np.ndarray, f: np.ndarray) -> np.ndarray:
+    """Where each of ``f`` stands in the sorted ``hashes``, -1 for nowhere."""
+    if not len(hashes):
+        return np.full(len(f), -1)
+    at = np.searchsorted(hashes, f)
+    at[at == len(hashes)] = 0
+    return np.where(hashes[at] == f, at, -1)
 
 
 @dataclass
@@ -83,7 +101,12 @@ def train(texts: list[np.ndarray], positive: np.ndarray, prior: float, rounds: i
     """Non-negative PU learning with the logistic loss and Adam, all texts in every step."""
     n_pos, n_un = int(positive.sum()), int((~positive).sum())
     row = np.repeat(np.arange(len(texts)), [len(t) for t in texts])
-    names, flat = np.unique(np.concatenate([*texts, np.zeros(0, np.int64)]), return_inverse=True)
+    flat = np.concatenate([*texts, np.zeros(0, np.int64)])
+    # a feature has to be in two confirmed texts at least
+    names, twice = np.unique(flat[positive[row]], return_counts=True)
+    names = names[twice > 1]
+    flat = _place(names, flat)
+    row, flat = row[flat >= 0], flat[flat >= 0]
     df_p = np.bincount(flat[positive[row]], minlength=len(names)).astype(float)
     df_u = np.bincount(flat[~positive[row]], minlength=len(names)).astype(float)
     rate_all = (df_p + df_u) / (n_pos + n_un)
@@ -94,7 +117,6 @@ def train(texts: list[np.ndarray], positive: np.ndarray, prior: float, rounds: i
                 n - k > 0, (n - k) * np.log((n - k) / (n * (1 - rate_all))), 0)
 
     stands_out = np.where(df_p / n_pos > 2 * df_u / n_un, 2 * (g(df_p, n_pos) + g(df_u, n_un)), 0)
-    stands_out[df_p < 2] = 0
     chosen = np.argsort(-stands_out, kind="stable")[:MAX_FEATURES]
     chosen = np.sort(chosen[stands_out[chosen] >= least_g])
     place = np.full(len(names), -1)
@@ -132,16 +154,22 @@ def fit(docs: DataFrame, labels: DataFrame, target: str = "toxic") -> Model | No
         return None
     confirmed = bounded_sample(known.where(F.col(target) == 1).select("doc_id"), MAX_POSITIVE)
     unlabelled = bounded_sample(docs.select("doc_id").where(~held_out("doc_id")).distinct(), MAX_UNLABELLED)
-    ids = confirmed.withColumn("positive", F.lit(True)).unionByName(unlabelled.withColumn("positive", F.lit(False)))
-    texts = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id")
-    rows = texts.mapInArrow(_collect_features, "doc_id long, positive boolean, f array<bigint>").toArrow()
-    rows = rows.sort_by([("doc_id", "ascending"), ("positive", "ascending")])
-    positive = rows.column("positive").to_numpy()
-    if not positive.any() or positive.all():
+
+    def collected(ids: DataFrame, only: np.ndarray | None) -> list[np.ndarray]:
+        texts = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id")
+        rows = texts.mapInArrow(_collect_features(only), "doc_id long, f array<bigint>").toArrow().sort_by("doc_id")
+        f = rows.column("f").combine_chunks()
+        flat, off = f.values.to_numpy(), f.offsets.to_numpy()
+        return [flat[a:b] for a, b in zip(off[:-1], off[1:])]
+
+    toxic = collected(confirmed, None)
+    if not toxic:
+        return None
+    names, twice = np.unique(np.concatenate(toxic), return_counts=True)
+    clean = collected(unlabelled, names[twice > 1])
+    if not clean:
         return None
-    f = rows.column("f").combine_chunks()
-    flat, off = f.values.to_numpy(), f.offsets.to_numpy()
-    return train([flat[a:b] for a, b in zip(off[:-1], off[1:])], positive, min(max(float(prior), 1e-4), 0.9))
+    return train(toxic + clean, np.arange(len(toxic) + len(clean)) < len(toxic), min(max(float(prior), 1e-4), 0.9))
 
 
 def _score(model: Model):
@@ -149,10 +177,8 @@ def _score(model: Model):
         for b in blocks(batches):
             rows = b.rows
             text, f = features(b)
-            at = np.searchsorted(model.hashes, f)
-            at[at == len(model.hashes)] = 0
-            has = model.hashes[at] == f if len(model.hashes) else np.zeros(len(f), bool)
-            text, at = _distinct(text[has], at[has])
+            at = _place(model.hashes, f)
+            text, at = _distinct(text[at >= 0], at[at >= 0])
             z = model.intercept + np.bincount(text, weights=model.weights[at], minlength=len(rows))
             names = [c for c in rows.schema.names if c != "__score"]
             cols = [rows.column(rows.schema.get_field_index(c)) for c in names]
