@@ -3,11 +3,12 @@
 The terms of a text are its words (runs of letters, A to Z lower-cased). The lexicon
 keeps terms whose document frequency lies in a band: neither the words that most
 texts have nor those that a single text has. A fingerprint is made of ``CHAINS``
-hashes. Each belongs to a randomised subset of the lexicon, at the lowest of the
-rates 1, 1/2, 1/4, ... at which the text still has a term in it, and is the hash of
-the text's distinct sorted terms there; so long and short texts alike are told apart
-by a few terms per hash. The likeness of two fingerprints is the share of equal
-hashes among those that either text has, and 1 for equal fingerprints.
+hashes. Each belongs to a randomised subset of the lexicon, the same for every text,
+that keeps a term with probability 2^-l (``LEVELS``), and is the hash of all of the
+text's distinct sorted terms in it: the first subset is the whole lexicon; dense
+subsets tell short texts apart, sparse ones outlast the edits of long texts. A text
+without a term in a subset has no hash there. The likeness of two fingerprints is the
+share of equal hashes among those that either text has, and 1 for equal fingerprints.
 
 Document frequencies are exact counts over all documents, of terms hashed to 2^20
 classes: a class of terms counts as one term, which bounds the lexicon to 128 KB at
@@ -40,6 +41,8 @@ from ledgerspark.llm.sharding import one_per_task, shard_bounds
 
 BITS, SLICE = 20, 1 << 12
 CHAINS = 16
+#: The subset of each hash keeps 2^-level of the lexicon, whatever the text.
+LEVELS = (0, 4, 4, 5, 5, 6, 6, 7, 7, 8, 8, 9, 10, 11, 12, 13)
 #: Band of document frequency: at least MIN_DOCS documents, at most MAX_SHARE of all.
 MIN_DOCS, MAX_SHARE = 2, 0.1
 SHARD_BYTES = 16 << 20
@@ -106,29 +109,31 @@ def lexicon(docs: DataFrame, n_docs: int, min_docs: int = MIN_DOCS, max_share: f
     return np.unpackbits(out).astype(bool)
 
 
+def _hashes(text: np.ndarray, h: np.ndarray, n: int, chains: int) -> np.ndarray:
+    """(n, chains) of 32-bit hashes of the terms ``h``, grouped by ``text``; 0 where a text has none in the subset."""
+    out = np.zeros((n, chains), U)
+    if not len(text):
+        return out
+    begin = np.flatnonzero(np.concatenate(([True], text[1:] != text[:-1])))
+    value = mix(h)
+    for k in range(chains):
+        if k % 4 == 0:  # sixteen bits of a mix decide on a subset
+            u = mix(h + U((0x9E3779B97F4A7C15 * (k + 1)) & 0xFFFFFFFFFFFFFFFF))
+        inside = ((u >> U(16 * (k % 4))) & U(0xFFFF)) < U(1 << (16 - LEVELS[k % len(LEVELS)]))
+        total = np.add.reduceat(np.where(inside, value, U(0)), begin)
+        some = np.logical_or.reduceat(inside, begin)
+        out[text[begin], k] = np.where(some, (mix(total + U(k)) >> U(32)) | U(1), U(0))
+    return out
+
+
 def fingerprints(texts: list[bytes], band: np.ndarray, chains: int = CHAINS) -> np.ndarray:
     """(texts, chains) of 32-bit hashes; 0 where a text has no term."""
-    out = np.zeros((len(texts), chains), U)
-    at = 0
+    out = [np.zeros((0, chains), U)]
     for b in blocks(iter([pa.RecordBatch.from_arrays([pa.array(texts, pa.binary())], names=["text"])])):
-        n = len(b.rows)
         text, h = _terms(b)
         has = band[_class(h)]
-        text, h = text[has], h[has]
-        begin = np.flatnonzero(np.concatenate(([True], text[1:] != text[:-1]))) if len(text) else np.zeros(0, np.int64)
-        owner = text[begin]
-        length = np.diff(np.append(begin, len(text)))
-        for k in range(chains if len(text) else 0):
-            u = mix(h + U((0x9E3779B97F4A7C15 * (k + 1)) & 0xFFFFFFFFFFFFFFFF))
-            # the subset of rate 2^-l has the terms with u < 2^(64 - l); the lowest rate with a term follows from the least u
-            least = np.minimum.reduceat(u, begin)
-            for shift in (1, 2, 4, 8, 16, 32):
-                least |= least >> U(shift)
-            inside = u <= np.repeat(least, length)
-            total = np.add.reduceat(np.where(inside, mix(u + U(k)), U(0)), begin)
-            out[at + owner, k] = (mix(total + least) >> U(32)) | U(1)
-        at += n
-    return out
+        out.append(_hashes(text[has], h[has], len(b.rows), chains))
+    return np.concatenate(out)
 
 
 def hexes(f: np.ndarray) -> list[str]:

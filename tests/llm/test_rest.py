@@ -199,6 +199,18 @@ def test_fingerprint_edges(spark):
     assert len(out) == 1 and out[0].near_next == 1.0  # a single document is its own successor
 
 
+def test_fingerprints_hash_all_terms_of_fixed_subsets():
+    """A subset's hash depends on every term of the text in it: texts with equal terms in it agree, others do not."""
+    letters = str.maketrans("0123456789", "abcdefghij")
+    words = [f"w{i}".translate(letters) for i in range(400)]
+    band = np.ones(1 << imatch.BITS, bool)
+    alone = imatch.fingerprints([w.encode() for w in words], band)
+    inside = alone != 0  # (word, chain): whether the chain's subset has the word
+    assert inside[:, 0].all() and (inside.sum(axis=0)[1:9] > 0).all() and not inside[:, 1:].all(axis=0).any()
+    whole, *less = imatch.fingerprints([" ".join(words).encode(), *(" ".join(words[:i] + words[i + 1:]).encode() for i in range(400))], band)
+    assert ((whole == np.array(less)) == ~inside).all()
+
+
 # -------------------------------------------------------------------- WARC
 
 def pages(spark):
