@@ -10,9 +10,14 @@ subsets tell short texts apart, sparse ones outlast the edits of long texts. A t
 without a term in a subset has no hash there. The likeness of two fingerprints is the
 share of equal hashes among those that either text has, and 1 for equal fingerprints.
 
-Document frequencies are exact counts over all documents, of terms hashed to 2^20
-classes: a class of terms counts as one term, which bounds the lexicon to 128 KB at
-any input size. Tasks add up whole tables of counts, so a task ships 4 MB at most.
+Document frequencies are exact, for every term (its 64-bit hash): tasks reduce their
+texts' terms, a shuffle by term adds them up, and the counts are written. The terms
+above the band go to every task; there are at most 1 / MAX_SHARE times as many of
+them as an average text has terms. A term below the band has one text, so it is sent
+there, along with the texts. Cutting and joining texts can make a word at either end
+of the new part that neither text has: for the at most two such terms of an edited
+text its fingerprints with and without them are kept, and a look-up of the terms in
+the counts settles which one holds.
 
 ``neighbours`` pairs every text with the one of the next id in one shuffle: texts go
 to ranges of ids (cut by a histogram), are streamed in order, and the first text of
@@ -29,6 +34,7 @@ from __future__ import annotations
 import hashlib
 import zlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -36,16 +42,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerspark.llm.blocks import Block, U, blocks, mix
-from ledgerspark.llm.common import NO_ID, external_id, keyed, written
+from ledgerspark.llm.common import NO_ID, bitmap, external_id, keyed, marked, written
 from ledgerspark.llm.sharding import one_per_task, shard_bounds
 
-BITS, SLICE = 20, 1 << 12
+#: A task reduces its terms every 2^BITS of them.
+BITS = 20
 CHAINS = 16
 #: The subset of each hash keeps 2^-level of the lexicon, whatever the text.
 LEVELS = (0, 4, 4, 5, 5, 6, 6, 7, 7, 8, 8, 9, 10, 11, 12, 13)
-#: Band of document frequency: at least MIN_DOCS documents, at most MAX_SHARE of all.
+#: Band of document frequency: at least MIN_DOCS documents (two: a term below has one), at most MAX_SHARE of all.
 MIN_DOCS, MAX_SHARE = 2, 0.1
 SHARD_BYTES = 16 << 20
+#: Key of the terms of a document with id, which sorts before its text.
+FIRST = -2**63
 
 
 def _terms(b: Block) -> tuple[np.ndarray, np.ndarray]:
@@ -61,52 +70,50 @@ def _terms(b: Block) -> tuple[np.ndarray, np.ndarray]:
     return text[new], h[new]
 
 
-def _class(h: np.ndarray) -> np.ndarray:
-    return (h >> U(64 - BITS)).astype(np.int64)
-
-
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Document frequencies of the classes in a task's texts, as slices of a table."""
-    counts = None
+    """The terms of a task's texts: how many texts have them, and which one if it is one."""
+    held: list[tuple[np.ndarray, ...]] = []
+    size = 0
+
+    def reduced() -> pa.RecordBatch:
+        h, ids, keys = (np.concatenate(x) for x in zip(*held))
+        terms, first, n = np.unique(h, return_index=True, return_counts=True)
+        one = n == 1
+        return pa.RecordBatch.from_arrays(
+            [pa.array(terms.view(np.int64)), pa.array(n), pa.array(np.where(one, ids[first], 0)), pa.array(np.where(one, keys[first], 0))],
+            names=["term", "n", "__id", "__key"])
+
     for b in blocks(batches):
         text, h = _terms(b)
-        counts = np.zeros(1 << BITS, np.int64) if counts is None else counts
-        # a text counts a class once
-        pairs = np.unique((text << BITS) | _class(h))
-        counts += np.bincount(pairs & ((1 << BITS) - 1), minlength=1 << BITS)
-    if counts is not None:
-        parts = [zlib.compress(s.tobytes(), 1) if s.any() else None for s in counts.reshape(-1, SLICE)]
-        rows = [(i, p) for i, p in enumerate(parts) if p]
-        if rows:
-            yield pa.RecordBatch.from_arrays([pa.array([i for i, _ in rows], pa.int32()), pa.array([p for _, p in rows], pa.binary())],
-                                             names=["slice", "counts"])
-
-
-def _add(least: int, most: int):
-    """Slices added up; of each, the bits of the classes in the band."""
-
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums: dict[int, np.ndarray] = {}
-        for b in batches:
-            for i, c in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                one = np.frombuffer(zlib.decompress(c), np.int64)
-                sums[i] = sums[i] + one if i in sums else one
-        if sums:
-            bits = [np.packbits((s >= least) & (s <= most)).tobytes() for s in sums.values()]
-            yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array(bits, pa.binary())], names=["slice", "bits"])
+        ids, keys = (b.rows.column(b.rows.schema.get_field_index(c)).to_numpy() for c in ("__id", "__key"))
+        held.append((h, ids[text], keys[text]))
+        size += len(h)
+        if size >= 1 << BITS:
+            yield reduced()
+            held, size = [], 0
+    if size:
+        yield reduced()
+
+
+@dataclass
+class Lexicon:
+    """``above``: hashes of the terms above the band, sorted. ``inside``: term of those in the band.
+    ``alone``: term of those below it, with the __id and __key of their only text (__key is FIRST where there is an id)."""
 
-    return add
+    above: np.ndarray
+    inside: DataFrame
+    alone: DataFrame
 
 
-def lexicon(docs: DataFrame, n_docs: int, min_docs: int = MIN_DOCS, max_share: float = MAX_SHARE) -> np.ndarray:
-    """Whether each class of terms is in the band. The driver gets 128 KB."""
-    most = max(min_docs, int(n_docs * max_share))
-    parts = docs.select("text").mapInArrow(_count, "slice int, counts binary").repartition("slice").mapInArrow(
-        _add(min_docs, most), "slice int, bits binary")
-    out = np.zeros((1 << BITS) // 8, np.uint8)
-    for i, bits in parts.collect():
-        out[i * SLICE // 8:(i + 1) * SLICE // 8] = np.frombuffer(bits, np.uint8)
-    return np.unpackbits(out).astype(bool)
+def lexicon(docs: DataFrame, n_docs: int, max_share: float = MAX_SHARE) -> Lexicon:
+    """Exact document frequencies of all terms, judged. The driver gets the terms above the band."""
+    most = max(MIN_DOCS, int(n_docs * max_share))
+    key = F.when(F.col("__id") == NO_ID, F.col("__key")).otherwise(F.lit(FIRST)).alias("__key")
+    counts = docs.select("__id", key, "text").mapInArrow(_count, "term long, n long, __id long, __key long")
+    counts = written(counts.groupBy("term").agg(F.sum("n").alias("n"), F.min("__id").alias("__id"), F.min("__key").alias("__key")), "imatch-terms")
+    above = np.array([r["term"] for r in counts.where(F.col("n") > most).select("term").collect()], np.int64)
+    return Lexicon(np.sort(above.view(U)), counts.where(F.col("n").between(MIN_DOCS, most)).select("term"),
+                   counts.where(F.col("n") < MIN_DOCS).select("term", "__id", "__key"))
 
 
 def _hashes(text: np.ndarray, h: np.ndarray, n: int, chains: int) -> np.ndarray:
@@ -126,14 +133,21 @@ def _hashes(text: np.ndarray, h: np.ndarray, n: int, chains: int) -> np.ndarray:
     return out
 
 
-def fingerprints(texts: list[bytes], band: np.ndarray, chains: int = CHAINS) -> np.ndarray:
-    """(texts, chains) of 32-bit hashes; 0 where a text has no term."""
-    out = [np.zeros((0, chains), U)]
+def _all_terms(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """(text, term hash) of the distinct terms of texts, sorted."""
+    found, at = [(np.zeros(0, np.int64), np.zeros(0, U))], 0
     for b in blocks(iter([pa.RecordBatch.from_arrays([pa.array(texts, pa.binary())], names=["text"])])):
         text, h = _terms(b)
-        has = band[_class(h)]
-        out.append(_hashes(text[has], h[has], len(b.rows), chains))
-    return np.concatenate(out)
+        found.append((text + at, h))
+        at += len(b.rows)
+    return tuple(np.concatenate(x) for x in zip(*found))
+
+
+def fingerprints(texts: list[bytes], outside: np.ndarray, chains: int = CHAINS) -> np.ndarray:
+    """(texts, chains) of 32-bit hashes; 0 where a text has no term. The terms ``outside`` are not in the lexicon."""
+    text, h = _all_terms(texts)
+    has = ~np.isin(h, outside)
+    return _hashes(text[has], h[has], len(texts), chains)
 
 
 def hexes(f: np.ndarray) -> list[str]:
@@ -149,7 +163,7 @@ def likeness(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def _to_range(bounds: np.ndarray, firsts: dict[int, tuple[int, int]], before: dict[int, int]):
-    """Rows to their range of ids; the first text of a range also goes to the range before."""
+    """Rows to their range of ids; the first text of a range (with its terms) also goes to the range before."""
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -157,19 +171,26 @@ def _to_range(bounds: np.ndarray, firsts: dict[int, tuple[int, int]], before: di
             ids, keys = get("__id"), get("__key")
             part = np.searchsorted(bounds, ids, side="right").astype(np.int32)
             names = [*b.schema.names, "part", "tail"]
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(part), pa.array(np.zeros(len(part), bool))], names=names)
-            heads = [i for i, (p, x, y) in enumerate(zip(part.tolist(), ids.tolist(), keys.tolist())) if firsts.get(p) == (x, y)]
+            cols = b.columns
+            if "text" in names:  # packed for the shuffle
+                text = names.index("text")
+                cols[text] = pa.array([None if t is None else zlib.compress(t, 1) for t in cols[text].cast(pa.binary()).to_pylist()], pa.binary())
+            terms = b.column(b.schema.get_field_index("term_of_one")).to_numpy(zero_copy_only=False) if "term_of_one" in names else np.zeros(len(part), bool)
+            yield pa.RecordBatch.from_arrays([*cols, pa.array(part), pa.array(np.zeros(len(part), bool))], names=names)
+            heads = [i for i, (p, x, y, z) in enumerate(zip(part.tolist(), ids.tolist(), keys.tolist(), terms.tolist()))
+                     if firsts.get(p) == (x, y) or (z and x != NO_ID and p in firsts and firsts[p][0] == x)]
             if heads:
-                some = b.take(pa.array(heads))
+                some = [c.take(pa.array(heads)) for c in cols]
                 yield pa.RecordBatch.from_arrays(
-                    [*some.columns, pa.array([before[p] for p in part[heads].tolist()], pa.int32()), pa.array([True] * len(heads))], names=names)
+                    [*some, pa.array([before[p] for p in part[heads].tolist()], pa.int32()), pa.array([True] * len(heads))], names=names)
 
     return deal
 
 
-def neighbours(docs: DataFrame, function, schema: str, shard_bytes: int = SHARD_BYTES) -> DataFrame:
-    """``function(rows)`` over all documents in the order of (__id, __key), given as lists of (id, text bytes) of
-    consecutive documents plus the one after them; it returns a record batch for all but the last."""
+def neighbours(docs: DataFrame, function, schema: str, shard_bytes: int = SHARD_BYTES, *, alone: DataFrame | None = None) -> DataFrame:
+    """``function(rows)`` over all documents in the order of (__id, __key), given as lists of (id, text bytes, terms) of
+    consecutive documents plus the one after them; it returns a record batch for all but the last. The terms are those
+    that ``alone`` has for the document, or for all documents of its id."""
     light = written(docs.select("__id", "__key", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n")), "imatch-light")
     light = light.withColumn("n", F.col("n") + 64)
     bounds = shard_bounds(light.where(F.col("__id") != NO_ID), "__id", "n", shard_bytes)
@@ -180,68 +201,121 @@ def neighbours(docs: DataFrame, function, schema: str, shard_bytes: int = SHARD_
     before = {p: parts[i - 1] for i, p in enumerate(parts)}
 
     def stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        run: list[tuple[int, bytes]] = []
+        run: list[tuple[int, bytes, list[int]]] = []
+        terms: list[int] = []
         size, part, done = 0, None, False
         for b in batches:
-            get = lambda c: b.column(b.schema.get_field_index(c))  # noqa: E731, B023
-            texts = get("text").cast(pa.binary())
-            for p, tail, x, t in zip(get("part").to_pylist(), get("tail").to_pylist(), get("__id").to_pylist(), texts):
+            get = lambda c: b.column(b.schema.get_field_index(c)).to_pylist()  # noqa: E731, B023
+            for p, tail, x, t, one, term in zip(get("part"), get("tail"), get("__id"), get("text"), get("term_of_one"), get("term")):
                 if p != part:
-                    run, size, part, done = [], 0, p, False
+                    run, terms, size, part, done = [], [], 0, p, False
                 if done:
                     continue
-                t = t.as_py() or b""
-                run.append((x, t))
+                if one:
+                    terms.append(term)
+                    continue
+                t = b"" if t is None else zlib.decompress(t)
+                if run and run[-1][0] == x != NO_ID:  # the terms of an id come before the first of its texts
+                    terms = run[-1][2] + terms
+                run.append((x, t, terms))
                 size += len(t)
+                terms = []
                 if tail:  # rows that are copies of a range's first text come as several tails: one is enough
                     done = True
                 if len(run) > 1 and (tail or size > 1 << 20):
                     yield function(run)
                     run, size = run[-1:], 0
 
-    sent = docs.select("__id", "__key", "text").mapInArrow(
-        _to_range(bounds, heads, before), "__id long, __key long, text string, part int, tail boolean")
-    ordered = one_per_task(sent, len(bounds) + 1, "part").sortWithinPartitions("part", "tail", "__id", "__key")
+    rows = docs.select("__id", "__key", "text", F.lit(False).alias("term_of_one"), F.lit(None).cast("long").alias("term"))
+    if alone is not None:
+        rows = rows.unionByName(alone.select("__id", "__key", F.lit(None).cast("string").alias("text"), F.lit(True).alias("term_of_one"), "term"))
+    sent = rows.mapInArrow(_to_range(bounds, heads, before),
+                           "__id long, __key long, text binary, term_of_one boolean, term long, part int, tail boolean")
+    ordered = one_per_task(sent, len(bounds) + 1, "part").sortWithinPartitions("part", "tail", "__id", "__key", F.desc("term_of_one"))
     return ordered.mapInArrow(stream, schema)
 
 
-def _edited(band: np.ndarray, chains: int):
-    def judge(run: list[tuple[int, bytes]]) -> pa.RecordBatch:
-        texts = [t.decode("utf-8") for _, t in run]
+def _edited(above: np.ndarray, chains: int, look_up: bool = False):
+    """Fingerprints of the texts of a run, and of them with their last quarter replaced. Terms that only an edited text
+    has are in the lexicon; with ``look_up``, they are given as ``made``, and ``edited_fingerprint`` and ``near_edited`` are
+    lists: item 0 without any of them, 1 with the first, 2 with the second, 3 with both."""
+
+    def judge(run: list[tuple[int, bytes, list[int]]]) -> pa.RecordBatch:
+        texts = [t.decode("utf-8") for _, t, _ in run]
         here = range(len(run) - 1)
         cut = [len(texts[i]) - len(texts[i]) // 4 for i in here]
         edited = [(texts[i][:cut[i]] + texts[i + 1][:len(texts[i]) // 4]).encode() for i in here]
-        own = fingerprints([t for _, t in run], band, chains)
-        other = fingerprints(edited, band, chains)
+        # a term of one text is out wherever it comes up
+        out = np.concatenate([above.astype(U), np.array([x for *_, terms in run for x in terms], np.int64).view(U)])
+        text, h = _all_terms([t for _, t, _ in run])
+        has = ~np.isin(h, out)
+        own = _hashes(text[has], h[has], len(run), chains)
+        text, h, known = *_all_terms(edited), h
+        has = ~np.isin(h, out)
+        made = has & ~np.isin(h, known) if look_up else np.zeros(len(h), bool)
+        n_made = np.bincount(text[made], minlength=len(edited))
+        place = np.zeros(len(h), np.int64)
+        place[made] = np.arange(made.sum()) - (np.cumsum(n_made) - n_made)[text[made]]
+        other = []
+        for bits in range(1 << int(n_made.max())):
+            some = has & (~made | ((bits >> place) & 1 == 1))
+            other.append(_hashes(text[some], h[some], len(edited), chains))
         cols = [pa.array([run[i][0] for i in here], pa.int64()), pa.array([len(texts[i]) for i in here], pa.int64()),
-                pa.array([hashlib.sha256(e).hexdigest() for e in edited]), pa.array(hexes(own[:-1])), pa.array(hexes(other)),
-                pa.array(likeness(own[:-1], other)), pa.array(likeness(own[:-1], own[1:]))]
-        return pa.RecordBatch.from_arrays(
-            cols, names=["__id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"])
+                pa.array([hashlib.sha256(e).hexdigest() for e in edited]), pa.array(hexes(own[:-1]))]
+        near = [likeness(own[:-1], x) for x in other]
+        if look_up:
+            lists = [1 << k for k in n_made.tolist()]
+            prints = [hexes(x) for x in other]
+            terms = np.split(h[made].view(np.int64), np.cumsum(n_made)[:-1])
+            cols += [pa.array([[prints[v][i] for v in range(k)] for i, k in enumerate(lists)], pa.list_(pa.string())),
+                     pa.array([[near[v][i] for v in range(k)] for i, k in enumerate(lists)], pa.list_(pa.float64())),
+                     pa.array(likeness(own[:-1], own[1:])), pa.array([x.tolist() for x in terms], pa.list_(pa.int64()))]
+        else:
+            cols += [pa.array(hexes(other[0])), pa.array(near[0]), pa.array(likeness(own[:-1], own[1:]))]
+        names = ["__id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
+        return pa.RecordBatch.from_arrays(cols, names=[*names, "made"] if look_up else names)
 
     return judge
 
 
-def fingerprint_documents(docs: DataFrame, band: np.ndarray | None = None, chains: int = CHAINS) -> DataFrame:
-    """doc_id and ``fingerprint`` of every text. One pass beside the counting of terms, no shuffle of texts."""
+def _settled(rows: DataFrame, inside: DataFrame) -> DataFrame:
+    """``rows`` with one edited fingerprint and likeness each, by which of the terms ``made`` are ``inside`` the lexicon."""
+    rows = written(rows.withColumn("__n", F.monotonically_increasing_id()), "imatch-edited")
+    asked = rows.select("__n", F.posexplode("made").alias("place", "term"))
+    terms = marked(inside, bitmap(asked, "term"), "term").where("__hit").select("term")
+    found = written(asked.join(terms, "term").groupBy("__n").agg(F.sum(F.expr("shiftleft(1, place)")).cast("int").alias("bits")), "imatch-made")
+    rows = marked(rows, bitmap(found, "__n"), "__n")
+    rest = rows.where("not __hit").withColumn("bits", F.lit(None).cast("int"))
+    both = rest.unionByName(rows.where("__hit").join(found, "__n", "left"))
+    item = F.coalesce("bits", F.lit(0)) + 1
+    return both.withColumns({c: F.element_at(c, item) for c in ("edited_fingerprint", "near_edited")})
+
+
+def fingerprint_documents(docs: DataFrame, lex: Lexicon | None = None, chains: int = CHAINS) -> DataFrame:
+    """doc_id and ``fingerprint`` of every text. Texts are joined with the terms that no other text has."""
     docs = keyed(docs.select("doc_id", "text"))
-    band = lexicon(docs, docs.count()) if band is None else band
+    lex = lexicon(docs, docs.count()) if lex is None else lex
+    above = lex.above
+    alone = lex.alone.groupBy("__id", F.col("__key").alias("__of")).agg(F.collect_list("term").alias("terms"))
+    of = F.when(F.col("__id") == NO_ID, F.col("__key")).otherwise(F.lit(FIRST))
+    rows = docs.select("__id", of.alias("__of"), "text").join(alone, ["__id", "__of"], "left").select("__id", "text", "terms")
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in blocks(batches):
-            texts = b.rows.column(b.rows.schema.get_field_index("text")).cast(pa.binary()).to_pylist()
-            made = hexes(fingerprints([t or b"" for t in texts], band, chains))
-            yield pa.RecordBatch.from_arrays([b.rows.column(b.rows.schema.get_field_index("__id")), pa.array(made)], names=["__id", "fingerprint"])
+            get = lambda c: b.rows.column(b.rows.schema.get_field_index(c))  # noqa: E731, B023
+            out = np.concatenate([above, np.array([x for terms in get("terms").to_pylist() for x in terms or []], np.int64).view(U)])
+            made = hexes(fingerprints([t or b"" for t in get("text").cast(pa.binary()).to_pylist()], out, chains))
+            yield pa.RecordBatch.from_arrays([get("__id"), pa.array(made)], names=["__id", "fingerprint"])
 
-    out = docs.select("__id", "text").mapInArrow(make, "__id long, fingerprint string")
+    out = rows.mapInArrow(make, "__id long, fingerprint string")
     return out.select(external_id(F.col("__id")).alias("doc_id"), "fingerprint")
 
 
 def query(spark, sf_dir: str) -> DataFrame:
     """op6: fingerprints of every document and its edited text, and their likenesses."""
     docs = keyed(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
-    band = lexicon(docs, docs.count())
-    schema = ("__id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
-              "near_edited double, near_next double")
-    out = neighbours(docs, _edited(band, CHAINS), schema)
-    return out.select(external_id(F.col("__id")).alias("doc_id"), *[c.split()[0] for c in schema.split(", ")[1:]])
+    lex = lexicon(docs, docs.count())
+    schema = ("__id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint array<string>, "
+              "near_edited array<double>, near_next double, made array<long>")
+    out = _settled(neighbours(docs, _edited(lex.above, CHAINS, look_up=True), schema, alone=lex.alone), lex.inside)
+    return out.select(external_id(F.col("__id")).alias("doc_id"), *[c.split()[0] for c in schema.split(", ")[1:-1]])

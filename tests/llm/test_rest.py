@@ -8,6 +8,7 @@ import io
 import json
 import os
 import random
+import re
 import zlib
 from collections import Counter, defaultdict
 
@@ -203,7 +204,7 @@ def test_fingerprints_hash_all_terms_of_fixed_subsets():
     """A subset's hash depends on every term of the text in it: texts with equal terms in it agree, others do not."""
     letters = str.maketrans("0123456789", "abcdefghij")
     words = [f"w{i}".translate(letters) for i in range(400)]
-    band = np.ones(1 << imatch.BITS, bool)
+    band = np.zeros(0, np.uint64)
     alone = imatch.fingerprints([w.encode() for w in words], band)
     inside = alone != 0  # (word, chain): whether the chain's subset has the word
     assert inside[:, 0].all() and (inside.sum(axis=0)[1:9] > 0).all() and not inside[:, 1:].all(axis=0).any()
@@ -211,6 +212,41 @@ def test_fingerprints_hash_all_terms_of_fixed_subsets():
     assert ((whole == np.array(less)) == ~inside).all()
 
 
+def words_of(text):
+    return set(re.findall("[a-z\x80-\U0010ffff]+", "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text)))
+
+
+@pytest.mark.parametrize("shard", [1 << 24, 30000])
+def test_lexicon_is_exact(spark, monkeypatch, tmp_path, shard):
+    """All fingerprints are those of the terms whose own document frequency is in the band, also in words that the edit makes."""
+    rng = random.Random(8)
+    letters = str.maketrans("0123456789", "abcdefghij")
+    rare = iter(range(10**5, 10**6))
+    say = lambda i: " ".join(
+        [f"w{rng.randrange(6000)}".translate(letters) if rng.random() < 0.7 else f"r{next(rare)}".translate(letters) for _ in range(400 + i % 9)])
+    rows = [cases.row(i, say(i)) for i in range(150)] + [cases.row(None, say(i)) for i in range(6)] + [cases.row(90, say(1)), cases.row(400, "")]
+    cases.frame(spark, rows).write.parquet(str(tmp_path / "documents.parquet"))
+    monkeypatch.setattr(imatch.neighbours, "__defaults__", (shard,))
+    df = Counter(w for r in rows for w in words_of(r[1]))
+    band = {w for w, n in df.items() if 2 <= n <= int(len(rows) * 0.1)}
+    own = lambda text: imatch.hexes(imatch.fingerprints([" ".join(sorted(words_of(text) & band)).encode()], np.zeros(0, np.uint64)))[0]
+    got = imatch.query(spark, str(tmp_path)).collect()
+    assert Counter((r.doc_id, r.fingerprint) for r in got) == Counter((r[0], own(r[1])) for r in rows)
+    once = sorted((r for r in rows if r[0] is not None), key=lambda r: r[0])
+    by = {r.doc_id: r for r in got}
+    made = 0
+    for r, after in zip(once, once[1:]):
+        if 90 in (r[0], after[0]):
+            continue
+        n = len(r[1]) // 4
+        edited = r[1][:len(r[1]) - n] + after[1][:n]
+        made += bool((words_of(edited) - words_of(r[1]) - words_of(after[1])) & band)
+        assert by[r[0]].edited_fingerprint == own(edited)
+    assert made > 5
+    prints = imatch.fingerprint_documents(cases.frame(spark, rows)).collect()
+    assert Counter((r.doc_id, r.fingerprint) for r in prints) == Counter((r[0], own(r[1])) for r in rows)
+
+
 # -------------------------------------------------------------------- WARC
 
 def pages(spark):
