@@ -23,8 +23,9 @@ the counts settles which one holds.
 to ranges of ids (cut by a histogram), are streamed in order, and the first text of
 a range is also sent to the range before.
 
-Defined cases: null text counts as empty; a text without terms in the lexicon has a
-fingerprint of dashes; null ids sort last; rows with equal ids are ordered by a hash
+Defined cases: null text counts as empty; of a text without terms in the lexicon all
+terms are hashed (copies may be so many that their words are above the band), and a
+text without any term has a fingerprint of dashes; null ids sort last; rows with equal ids are ordered by a hash
 of the text; a single document is its own successor; an empty table gives an empty
 result. Other columns are not read.
 """
@@ -116,6 +117,11 @@ def lexicon(docs: DataFrame, n_docs: int, max_share: float = MAX_SHARE) -> Lexic
                    counts.where(F.col("n") < MIN_DOCS).select("term", "__id", "__key"))
 
 
+def _kept(text: np.ndarray, inside: np.ndarray, n: int) -> np.ndarray:
+    """Which terms are hashed: those inside the lexicon, or all of a text that has none there."""
+    return inside | ~(np.bincount(text[inside], minlength=n) > 0)[text]
+
+
 def _hashes(text: np.ndarray, h: np.ndarray, n: int, chains: int) -> np.ndarray:
     """(n, chains) of 32-bit hashes of the terms ``h``, grouped by ``text``; 0 where a text has none in the subset."""
     out = np.zeros((n, chains), U)
@@ -146,7 +152,7 @@ def _all_terms(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 def fingerprints(texts: list[bytes], outside: np.ndarray, chains: int = CHAINS) -> np.ndarray:
     """(texts, chains) of 32-bit hashes; 0 where a text has no term. The terms ``outside`` are not in the lexicon."""
     text, h = _all_terms(texts)
-    has = ~np.isin(h, outside)
+    has = _kept(text, ~np.isin(h, outside), len(texts))
     return _hashes(text[has], h[has], len(texts), chains)
 
 
@@ -248,7 +254,7 @@ def _edited(above: np.ndarray, chains: int, look_up: bool = False):
         # a term of one text is out wherever it comes up
         out = np.concatenate([above.astype(U), np.array([x for *_, terms in run for x in terms], np.int64).view(U)])
         text, h = _all_terms([t for _, t, _ in run])
-        has = ~np.isin(h, out)
+        has = _kept(text, ~np.isin(h, out), len(run))
         own = _hashes(text[has], h[has], len(run), chains)
         text, h, known = *_all_terms(edited), h
         has = ~np.isin(h, out)
@@ -258,7 +264,7 @@ def _edited(above: np.ndarray, chains: int, look_up: bool = False):
         place[made] = np.arange(made.sum()) - (np.cumsum(n_made) - n_made)[text[made]]
         other = []
         for bits in range(1 << int(n_made.max())):
-            some = has & (~made | ((bits >> place) & 1 == 1))
+            some = _kept(text, has & (~made | ((bits >> place) & 1 == 1)), len(edited))
             other.append(_hashes(text[some], h[some], len(edited), chains))
         cols = [pa.array([run[i][0] for i in here], pa.int64()), pa.array([len(texts[i]) for i in here], pa.int64()),
                 pa.array([hashlib.sha256(e).hexdigest() for e in edited]), pa.array(hexes(own[:-1]))]

@@ -229,7 +229,7 @@ def test_lexicon_is_exact(spark, monkeypatch, tmp_path, shard):
     monkeypatch.setattr(imatch.neighbours, "__defaults__", (shard,))
     df = Counter(w for r in rows for w in words_of(r[1]))
     band = {w for w, n in df.items() if 2 <= n <= int(len(rows) * 0.1)}
-    own = lambda text: imatch.hexes(imatch.fingerprints([" ".join(sorted(words_of(text) & band)).encode()], np.zeros(0, np.uint64)))[0]
+    own = lambda text: imatch.hexes(imatch.fingerprints([" ".join(sorted(words_of(text) & band or words_of(text))).encode()], np.zeros(0, np.uint64)))[0]
     got = imatch.query(spark, str(tmp_path)).collect()
     assert Counter((r.doc_id, r.fingerprint) for r in got) == Counter((r[0], own(r[1])) for r in rows)
     once = sorted((r for r in rows if r[0] is not None), key=lambda r: r[0])
@@ -247,6 +247,23 @@ def test_lexicon_is_exact(spark, monkeypatch, tmp_path, shard):
     assert Counter((r.doc_id, r.fingerprint) for r in prints) == Counter((r[0], own(r[1])) for r in rows)
 
 
+def test_copies_above_the_band_keep_their_fingerprints(spark, tmp_path):
+    """Groups whose words are all above the band are told apart from each other and from texts without terms."""
+    say = lambda c: " ".join(f"{c}{a}{b}" for a in "abcdef" for b in "abcdef")
+    rows = [cases.row(i, say("xyz"[i % 3]) if i % 4 else "") for i in range(48)]
+    cases.frame(spark, rows).write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r.doc_id: r for r in imatch.query(spark, str(tmp_path)).collect()}
+    prints = defaultdict(set)
+    for r in rows:
+        prints[r[1]].add(got[r[0]].fingerprint)
+    assert all(len(f) == 1 for f in prints.values()) and len(set.union(*prints.values())) == 4
+    dashes = "-" * 8 * imatch.CHAINS
+    assert prints[""] == {dashes} and sum(dashes in f for f in prints.values()) == 1
+    assert all(got[i].near_next < 1 for i in range(47) if rows[i][1] != rows[i + 1][1])
+    assert all(got[i].near_edited < 1 for i in range(47) if rows[i][1] and rows[i + 1][1])
+    assert {r.fingerprint for r in imatch.fingerprint_documents(cases.frame(spark, rows)).collect()} == set.union(*prints.values())
+
+
 # -------------------------------------------------------------------- WARC
 
 def pages(spark):
