@@ -10,7 +10,8 @@ as Parquet to the shared folder and reread as the next one's documents.
    smaller id are cut out of the texts; ``n_chars`` follows.
 4. mixing: the sources are mixed to their target weights; a document comes as often
    as the mix takes it.
-5. sentencepiece: texts are encoded, decoded again and compared.
+5. sentencepiece: texts are encoded, decoded again and compared; the ids are compared
+   with the sentencepiece library's.
 
 SQL cannot express the learnt first stage, so there is no ``ORACLE_SQL``; the stages
 are tested against brute force on small fixtures.
@@ -52,8 +53,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    rows = tokenise.encode(docs.select("doc_id", "lang", "source", "text"), decoded=False, parity=False)
-    return rows.select("doc_id", "lang", "source", "n_tokens", "n_byte_tokens", "round_trip", "ids")
+    rows = tokenise.encode(docs.select("doc_id", "lang", "source", "text"), decoded=False)
+    return rows.select("doc_id", "lang", "source", "n_tokens", "n_byte_tokens", "round_trip", "parity", "ids")
 
 
 STAGES = [

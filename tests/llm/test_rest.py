@@ -364,6 +364,12 @@ def test_pipeline_stages(spark, tmp_path):
     assert Counter(json.dumps(r.asDict()) for r in final.collect()) == Counter(json.dumps(r.asDict()) for r in kept[4])
 
 
+@needs_model
+def test_pipeline_checks_parity(spark):
+    rows = corpus_pipeline.encode_texts(spark, cases.frame(spark, ROWS), "").collect()
+    assert len(rows) == len(ROWS) and all(r.parity for r in rows)
+
+
 @needs_data
 def test_oracle(spark):
     import duckdb
