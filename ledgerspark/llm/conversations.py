@@ -476,7 +476,7 @@ _SQL_FAR = "{'c': 1::BIGINT << 40, 'a': '', 'l': ''}"
 SQL = rf"""
 WITH RECURSIVE crc_table AS (
   SELECT list(x ORDER BY k) AS entries FROM (
-    SELECT k, list_reduce(list_prepend(k, [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]), (x, y) -> {_SQL_ROUND}) AS x
+    SELECT k, list_reduce(list_prepend(k, [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]), lambda x, y: {_SQL_ROUND}) AS x
     FROM (SELECT unnest(range(256))::BIGINT AS k))
 ),
 keyed AS (
@@ -486,8 +486,8 @@ keyed AS (
 ),
 dealt AS (
   SELECT conv_id, turn, role, text,
-         xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(1, length(k) + 1), i -> ascii(substr(k, i::INT, 1))::BIGINT)),
-             (x, y) -> xor(x >> 8, entries[(xor(x, y) & 255) + 1])), 4294967295::BIGINT) % 20 AS h
+         xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(1, length(k) + 1), lambda i: ascii(substr(k, i::INT, 1))::BIGINT)),
+             lambda x, y: xor(x >> 8, entries[(xor(x, y) & 255) + 1])), 4294967295::BIGINT) % 20 AS h
   FROM keyed, crc_table
 ),
 hurt AS (
