@@ -1,6 +1,7 @@
 """Table loads (K1-K3) and the period load policies (K6-K9).
 
-Targets are parquet folders (or catalog tables).
+Targets are parquet folders, catalog tables, or tables of a snapshot store
+(``snapshots.Table``: loads are published by one file, see there).
 
 * A truncate load is *staged*: the rows are written beside the target, counted
   by an observation on that write, and the target is switched to them by
@@ -21,6 +22,7 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
 from ledgerspark.functions.dates import month_of
+from ledgerspark.sinks.snapshots import Table
 
 MONTH = "mes"
 
@@ -126,15 +128,24 @@ def staged_write(df: DataFrame, target: str, write, skip_if_empty: bool = True)
                 spark.sql(f"DROP TABLE IF EXISTS {staged}")
 
 
-def load(df: DataFrame, target: str, mode: str = "overwrite", schema: T.StructType | None = None,
-         skip_if_empty: bool = True, partition_by=None, fmt: str = "parquet") -> bool:
+def load(df: DataFrame, target: str | Table, mode: str = "overwrite", schema: T.StructType | None = None,
+         skip_if_empty: bool = True, partition_by=None, fmt: str = "parquet", batch: tuple[str, int] | None = None) -> bool:
     """K1/K2: truncate-and-load (``overwrite``, staged) or ``append``.
 
     With ``skip_if_empty`` an empty result changes nothing (the reference's
-    behaviour). Returns whether the target was written.
+    behaviour). ``batch`` (name, rising id) makes a load into a snapshot store happen
+    once however often it is tried. Returns whether the target was written.
     """
     if schema is not None:
         df = conform(df, schema)
+    if isinstance(target, Table):
+        by = partition_by[0] if partition_by else None
+        change = target.store.begin(batch)
+        if mode == "overwrite":
+            return change.overwrite(target.name, df, skip_if_empty, fmt, by).commit()
+        return change.append(target.name, df, fmt, by).commit()
+    if batch is not None:
+        raise ValueError("a batch needs a snapshot store's table as its target: a plain folder has no ledger")
 
     def write(rows: DataFrame, place: str) -> None:
         w = rows.write.mode(mode).format(fmt)
@@ -153,7 +164,7 @@ def with_month(df: DataFrame, date_col: str) -> DataFrame:
     return df.withColumn(MONTH, month_of(F.col(date_col)))
 
 
-def replace_months(df: DataFrame, target: str, date_col: str, fmt: str = "parquet",
+def replace_months(df: DataFrame, target: str | Table, date_col: str, fmt: str = "parquet",
                    drop_date: bool = False) -> bool:
     """K6/K7/K9: write rows into ``target`` partitioned by month, replacing only
     the months present in ``df`` (idempotent re-runs).
@@ -166,6 +177,8 @@ def replace_months(df: DataFrame, target: str, date_col: str, fmt: str = "parque
     out = with_month(df, date_col)
     if drop_date:
         out = out.drop(date_col)
+    if isinstance(target, Table):
+        return target.store.begin().replace(target.name, out, MONTH).commit()
     spark = out.sparkSession
     obs = Observation(f"months-{uuid.uuid4().hex}")
     # No repartition by month: that would put a whole month into one task.
