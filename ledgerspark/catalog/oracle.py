@@ -122,6 +122,12 @@ WHERE (l_orderkey + l_linenumber) % 19 <> 0
   AND l_orderkey // 2 IN ({_HEADERS})"""
 
 
+def _history(heads: str, lines: str) -> str:
+    return f"""
+SELECT 'factura' AS tabla, id_factura AS id, total_factura AS total, CAST(date_trunc('month', fecha_factura) AS DATE) AS mes FROM ({heads}) h
+UNION ALL SELECT 'linea' AS tabla, id_linea_factura AS id, total, mes FROM ({lines}) l"""
+
+
 _LINE_COLS = ["id_linea_factura", "id_factura", "id_producto", "cantidad", "costo_unitario",
               "precio_unitario", "subtotal", "descuento", "total"]
 
@@ -402,8 +408,22 @@ SELECT o_orderkey AS id_pedido,
        CASE WHEN o_orderkey % 4 = 0 THEN NULL ELSE o_custkey END AS id_cliente,
        CAST(NULL AS BIGINT) AS id_vendedor
 FROM orders""",
-    "truncate_load": f"SELECT * FROM ({_ORDERS}) o WHERE id_vendedor < 5",
-    "append_load": f"SELECT * FROM ({_ORDERS}) o WHERE id_vendedor < 5 OR id_vendedor >= 7",
+    "truncate_load": _ORDERS,
+    "append_load": _ORDERS,
+    "snapshot_load": f"""
+SELECT *, 1 AS version FROM ({_ORDERS}) o WHERE id_vendedor < 5
+UNION ALL SELECT *, 2 AS version FROM ({_ORDERS}) o""",
+    "append_once": f"SELECT *, CAST(date_trunc('month', fecha_creacion) AS DATE) AS mes FROM ({_ORDERS}) o",
+    "clients_increments": _clients(tags=False, vendor_filter=True),
+    "invoices_increments": _invoices(START),
+    "products_increments": _PRODUCTS,
+    "orders_mirror": f"""
+SELECT * REPLACE (CASE WHEN id_pedido % 3 = 0 THEN base_imponible * 2 ELSE base_imponible END AS base_imponible,
+                  CASE WHEN id_pedido % 3 = 0 THEN 'changed' ELSE estado_facturacion END AS estado_facturacion)
+FROM ({_ORDERS}) o""",
+    "close_unit": _history(_invoices(_M1, f"fecha_factura <= DATE '{_M1_LAST}'"), _lines(_M1, _M1_LAST, with_month=True)),
+    "backfill_resumed": _history(_invoices(BACKFILL_START, f"fecha_factura < DATE '{_M0}'", _FIRST_OF_MONTHS),
+                                 _lines(BACKFILL_START, _BACKFILL_LAST, with_month=True)),
     "schema_load": _PRODUCTS,
     "history_load": f"""
 SELECT *, CAST(date_trunc('month', fecha_factura) AS DATE) AS mes

@@ -24,9 +24,10 @@ from ledgerspark.functions.periods import month_start, previous_month
 from ledgerspark.operators import (carry_over, day_count, discarded_invoiced, frequency,
                                    tag_names_from_table, top_n)
 from ledgerspark.operators.counts import month_guard
-from ledgerspark.plans import jobs, transforms as tf
+from ledgerspark.plans import incremental, jobs, transforms as tf
 from ledgerspark.sinks import (load, raw_rows, replace_months, sheet_rows, upload_sheet,
                                with_month)
+from ledgerspark.sinks.snapshots import Snapshots
 from ledgerspark.sources import (clients_raw, invoice_lines_raw, invoices_raw, master_product_ids,
                                  order_lines_raw, orders_raw, products_raw, read_landed, tax_ids,
                                  taxes_raw,
@@ -36,6 +37,7 @@ from ledgerspark.sources import (clients_raw, invoice_lines_raw, invoices_raw, m
 ASOF = "1998-07-15"
 START = "1992-01-01"
 BACKFILL_START = "1996-01-01"
+BACKFILL_STOP = "1996-07-10"
 VISIT_DAY = "2024-01-15"
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -424,7 +426,7 @@ def _target(spark: SparkSession, name: str) -> str:
     sc = spark.sparkContext
     base = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
     if not base:
-        if not sc.master.startswith("local"):
+        if not (sc.master == "local" or sc.master.startswith("local[")):
             raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         base = tempfile.mkdtemp(prefix="ledgerspark-catalog-")
         sc.setCheckpointDir(base)
@@ -448,24 +450,126 @@ def q_landed_json(spark, d):
 
 
 def q_truncate_load(spark, d):
-    """K1: a load replaces what a larger one left, an empty one leaves it; read back."""
+    """K1: a load replaces what another one left, an empty one leaves it; read back."""
     path = _target(spark, "orders-load")
     df = tf.orders(orders_raw(L.sale_orders(spark, d), ASOF))
-    load(df, path)
     load(df.where("id_vendedor < 5"), path)
+    load(df, path)
     load(df.where("false"), path)
     return spark.read.parquet(path)
 
 
 def q_append_load(spark, d):
-    """K2: two appends; read back."""
+    """K2: two appends that make up the whole; read back."""
     path = _target(spark, "orders-append")
-    df = tf.orders(orders_raw(L.sale_orders(spark, d), ASOF))
-    load(df.where("id_vendedor < 5"), path, mode="append")
-    load(df.where("id_vendedor >= 7"), path, mode="append")
+    for part in _halves(tf.orders(orders_raw(L.sale_orders(spark, d), ASOF))):
+        load(part, path, mode="append")
     return spark.read.parquet(path)
 
 
+def _halves(orders: DataFrame) -> list[DataFrame]:
+    """The orders in two parts: sellers below 5, and all others."""
+    first = F.coalesce(F.col("id_vendedor") < 5, F.lit(False))
+    return [orders.where(first), orders.where(~first)]
+
+
+def _store(spark: SparkSession, name: str) -> Snapshots:
+    return Snapshots(spark, _target(spark, name))
+
+
+def q_snapshot_load(spark, d):
+    """K1 on a snapshot store: what each version holds; the third load is empty and publishes nothing."""
+    store = _store(spark, "orders-snapshots")
+    df = tf.orders(orders_raw(L.sale_orders(spark, d), ASOF))
+    for rows in (_halves(df)[0], df, df.where("false")):
+        load(rows, store.at("orders"))
+    versions = [store.table("orders", v).withColumn("version", F.lit(v)) for v in store.versions()]
+    return versions[0].unionByName(versions[1]) if len(versions) == 2 else versions[-1]
+
+
+def q_append_once(spark, d):
+    """K2 by months, exactly once: two batches, each tried twice; read back."""
+    target = _store(spark, "orders-once").at("orders")
+    df = with_month(tf.orders(orders_raw(L.sale_orders(spark, d), ASOF)), "fecha_creacion")
+    for batch, part in enumerate(_halves(df)):
+        for _ in range(2):
+            load(part, target, mode="append", partition_by=["mes"], batch=("daily", batch))
+    return target.read()
+
+
+def _landings(raw: DataFrame, key: str, n: int = 3) -> list[DataFrame]:
+    """Raw records as ``n`` landings, which are not in source order."""
+    return [raw.where(F.pmod(F.col(key), F.lit(n)) == (2 * k + 1) % n) for k in range(n)]
+
+
+def q_clients_increments(spark, d):
+    """A3 merged from three landings, one of them twice; the vendor list is applied on reading."""
+    store = _store(spark, "clients-state")
+    for batch, landed in enumerate(_landings(L.partners(spark, d), "id")):
+        for _ in range(1 + batch % 2):
+            incremental.add_clients(store, landed, batch=("clients", batch), buckets=8)
+    return incremental.clients(store, L.vendors(spark, d))
+
+
+def q_invoices_increments(spark, d):
+    """A4 merged from three landings."""
+    store = _store(spark, "invoices-state")
+    for landed in _landings(L.moves(spark, d), "_seq"):
+        incremental.add_invoices(store, landed, start=START, buckets=8)
+    return incremental.invoices(store)
+
+
+def q_products_increments(spark, d):
+    """A5 merged from three landings, then T6."""
+    store = _store(spark, "products-state")
+    for landed in _landings(L.products(spark, d), "id"):
+        incremental.add_products(store, landed, buckets=8)
+    return incremental.products(store, master_product_ids(L.product_master(spark, d)))
+
+
+def _written(raw: DataFrame, column: str) -> DataFrame:
+    return raw.withColumn("write_date", F.coalesce(F.nullif(F.col(column), F.lit("false")), F.col("date_order")))
+
+
+def q_orders_mirror(spark, d):
+    """S3 as a mirror: a first extract, then records written since: changed ones, and late ones that the first missed."""
+    store = _store(spark, "orders-mirror")
+    raw = _written(L.sale_orders(spark, d), "create_date")
+    incremental.mirror_orders(store, raw.where("pmod(id, 4) <> 1"))
+    changed, late = F.expr("pmod(id, 3) = 0"), F.expr("pmod(id, 4) = 1")
+    later = raw.withColumns({
+        "invoice_status": F.when(changed, "changed").otherwise(F.col("invoice_status")),
+        "amount_untaxed": F.when(changed, F.col("amount_untaxed") * 2).otherwise(F.col("amount_untaxed")),
+        "write_date": F.when(changed | late, "2099-01-01 00:00:00").otherwise(F.col("write_date"))})
+    for _ in range(2):
+        incremental.mirror_orders(store, later)
+    return incremental.mirrored_orders(store, ASOF)
+
+
+def _history(store: Snapshots) -> DataFrame:
+    """Headers and lines of a store's histories as one list."""
+    heads = store.table(incremental.HEAD_HISTORY).select(F.lit("factura").alias("tabla"), F.col("id_factura").alias("id"),
+                                                         F.col("total_factura").alias("total"), "mes")
+    lines = store.table(incremental.LINE_HISTORY).select(F.lit("linea").alias("tabla"), F.col("id_linea_factura").alias("id"), "total", "mes")
+    return heads.unionByName(lines)
+
+
+def q_close_unit(spark, d):
+    """K6 + K7: the closed month of both tables from one version, closed twice."""
+    store = _store(spark, "close")
+    for _ in range(2):
+        incremental.close_month(store, L.moves(spark, d), L.move_lines(spark, d), ASOF)
+    return _history(store)
+
+
+def q_backfill_resumed(spark, d):
+    """K9 / Q10: a backfill up to an earlier day, then one that computes only what is missing."""
+    store = _store(spark, "backfill")
+    for asof in (BACKFILL_STOP, ASOF):
+        incremental.resume_backfill(store, L.moves(spark, d), L.move_lines(spark, d), asof, BACKFILL_START)
+    return _history(store)
+
+
 def q_schema_load(spark, d):
     """K1 + K3: the product table loaded with its declared schema; read back."""
     path = _target(spark, "products-load")
@@ -566,5 +670,13 @@ QUERIES: dict[str, Query] = {
     "history_load": q_history_load,
     "line_history_load": q_line_history_load,
     "sheet_upload": q_sheet_upload,
+    "snapshot_load": q_snapshot_load,
+    "append_once": q_append_once,
+    "clients_increments": q_clients_increments,
+    "invoices_increments": q_invoices_increments,
+    "products_increments": q_products_increments,
+    "orders_mirror": q_orders_mirror,
+    "close_unit": q_close_unit,
+    "backfill_resumed": q_backfill_resumed,
     "visits_of_day": q_visits_of_day,
 }

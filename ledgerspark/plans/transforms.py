@@ -81,11 +81,11 @@ _INVOICE_AMOUNTS = {"amount_untaxed": "monto_neto", "amount_tax": "monto_impuest
 _INVOICE_DATES = {"invoice_date": "fecha_factura", "invoice_date_due": "fecha_vencimiento"}
 
 
-def invoices(raw: DataFrame, keep: tuple = (), by_month: bool = False) -> DataFrame:
+def invoices(raw: DataFrame, keep: tuple = (), by_month: bool = False, keep_seq: bool = False) -> DataFrame:
     """T4: posted invoice headers, one row per invoice id (first in source order).
 
     ``keep`` names extra output columns to retain (e.g. ``"fecha_factura"`` is
-    already there; jobs use it to derive the month partition). ``by_month`` gives
+    already there; jobs use it to derive the month partition), ``keep_seq`` the source order. ``by_month`` gives
     what month-by-month runs store, each of which reads everything from its month's
     first day on, keeps the first row of an id and stores those of its month: of an
     id, a month's first row stays where no later month has an earlier one.
@@ -128,7 +128,7 @@ def invoices(raw: DataFrame, keep: tuple = (), by_month: bool = False) -> DataFr
         df = df.withColumn("_least", F.min(SEQ).over(later)).where(F.col(SEQ) == F.col("_least"))
     else:
         df = keep_first(df, ["id_factura"])
-    return _select_target(df, schemas.INVOICES, present_only=False, extra=keep)
+    return _select_target(df, schemas.INVOICES, present_only=False, extra=(*keep, SEQ) if keep_seq else keep)
 
 
 # ---------------------------------------------------------- T5 invoice lines
@@ -139,11 +139,11 @@ _LINE_AMOUNTS = {"quantity": "cantidad", "price_unit": "precio_unitario",
                  "discount": "descuento"}
 
 
-def invoice_lines(raw: DataFrame, with_date: bool = False) -> DataFrame:
+def invoice_lines(raw: DataFrame, with_date: bool = False, keep_seq: bool = False) -> DataFrame:
     """T5: invoice lines with product and invoice ids and a non-zero total.
 
     ``total`` is ``price_total`` when the raw table has it, else the subtotal.
-    ``with_date=True`` appends ``fecha`` (the line date) for month partitions.
+    ``with_date=True`` appends ``fecha`` (the line date) for month partitions, ``keep_seq`` the source order.
     """
     _require(raw, ["move_id", "product_id", "price_subtotal"], "invoice_lines")
     d = lambda c: _dtype(raw, c)
@@ -161,10 +161,11 @@ def invoice_lines(raw: DataFrame, with_date: bool = False) -> DataFrame:
     for src, dst in _LINE_AMOUNTS.items():
         if src in raw.columns:
             cols.append(amount(src, d(src)).alias(dst))
-    df = with_columns_once(raw, parsed, keys=("id_factura", "id_producto", "fecha")).select(*cols)
+    df = with_columns_once(raw, parsed, keys=("id_factura", "id_producto", "fecha"))
+    df = df.select(*cols, *(_with_seq(raw) if keep_seq else []))
     df = df.where(all_present("id_producto", "id_factura") & non_zero("total"))
     return _select_target(df, schemas.INVOICE_LINES, present_only=False,
-                          extra=("fecha",) if with_date else ())
+                          extra=(*(["fecha"] if with_date else []), *([SEQ] if keep_seq else [])))
 
 
 # ------------------------------------------------------------------ T2 orders
@@ -252,13 +253,13 @@ _CLIENT_NAMES = {"property_payment_term_id": "id_plazo_pago",
                  "property_product_pricelist": "id_tarifa", "city_id": "comuna"}
 
 
-def clients(raw: DataFrame, tags: TagSource = None, vendors: IdList = None) -> DataFrame:
+def clients(raw: DataFrame, tags: TagSource = None, vendors: IdList = None, keep_seq: bool = False) -> DataFrame:
     """Partners -> clients.
 
     Person contacts are dropped, then rows equal on (rut, normalised street,
     vendor) keep the first in source order; ``vendors`` (empty = no filter)
     restricts the vendor id. ``tags`` maps category ids to names (dict or a
-    two-column table ``id, name``).
+    two-column table ``id, name``). ``keep_seq`` keeps the source order.
     """
     d = lambda c: _dtype(raw, c)
     parsed = {"id_vendedor": _rel_id(raw, "user_id", allow_scalar=True)}
@@ -298,11 +299,16 @@ def clients(raw: DataFrame, tags: TagSource = None, vendors: IdList = None) -> D
         df = keep_first(df, ["rut", "_calle_key", "id_vendedor"]).drop("_calle_key")
     if has_tags and isinstance(tags, DataFrame):
         df = tag_names_from_table(df, "category_id", tags, "etiquetas")
-    return _select_target(df, schemas.CLIENTS, present_only=True)
+    return _select_target(df, schemas.CLIENTS, present_only=True, extra=(SEQ,) if keep_seq else ())
 
 
 # ---------------------------------------------------------------- T6 products
 
+def parent_id(raw: DataFrame) -> Column:
+    """The parent id of raw products."""
+    return m2o_list_id("product_tmpl_id", _dtype(raw, "product_tmpl_id"))
+
+
 def _erp_products(raw: DataFrame) -> DataFrame:
     _require(raw, ["id", "product_tmpl_id", "default_code", "name", "uom_id", "list_price",
                    "standard_price", "create_date", "sale_ok", "categ_id"], "products")

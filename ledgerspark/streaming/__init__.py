@@ -7,7 +7,7 @@ stream with ``trigger(availableNow=True)`` sees only files landed since the
 last run (tracked in a checkpoint in the shared ``spark.checkpoint.dir``),
 runs the job once per micro-batch and stops. The job itself still reads its
 whole input (a month refresh or a keep-first needs all rows, not just the
-new files).
+new files). ``append_new_landings`` appends to a snapshot table exactly once.
 """
 
-from ledgerspark.streaming.trigger import run_on_new_landings  # noqa: F401
+from ledgerspark.streaming.trigger import append_new_landings, run_on_new_landings  # noqa: F401

@@ -7,6 +7,7 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession, types as T
 
 from ledgerspark.session import checkpoint_dir
+from ledgerspark.sinks.snapshots import Table
 
 
 def run_on_new_landings(spark: SparkSession, landing_path: str, schema: T.StructType,
@@ -36,3 +37,17 @@ def run_on_new_landings(spark: SparkSession, landing_path: str, schema: T.Struct
              .start())
     query.awaitTermination()
     return done
+
+
+def append_new_landings(spark: SparkSession, landing_path: str, schema: T.StructType, target: Table, name: str,
+                        transform: Callable[[DataFrame], DataFrame] = lambda rows: rows, fmt: str = "json",
+                        by: str | None = None) -> list[int]:
+    """Append the transformed rows of newly landed files to a snapshot table, each file exactly once.
+
+    A micro-batch that is tried again has the same files and the same id; the id is published
+    with the rows in the table's ledger, so a retry after a failure at any step appends nothing twice.
+    """
+    def append(rows: DataFrame, batch_id: int) -> None:
+        target.store.begin((f"stream-{name}", batch_id)).append(target.name, transform(rows), by=by).commit()
+
+    return run_on_new_landings(spark, landing_path, schema, append, name, fmt)
