@@ -166,6 +166,7 @@ SELECT o_orderkey AS id_pedido,
 FROM orders
 WHERE CAST(o_orderdate AS DATE) + 1 >= DATE '{_WINDOW}'"""
 
+_IN_WINDOW = f"CAST(o_orderdate AS DATE) + 1 >= DATE '{_WINDOW}'"
 _CARRY = (f"(fecha_creacion >= DATE '{_M0}' OR (fecha_creacion >= DATE '{_M1}' "
           f"AND fecha_creacion < DATE '{_M0}' AND estado_facturacion <> 'invoiced'))")
 _DISCARDED = (f"(fecha_creacion >= DATE '{_M1}' AND fecha_creacion < DATE '{_M0}' "
@@ -438,6 +439,28 @@ SELECT CAST(o_orderkey AS VARCHAR) AS id, strftime(o_orderdate, '%Y-%m-%d') AS f
        CASE WHEN o_orderkey % 10 = 0 THEN '0.0'
             ELSE '-' || rtrim(CAST(CAST((o_orderkey % 10) / CAST(4096 AS DOUBLE) AS DECIMAL(20, 12)) AS VARCHAR), '0') END AS chico
 FROM orders""",
+    "sheet_grid": f"""
+SELECT row_number() OVER (ORDER BY CAST(substr(origen, 3) AS BIGINT)) AS n, {_sheet_cells(_INV_COLS)} FROM (
+  SELECT {_sheet_cells(_INV_COLS, dates=["fecha_factura", "fecha_vencimiento"], doubles=["monto_neto", "monto_impuesto", "total_factura"])}
+  FROM ({_invoices(_M0)}) i) t
+UNION ALL SELECT 0 AS n, {', '.join(f"'{c}' AS {c}" for c in _INV_COLS)}""",
+    "products_grid": f"""
+SELECT row_number() OVER (ORDER BY CAST(id_producto_padre AS BIGINT)) AS n, {_sheet_cells(_PRODUCT_COLS)} FROM ({_PRODUCTS}) p
+UNION ALL SELECT 0 AS n, {', '.join(f"'{c}' AS {c}" for c in _PRODUCT_COLS)}""",
+    "day_probe": f"""
+WITH h AS ({_invoices(START)})
+SELECT dia, EXISTS (SELECT 1 FROM h WHERE fecha_factura = CAST(dia AS DATE)) AS existe
+FROM (VALUES ('1996-01-01'), ('1997-06-15'), ('1998-06-01'), ('1998-06-15'), ('2050-01-01')) AS days(dia)""",
+    "rejects": f"""
+SELECT o_orderkey AS id_pedido, 'amount_untaxed' AS "column", 'n/a' AS raw, 'not a number' AS reason
+FROM orders WHERE o_orderkey % 13 = 0 AND {_IN_WINDOW}
+UNION ALL SELECT o_orderkey, 'amount_tax', o_orderkey || ' pesos', 'not a number' FROM orders WHERE o_orderkey % 17 = 0 AND {_IN_WINDOW}
+UNION ALL SELECT o_orderkey, 'create_date', '31/12/1997', 'not a date' FROM orders WHERE o_orderkey % 11 = 0 AND {_IN_WINDOW}""",
+    "orders_beside_rejects": f"""
+SELECT * REPLACE (CASE WHEN id_pedido % 13 IN (0, 1) THEN {DBL0} ELSE base_imponible END AS base_imponible,
+                  CASE WHEN id_pedido % 17 = 0 THEN {DBL0} ELSE impuestos END AS impuestos,
+                  CASE WHEN id_pedido % 11 = 0 THEN NULL ELSE fecha_creacion END AS fecha_creacion)
+FROM ({_ORDERS}) o""",
     "order_lines": _ORDER_LINES,
     "order_lines_carryover": f"SELECT * FROM ({_ORDER_LINES}) l WHERE id_pedido IN ({_CARRY_IDS})",
     # ---- clients

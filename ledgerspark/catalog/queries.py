@@ -11,7 +11,7 @@ import tempfile
 import uuid
 from typing import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
 from ledgerspark import schemas
 from ledgerspark.catalog import landing as L
@@ -20,14 +20,16 @@ from ledgerspark.functions import (amount, clean_markers, clean_strip, exception
                                    m2o_name, parse_date, round_half_even, street_key,
                                    strip_doc_code, to_id)
 from ledgerspark.functions.common import then, with_columns_once
+from ledgerspark.functions.rejects import load_with_rejects, read_rejects
 from ledgerspark.functions.periods import month_start, previous_month
 from ledgerspark.operators import (carry_over, day_count, discarded_invoiced, frequency,
                                    tag_names_from_table, top_n)
 from ledgerspark.operators.counts import month_guard
 from ledgerspark.plans import incremental, jobs, transforms as tf
-from ledgerspark.sinks import (load, raw_rows, replace_months, sheet_rows, upload_sheet,
+from ledgerspark.sinks import (load, raw_rows, replace_months, sheet_rows, upload_grid, upload_sheet,
                                with_month)
 from ledgerspark.sinks.snapshots import Snapshots
+from ledgerspark.sources.probes import day_exists
 from ledgerspark.sources import (clients_raw, invoice_lines_raw, invoices_raw, master_product_ids,
                                  order_lines_raw, orders_raw, products_raw, read_landed, tax_ids,
                                  taxes_raw,
@@ -609,6 +611,67 @@ def q_sheet_upload(spark, d):
     return df.select(*[F.coalesce(c, F.lit("")).alias(c) for c in names])
 
 
+def _numbered(spark: SparkSession, path: str, names: list[str]) -> DataFrame:
+    """The lines of a grid's parts in turn, numbered from 0 (the header)."""
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in names])
+    lines = (spark.read.schema(schema).csv(path, quote='"', escape='"')
+             .select("*", F.col("_metadata.file_name").alias("_file"), F.monotonically_increasing_id().alias("_at")))
+    files = lines.groupBy("_file").agg(F.count(F.lit(1)).alias("_n"))  # a row a part
+    before = F.coalesce(F.sum("_n").over(Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    lines = lines.join(files.select("_file", before.alias("_before")), "_file")
+    n = F.col("_before") + F.row_number().over(Window.partitionBy("_file").orderBy("_at")) - 1
+    return lines.select(n.cast("long").alias("n"), *[F.coalesce(c, F.lit("")).alias(c) for c in names])
+
+
+def q_sheet_grid(spark, d):
+    """K4 / Q7: the invoices' tab as one grid: header, then rows in source order; read back."""
+    path = _target(spark, "grid")
+    plan = jobs.invoices_sheet_plan(L.moves(spark, d), ASOF, start=START, keep_seq=True)
+    upload_grid(plan, path, ["_seq"])
+    return _numbered(spark, path, [c for c in plan.columns if c != "_seq"])
+
+
+def q_products_grid(spark, d):
+    """K5 / Q9: the products' upload, values raw, by master id; read back."""
+    path = _target(spark, "products-grid")
+    plan = q_products_master(spark, d)
+    upload_grid(plan, path, ["id_producto_padre"], formatted=False)
+    return _numbered(spark, path, plan.columns)
+
+
+def q_day_probe(spark, d):
+    """A1 for the first and 15th day of three months of a closed history, decided by parts, footers or rows."""
+    target = _store(spark, "probe").at("invoices")
+    replace_months(tf.invoices(invoices_raw(L.moves(spark, d), start=START)), target, "fecha_factura")
+    days = ["1996-01-01", "1997-06-15", "1998-06-01", "1998-06-15", "2050-01-01"]
+    found = [(day, day_exists(target, "fecha_factura", day)["existe"]) for day in days]
+    return spark.createDataFrame(found, "dia string, existe boolean")
+
+
+def _soiled(raw: DataFrame) -> DataFrame:
+    """Orders whose numbers and dates are text, some of it unreadable."""
+    return raw.withColumns({
+        "amount_untaxed": F.expr("CASE pmod(id, 13) WHEN 0 THEN 'n/a' WHEN 1 THEN 'false' ELSE CAST(amount_untaxed AS STRING) END"),
+        "amount_tax": F.expr("CASE WHEN pmod(id, 17) = 0 THEN concat(id, ' pesos') ELSE CAST(amount_tax AS STRING) END"),
+        "create_date": F.expr("CASE WHEN pmod(id, 11) = 0 THEN '31/12/1997' ELSE create_date END")})
+
+
+def q_rejects(spark, d):
+    """X10-X12 with an error channel: the values that T2's casts cannot read, loaded with the orders in one write."""
+    target = _store(spark, "rejects").at("orders")
+    df = tf.orders(orders_raw(_soiled(L.sale_orders(spark, d)), ASOF), with_rejects=True)
+    load_with_rejects(target.store.begin(), "orders", df, "id_pedido").commit()
+    return read_rejects(target)
+
+
+def q_orders_beside_rejects(spark, d):
+    """The orders that were loaded with their rejects: 0 and null where the casts failed, as without."""
+    target = _store(spark, "rejects").at("orders")
+    df = tf.orders(orders_raw(_soiled(L.sale_orders(spark, d)), ASOF), with_rejects=True)
+    load_with_rejects(target.store.begin(), "orders", df, "id_pedido").commit()
+    return target.read()
+
+
 # --------------------------------------------------------------------- visits
 
 def q_visits_of_day(spark, d):
@@ -678,5 +741,10 @@ QUERIES: dict[str, Query] = {
     "orders_mirror": q_orders_mirror,
     "close_unit": q_close_unit,
     "backfill_resumed": q_backfill_resumed,
+    "sheet_grid": q_sheet_grid,
+    "products_grid": q_products_grid,
+    "day_probe": q_day_probe,
+    "rejects": q_rejects,
+    "orders_beside_rejects": q_orders_beside_rejects,
     "visits_of_day": q_visits_of_day,
 }

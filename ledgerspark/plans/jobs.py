@@ -16,17 +16,17 @@ from ledgerspark import schemas
 from ledgerspark.functions import list_length, parse_date, to_id
 from ledgerspark.functions.periods import (backfill_range, is_close_day, month_start,
                                            previous_month)
-from ledgerspark.operators import (carry_over, discarded_invoiced, frequency, in_range,
+from ledgerspark.operators import (SEQ, carry_over, discarded_invoiced, frequency, in_range,
                                    observed, top_n)
 from ledgerspark.plans import transforms as tf
-from ledgerspark.sinks import load, replace_months, upload_sheet
+from ledgerspark.sinks import load, replace_months, upload_grid
 from ledgerspark.sources import (clients_raw, invoice_lines_raw, invoices_raw, master_product_ids,
                                  order_lines_raw, orders_raw, products_raw, tax_ids, vendor_ids,
                                  visits_of_day)
 from ledgerspark.operators.joins import semi_join_on
 from ledgerspark.sources.erp import (DEFAULT_INVOICE_START, invoice_line_scope,
                                      posted_invoice_ids)
-from ledgerspark.sources.landed import text_on_or_after
+from ledgerspark.sources.landed import strict_on_or_after
 
 # ------------------------------------------------------------ invoice headers
 
@@ -63,7 +63,7 @@ def sync_invoices(moves: DataFrame, history: str, current: str, asof,
 
 
 def invoice_lines_plan(lines: DataFrame, moves: DataFrame, start, end=None,
-                       with_date: bool = False) -> DataFrame:
+                       with_date: bool = False, strict: bool = False, keep_seq: bool = False) -> DataFrame:
     """S8 + T5: transformed product lines of posted invoices dated in [start, end].
 
     Same rows as ``T5(S8(...))``: the header traversal and T5's filters are
@@ -71,7 +71,7 @@ def invoice_lines_plan(lines: DataFrame, moves: DataFrame, start, end=None,
     parsed -- the relation is parsed once and fewer, narrower rows reach the
     join's shuffle.
     """
-    df = tf.invoice_lines(invoice_line_scope(lines, start, end), with_date=with_date)
+    df = tf.invoice_lines(invoice_line_scope(lines, start, end, strict), with_date=with_date, keep_seq=keep_seq)
     return semi_join_on(df, F.col("id_factura"), posted_invoice_ids(moves), "id")
 
 
@@ -108,9 +108,9 @@ def sync_orders(orders: DataFrame, target: str, asof) -> dict:
 
 
 def carryover_order_ids(orders: DataFrame, asof) -> DataFrame:
-    """Ids of raw headers created since last month's start that carry over."""
+    """Ids of raw headers created since last month's start that carry over; an unparsable date raises."""
     m1 = previous_month(asof).first
-    heads = orders_raw(orders, where=text_on_or_after("create_date", m1))
+    heads = orders_raw(orders, where=strict_on_or_after("create_date", m1))
     day = parse_date("create_date", heads.schema["create_date"].dataType)
     return (heads.where(carry_over(day, F.col("invoice_status"), asof))
             .select(to_id("id", heads.schema["id"].dataType).alias("id")))
@@ -162,29 +162,31 @@ def _from_month(start, asof) -> str:
     return max(str(start)[:10], month_start(asof).isoformat())
 
 
-def invoices_sheet_plan(moves: DataFrame, asof, start=DEFAULT_INVOICE_START) -> DataFrame:
-    """Q7 rows: posted invoices, raw date in the current month (pushed to the scan), transformed."""
-    return tf.invoices(invoices_raw(moves, start=_from_month(start, asof)))
+def invoices_sheet_plan(moves: DataFrame, asof, start=DEFAULT_INVOICE_START, keep_seq: bool = False) -> DataFrame:
+    """Q7 rows: posted invoices, raw date in the current month (pushed to the scan; an unparsable one raises), transformed."""
+    return tf.invoices(invoices_raw(moves, start=_from_month(start, asof), strict=True), keep_seq=keep_seq)
 
 
 def sync_invoices_sheet(moves: DataFrame, path: str, asof) -> dict:
-    return {"loaded": upload_sheet(invoices_sheet_plan(moves, asof), path)}
+    """Q7: one grid in source order."""
+    return {"loaded": upload_grid(invoices_sheet_plan(moves, asof, keep_seq=True), path, [SEQ])}
 
 
 def invoice_lines_sheet_plan(lines: DataFrame, moves: DataFrame, asof,
-                             start=DEFAULT_INVOICE_START) -> DataFrame:
-    """Q8 rows: product lines of posted invoices dated in the current month (pushed to the scan)."""
-    return invoice_lines_plan(lines, moves, _from_month(start, asof))
+                             start=DEFAULT_INVOICE_START, keep_seq: bool = False) -> DataFrame:
+    """Q8 rows: product lines of posted invoices dated in the current month (pushed to the scan; a bad date raises)."""
+    return invoice_lines_plan(lines, moves, _from_month(start, asof), strict=True, keep_seq=keep_seq)
 
 
 def sync_invoice_lines_sheet(lines: DataFrame, moves: DataFrame, path: str, asof) -> dict:
-    return {"loaded": upload_sheet(invoice_lines_sheet_plan(lines, moves, asof), path)}
+    """Q8: one grid in source order."""
+    return {"loaded": upload_grid(invoice_lines_sheet_plan(lines, moves, asof, keep_seq=True), path, [SEQ])}
 
 
 def sync_products_sheet(products: DataFrame, master: DataFrame, path: str) -> dict:
-    """Q9: products to a sheet; dates are formatted like the other sheets."""
+    """Q9: products to a grid by master id; dates are formatted like the other sheets."""
     prods = tf.products(products_raw(products), master_product_ids(master))
-    return {"loaded": upload_sheet(prods, path)}
+    return {"loaded": upload_grid(prods, path, ["id_producto_padre"])}
 
 
 # ------------------------------------------------------------------- backfill

@@ -26,6 +26,7 @@ from ledgerspark.functions import (amount, clean_markers, clean_strip, exception
                                    parse_timestamp, round_half_even, street_key, strip_doc_code,
                                    tag_names, to_id)
 from ledgerspark.functions.common import then, with_columns_once
+from ledgerspark.functions.rejects import REJECTS, rejects
 from ledgerspark.functions.numbers import integral_or_null, parse_number
 from ledgerspark.functions.relations import parse_list
 from ledgerspark.operators import (SEQ, all_present, is_posted, keep_first, left_from_master,
@@ -184,10 +185,11 @@ def _rel_id(raw: DataFrame, src: str, allow_scalar: bool = False) -> Column:
     return m2o_id(src, _dtype(raw, src), allow_scalar=allow_scalar)
 
 
-def orders(raw: DataFrame, vendors: IdList = None, clients: IdList = None) -> DataFrame:
+def orders(raw: DataFrame, vendors: IdList = None, clients: IdList = None, with_rejects: bool = False) -> DataFrame:
     """Sale-order headers with ids, amounts, dates and cleaned text.
 
-    ``vendors`` / ``clients`` are optional membership lists (empty = no filter).
+    ``vendors`` / ``clients`` are optional membership lists (empty = no filter). ``with_rejects``
+    adds the values that the casts cannot read (``functions.rejects``).
     """
     d = lambda c: _dtype(raw, c)
     parsed = {
@@ -209,19 +211,21 @@ def orders(raw: DataFrame, vendors: IdList = None, clients: IdList = None) -> Da
     for src, dst in _ORDER_AMOUNTS.items():
         if src in raw.columns:
             cols.append(amount(src, d(src)).alias(dst))
+    if with_rejects:
+        cols.append(rejects(raw, numbers=list(_ORDER_AMOUNTS), integers=["id"], dates=list(_ORDER_DATES)))
     keys = [n for n, ids in (("id_vendedor", vendors), ("id_cliente", clients)) if ids is not None]
     df = with_columns_once(raw, parsed, keys=["fecha_creacion", *keys]).select(*cols, *_with_seq(raw))
     df = member_of(df, "id_vendedor", vendors, empty="all")
     df = member_of(df, "id_cliente", clients, empty="all")
-    return _select_target(df, schemas.ORDERS, present_only=True)
+    return _select_target(df, schemas.ORDERS, present_only=True, extra=(REJECTS,) if with_rejects else ())
 
 
 # ------------------------------------------------------------- T3 order lines
 
 def order_lines(raw: DataFrame, products: IdList = None, orders: IdList = None,
-                empty_orders: str = "all") -> DataFrame:
+                empty_orders: str = "all", with_rejects: bool = False) -> DataFrame:
     """Sale-order lines; optional product / order membership (empty = no filter; an empty order list
-    keeps nothing with ``empty_orders="none"``)."""
+    keeps nothing with ``empty_orders="none"``). ``with_rejects`` as in T2."""
     _require(raw, ["id", "product_uom_qty", "price_unit", "price_subtotal", "discount"],
              "order_lines")
     d = lambda c: _dtype(raw, c)
@@ -236,10 +240,11 @@ def order_lines(raw: DataFrame, products: IdList = None, orders: IdList = None,
         amount("price_unit", d("price_unit")).alias("precio_unitario"),
         amount("discount", d("discount")).alias("descuento"),
         amount("price_subtotal", d("price_subtotal")).alias("subtotal"),
+        *([rejects(raw, numbers=["product_uom_qty", "price_unit", "discount", "price_subtotal"], integers=["id"])] if with_rejects else []),
     )
     df = member_of(df, "id_producto", products, empty="all")
     df = member_of(df, "id_pedido", orders, empty=empty_orders)
-    return _select_target(df, schemas.ORDER_LINES, present_only=False)
+    return _select_target(df, schemas.ORDER_LINES, present_only=False, extra=(REJECTS,) if with_rejects else ())
 
 
 # ----------------------------------------------------------------- T1 clients

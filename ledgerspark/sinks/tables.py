@@ -99,15 +99,15 @@ def _follow_rename(spark: SparkSession, table: str) -> None:
         spark.sql(f"ALTER TABLE {table} PARTITION ({spec}) SET LOCATION '{info['Location'].rstrip('/')}/{row[0]}'")
 
 
-def staged_write(df: DataFrame, target: str, write, skip_if_empty: bool = True) -> bool:
+def staged_write(df: DataFrame, target: str, write, skip_if_empty: bool = True, counted=None) -> bool:
     """Write ``df`` beside ``target`` with ``write(df, place)`` and switch on success.
 
-    Rows are counted on the write itself, so the plan runs once. Returns whether
-    the target was switched.
+    Rows (those where ``counted`` holds, if given) are counted on the write itself, so the plan
+    runs once. Returns whether the target was switched.
     """
     spark = df.sparkSession
     seen = Observation(f"load-{uuid.uuid4().hex}")
-    df = df.observe(seen, F.count(F.lit(1)).alias("rows"))
+    df = df.observe(seen, (F.count(F.lit(1)) if counted is None else F.count_if(counted)).alias("rows"))
     path = _is_path(target)
     staged = f"{target.rstrip('/')}.__new-{uuid.uuid4().hex}" if path else f"{target}__new_{uuid.uuid4().hex}"
     done = False

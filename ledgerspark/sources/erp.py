@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from ledgerspark.functions.periods import minus_months
 from ledgerspark.functions.relations import m2o_id
 from ledgerspark.operators.joins import semi_join_on
-from ledgerspark.sources.landed import fetch, text_on_or_after, text_on_or_before
+from ledgerspark.sources.landed import fetch, strict_on_or_after, text_on_or_after, text_on_or_before
 
 # Invoice kinds extracted (customer invoices and refunds), the
 # posted state, the product line type, the backfill start and
@@ -54,16 +54,17 @@ def taxes_raw(taxes: DataFrame, limit: int | None = None) -> DataFrame:
     return fetch(taxes, fields=["id", "name", "amount"], limit=limit)
 
 
-def invoices_raw(moves: DataFrame, start=DEFAULT_INVOICE_START, end=None) -> DataFrame:
+def invoices_raw(moves: DataFrame, start=DEFAULT_INVOICE_START, end=None, strict: bool = False) -> DataFrame:
     """Posted customer invoices / refunds dated on or after ``start``.
 
     ``end`` (inclusive) is an optional extra bound pushed to the scan. Of an id
     dated on both sides of it, the row kept first may differ from a filter after
-    the transform; the jobs that close a month filter afterwards.
+    the transform; the jobs that close a month filter afterwards. ``strict``
+    raises on a date that cannot be parsed.
     """
-    where = (F.col("move_type").isin(*INVOICE_MOVE_TYPES)
-             & text_on_or_after("invoice_date", start)
-             & (F.col("state") == POSTED))
+    after = strict_on_or_after if strict else text_on_or_after
+    where = (F.col("move_type").isin(*INVOICE_MOVE_TYPES) & (F.col("state") == POSTED)
+             & after("invoice_date", start))
     if end is not None:
         where = where & text_on_or_before("invoice_date", end)
     return fetch(moves, where=where)
@@ -75,9 +76,9 @@ def posted_invoice_ids(moves: DataFrame) -> DataFrame:
             .select(F.col("id").cast("bigint").alias("id")))
 
 
-def invoice_line_scope(lines: DataFrame, start=DEFAULT_INVOICE_START, end=None) -> DataFrame:
-    """S8's predicates on the line itself: product lines dated in [start, end]."""
-    where = (F.col("display_type") == PRODUCT_LINE) & text_on_or_after("date", start)
+def invoice_line_scope(lines: DataFrame, start=DEFAULT_INVOICE_START, end=None, strict: bool = False) -> DataFrame:
+    """S8's predicates on the line itself: product lines dated in [start, end] (``strict``: bad dates raise)."""
+    where = (F.col("display_type") == PRODUCT_LINE) & (strict_on_or_after if strict else text_on_or_after)("date", start)
     if end is not None:
         where = where & text_on_or_before("date", end)
     return lines.where(where)

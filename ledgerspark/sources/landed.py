@@ -68,6 +68,25 @@ def text_on_or_after(col: str, day) -> Column:
     return (F.col(col) >= F.lit(d)) & F.col(col).rlike(r"^\d{4}-\d{2}-\d{2}")
 
 
+# What an ERP lands for an empty date (any case); such rows have no date.
+EMPTY_DATES = ("", "false", "none", "nan", "nat", "null")
+
+
+def strict_on_or_after(col: str, day) -> Column:
+    """``text_on_or_after`` that raises on text that is no date.
+
+    The comparison with ``day`` stands alone as well, so it still reaches the scan;
+    text that sorts before ``day`` is outside the extract, as at the source, and
+    is not looked at. Nulls and the empty-field markers match nothing.
+    """
+    c, d = F.col(col), F.lit(str(day)[:10])
+    good = c.rlike(r"^\d{4}-\d{2}-\d{2}") & F.substring(c, 1, 10).try_cast("date").isNotNull()
+    empty = F.lower(F.trim(c)).isin(*EMPTY_DATES)
+    checked = F.when(good, F.lit(True)).when(empty, F.lit(False)).otherwise(
+        F.raise_error(F.concat(F.lit(f"unparsable date in {col}: "), c)).cast("boolean"))
+    return (c >= d) & F.when(c >= d, checked).otherwise(F.lit(False))
+
+
 def text_on_or_before(col: str, day) -> Column:
     """``col <= day`` (whole day inclusive) on ISO date/datetime text."""
     d = str(day)[:10]
