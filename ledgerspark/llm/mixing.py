@@ -28,7 +28,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerspark.llm.common import WORD, written
+from ledgerspark.llm.common import EXTRAS, WORD, packed, unpacked, written
 
 WEIGHTS = (5, 2, 1)
 #: Hex digits of the md5 that name a slice of a source's shuffled order.
@@ -71,25 +71,35 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, budget_x: float = 1.5, max
     return t.select("no_source", "src", "source_size", F.coalesce(share, F.col("cap").cast("double")).alias("target"))
 
 
+def _numbered(rows: DataFrame) -> DataFrame:
+    """``n`` rows for each one, with their numbers as ``copy``; arrays stay short however many they are."""
+    step = F.lit(4096)
+    some = rows.withColumn("at", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("n") - 1) / step))))
+    last = F.least(F.col("n") - 1, F.col("at") * step + step - 1)
+    return some.withColumn("copy", F.explode(F.sequence(F.col("at") * step, last))).drop("at", "n")
+
+
 def _mixed(docs: DataFrame, weights, budget_x: float, max_repeats: int) -> DataFrame:
     """doc_id, key (hash of the text), no_source, src, size, source_size, target and taken of every row."""
-    light = written(
-        docs.select(
-            "doc_id",
-            F.xxhash64("text").alias("key"),
-            F.col("source").isNull().alias("no_source"),
-            F.coalesce("source", F.lit("")).alias("src"),
-            word_count(F.col("text")).alias("size"),
-            F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")).alias("h"),
-        ).withColumn("slice", F.substring("h", 1, SLICE_DIGITS)),
-        "mix-sizes",
+    rows = docs.select(
+        "doc_id",
+        F.xxhash64("text").alias("key"),
+        F.col("source").isNull().alias("no_source"),
+        F.coalesce("source", F.lit("")).alias("src"),
+        word_count(F.col("text")).alias("size"),
     )
+    # a document's place comes from its id; copies, which are counted and numbered, and rows without id have places of
+    # their own, so that they spread over the slices like all others
+    rows = _numbered(rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("n")))
+    place = F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.col("key").cast("string"), F.col("copy").cast("string"))
+    place = F.when((F.col("copy") == 0) & F.col("doc_id").isNotNull(), F.col("doc_id").cast("string")).otherwise(place)
+    light = written(rows.withColumn("h", F.md5(place.cast("binary"))).withColumn("slice", F.substring("h", 1, SLICE_DIGITS)), "mix-sizes")
     key = ["no_source", "src"]
     slices = light.groupBy(*key, "slice").agg(F.sum("size").alias("slice_size"))
     offset = F.sum("slice_size").over(Window.partitionBy(*key).orderBy("slice").rowsBetween(Window.unboundedPreceding, -1))
     targets = source_targets(slices.groupBy(*key).agg(F.sum("slice_size").alias("source_size")), weights, budget_x, max_repeats)
     slices = slices.select(*key, "slice", F.coalesce(offset, F.lit(0)).alias("before")).join(targets, key)
-    inside = Window.partitionBy(*key, "slice").orderBy("h", "doc_id", "size", "key").rowsBetween(Window.unboundedPreceding, 0)
+    inside = Window.partitionBy(*key, "slice").orderBy("h", "doc_id", "size", "key", "copy").rowsBetween(Window.unboundedPreceding, 0)
     served = light.join(slices, [*key, "slice"]).withColumn("served", F.col("before") + F.sum("size").over(inside))
     finish = lambda k: (F.col("served") + k * F.col("source_size")).cast("double") / F.col("target")
     queued = written(
@@ -124,15 +134,16 @@ def mixed_documents(docs: DataFrame, weights=WEIGHTS, budget_x: float = 1.5, max
     taken = taken.groupBy(F.col("doc_id").alias("__d"), F.col("key").alias("__k"), F.col("no_source").alias("__n"),
                           F.col("src").alias("__s")).agg(F.sum(F.col("taken") / F.col("size")).cast("int").alias("__times"))
     keys = ["__k", "__n", "__s"]
-    rows = docs.withColumns({"__d": F.col("doc_id"), "__k": F.xxhash64("text"), "__n": F.col("source").isNull(),
+    reads = ("doc_id", "text", "source")
+    rows = packed(docs, *reads).withColumns({"__d": F.col("doc_id"), "__k": F.xxhash64("text"), "__n": F.col("source").isNull(),
                              "__s": F.coalesce("source", F.lit(""))})
     taken = written(taken, "mix-taken").withColumnRenamed("__d", "__e")
     on = F.col("__d").eqNullSafe(F.col("__e"))
     for k in keys:
         on = on & (rows[k] == taken[k])
     both = rows.join(taken, on).drop(*[taken[k] for k in keys], "__e").dropDuplicates(["__d", *keys])
-    own = [F.col(f"`{c}`") for c in docs.columns]
-    return both.select(*own, F.explode(F.sequence(F.lit(1), "__times")).alias("__round")).drop("__round")
+    both = both.select(*reads, EXTRAS, F.explode(F.sequence(F.lit(1), "__times")))
+    return both.select(*unpacked(both, docs, *reads))
 
 
 def _up_to(finish: Column, cut: tuple | None) -> Column:
