@@ -10,6 +10,7 @@ import zipfile
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Words of a text: maximal runs of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -87,6 +88,25 @@ def held_out(col: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(col).cast("string").cast("binary")) % 4 == 2, F.lit(True))
 
 
+EXTRAS = "__extras"
+
+
+def packed(docs: DataFrame, *reads: str) -> DataFrame:
+    """The columns of ``docs`` that an operator reads, and all others in one struct: no name of theirs can clash with its own."""
+    others = [F.col(f"`{c}`") for c in docs.columns if c not in reads]
+    return docs.select(*reads, (F.struct(*others) if others else F.lit(True)).alias(EXTRAS))
+
+
+def unpacked(rows: DataFrame, docs: DataFrame, *reads: str, leave: tuple[str, ...] = ()) -> list[Column]:
+    """The columns of ``docs`` (but those to ``leave`` out), in their order, from rows that ``packed`` made."""
+    return [rows[c] if c in reads else rows[EXTRAS].getField(c).alias(c) for c in docs.columns if c not in leave]
+
+
+def schema_with(rows: DataFrame, name: str, kind: T.DataType) -> T.StructType:
+    """The schema of ``rows`` and one more column."""
+    return T.StructType([*rows.schema.fields, T.StructField(name, kind)])
+
+
 def keyed(docs: DataFrame) -> DataFrame:
     """``docs`` plus ``__id`` (internal id) and ``__key`` (hash of the whole text).
 

@@ -103,17 +103,21 @@ def faults(rows: DataFrame) -> DataFrame:
                                                     F.substring("role", 1, 1).alias("initial"), fault.alias("fault"))
 
 
+def tasks(rows: DataFrame, block_rows: int = BLOCK_ROWS) -> int:
+    """Tasks for rows in a written table: a block each, and enough for all cores."""
+    return max(rows.sparkSession.sparkContext.defaultParallelism, -(-rows.count() // block_rows))
+
+
 def blocks(rows: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """conv_id, turn, initial, fault, row, and ``pos``, which rises in the order of the conversations; ``block`` is its upper part."""
     order = [F.col("conv_id").asc_nulls_first(), F.col("turn").asc_nulls_first(), "role", "digest", "row"]
-    many = max(rows.sparkSession.sparkContext.defaultParallelism, -(-rows.count() // block_rows))
-    placed = faults(rows).repartitionByRange(many, *order).sortWithinPartitions(*order)
+    placed = faults(rows).repartitionByRange(tasks(rows, block_rows), *order).sortWithinPartitions(*order)
     placed = placed.select("conv_id", "turn", "initial", "fault", "row", F.monotonically_increasing_id().alias("pos"))
     return written(placed.withColumn("block", F.shiftright("pos", BLOCK_SHIFT)), "conversation-blocks")
 
 
-def by_block(rows: DataFrame, run, schema: str) -> DataFrame:
-    """``run`` over each block: its columns as lists, rows in order. A task holds one block at a time."""
+def by_block(rows: DataFrame, run, schema: str, many: int) -> DataFrame:
+    """``run`` over each block: its columns as lists, rows in order. A task holds one block at a time; ``many`` share them."""
     names = rows.columns
 
     def stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -133,7 +137,7 @@ def by_block(rows: DataFrame, run, schema: str) -> DataFrame:
         if held[at]:
             yield from run(dict(zip(names, held)))
 
-    return rows.repartition("block").sortWithinPartitions("block", "pos").mapInArrow(stream, schema)
+    return rows.repartition(many, "block").sortWithinPartitions("block", "pos").mapInArrow(stream, schema)
 
 
 def pieces_of(block: dict) -> Iterator[tuple[int, int]]:
@@ -274,7 +278,7 @@ def summaries(placed: DataFrame) -> DataFrame:
     """A row per conversation and block (see ``SUMMARY``)."""
     names, id_type, turn_type = _types(placed)
     schema = SUMMARY.format(**names)
-    return written(by_block(placed, _named(_summaries(id_type, turn_type), schema), schema), "conversation-pieces")
+    return written(by_block(placed, _named(_summaries(id_type, turn_type), schema), schema, tasks(placed)), "conversation-pieces")
 
 
 def _stitched(pieces: pd.DataFrame) -> pd.DataFrame:
@@ -356,7 +360,7 @@ def edits(placed: DataFrame, pieces: DataFrame) -> DataFrame:
     names, id_type, _ = _types(placed)
     infos = stitched(pieces).withColumn("pos", F.lit(-1).cast("long"))
     rows = placed.drop("turn").unionByName(infos, allowMissingColumns=True)
-    return by_block(rows, _edits(id_type), EDITS.format(**names))
+    return by_block(rows, _edits(id_type), EDITS.format(**names), tasks(placed))
 
 
 def repair(rows: DataFrame, block_rows: int = BLOCK_ROWS) -> tuple[DataFrame, DataFrame]:

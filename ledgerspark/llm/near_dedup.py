@@ -42,11 +42,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerspark.llm.blocks import Block, U, blocks, mix
-from ledgerspark.llm.common import NO_ID, bitmap, external_id, internal_id, keyed, marked, written
+from ledgerspark.llm.common import EXTRAS, NO_ID, bitmap, external_id, internal_id, keyed, marked, packed, unpacked, written
 from ledgerspark.llm.components import components
 from ledgerspark.llm.minhash import shingles, superminhash
 
@@ -115,8 +115,128 @@ def _verify(size: int, percent: int):
     return verify
 
 
-#: Elements that a block of looked-up members holds.
-BLOCK_ELEMENTS = 1 << 20
+#: Elements (and as many again for each member's own figures) that a block of looked-up members holds, and meetings
+#: that are worked on at a time.
+BLOCK_ELEMENTS, MEETINGS = 1 << 20, 1 << 21
+MEMBER_COST = 8
+
+
+class _Members:
+    """Members of a hub with the sorted elements of their differences to it."""
+
+    def __init__(self, u: np.ndarray, n: np.ndarray, sizes: np.ndarray, elements: np.ndarray, percent: int):
+        self.u, self.n, self.sizes, self.elements = u, n, sizes, elements
+        self.owner = np.repeat(np.arange(len(u)), sizes)
+        #: A pair is linked if it has at least the sum of its two needs in common.
+        self.need = (sizes - (100 - percent) / (100 + percent) * n) / 2
+
+    def places(self, often: np.ndarray) -> np.ndarray:
+        """Places of the elements in their member's order, the rarest first (``often`` counts them, ties by hash)."""
+        by = np.lexsort((self.elements, often, self.owner))
+        first = np.cumsum(self.sizes) - self.sizes
+        out = np.empty(len(by), np.int64)
+        out[by] = np.arange(len(by)) - first[self.owner[by]]
+        return out
+
+
+SLACK = 1e-6
+
+
+class _Index:
+    """Looked-up members by element.
+
+    Prefix filtering: members x and y with t elements in common, each taken in one order of all elements, meet
+    in x's first d(x) - t + 1 and y's first d(y) - t + 1 elements. With t >= need(x) + need(y), an element at
+    place i of x matters to y only if need(x) - d(x) + i <= -need(y). The members of an element are sorted by that
+    left side, so those that matter to y come first. The rarest elements come first in the order, so an element
+    that all members of a hub share comes last, where it matters only to pairs that it may link.
+    """
+
+    def __init__(self, members: _Members, percent: int):
+        self.members, self.percent = members, percent
+        self.unique, seg, often = np.unique(members.elements, return_inverse=True, return_counts=True)
+        left = (members.need - members.sizes)[members.owner] + members.places(often[seg])
+        self.low = float(left.min(initial=0.0)) - 1
+        self.width = float(left.max(initial=0.0)) - self.low + 2
+        key = seg * self.width + (left - self.low)
+        by = np.argsort(key, kind="stable")
+        self.key, self.owner = key[by], members.owner[by]
+        self.first = np.concatenate([[0], np.cumsum(often)])
+        self.own = np.sort(self._pairs(members.owner, members.elements))
+        self.by_u = np.argsort(members.u, kind="stable")
+        #: Union-find over the members and, last, the hub's own component.
+        self.root = np.arange(len(members.u) + 1)
+
+    @staticmethod
+    def _pairs(owner: np.ndarray, elements: np.ndarray) -> np.ndarray:
+        return mix(elements.view(U) + mix(owner.astype(U) + U(1)))
+
+    def links(self, asking: _Members) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(u, v) of the links between members that ask and looked-up ones; those that join nothing new are left out."""
+        if not len(self.unique) or not len(asking.u):
+            return
+        seg = np.minimum(np.searchsorted(self.unique, asking.elements), len(self.unique) - 1)
+        there = self.unique[seg] == asking.elements
+        often = np.where(there, np.diff(self.first)[seg], 0)
+        place = asking.places(often)
+        at = np.clip(-asking.need[asking.owner] + SLACK - self.low, -0.5, self.width - 0.5)
+        upto = np.searchsorted(self.key, seg * self.width + at, side="right") - self.first[seg]
+        met = np.where(there, np.maximum(upto, 0), 0)
+        # x's own need may be at most what is left of y from this place on
+        most = (asking.sizes - asking.need)[asking.owner] - place + SLACK
+        rows = np.flatnonzero(met)
+        cuts = np.searchsorted(np.cumsum(met[rows]), np.arange(MEETINGS, met.sum() + MEETINGS, MEETINGS), side="right") if len(rows) else []
+        lo = 0
+        for hi in [*cuts, len(rows)]:
+            hi = max(int(hi), lo + 1) if lo < len(rows) else lo
+            some = rows[lo:hi]
+            lo = hi
+            if not len(some):
+                continue
+            n = met[some]
+            k = np.repeat(self.first[seg[some]], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+            x, y = self.owner[k], np.repeat(asking.owner[some], n)
+            fit = self.members.need[x] <= np.repeat(most[some], n)
+            both = np.unique(y[fit] * len(self.members.u) + x[fit])
+            yield from self._linked(asking, both // len(self.members.u), both % len(self.members.u))
+
+    def _linked(self, asking: _Members, y: np.ndarray, x: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Judge pairs by counting what they have in common, some at a time."""
+        first = np.cumsum(asking.sizes) - asking.sizes
+        ends = np.cumsum(asking.sizes[y])
+        for lo in range(0, int(ends[-1]) if len(ends) else 0, MEETINGS):
+            some = slice(*np.searchsorted(ends, [lo, lo + MEETINGS], side="right"))
+            ys, xs = y[some], x[some]
+            if not len(ys):
+                continue
+            d = asking.sizes[ys]
+            at = np.repeat(first[ys], d) + np.arange(d.sum()) - np.repeat(np.cumsum(d) - d, d)
+            key = self._pairs(np.repeat(xs, d), asking.elements[at])
+            here = self.own[np.minimum(np.searchsorted(self.own, key), len(self.own) - 1)] == key
+            common = np.bincount(np.repeat(np.arange(len(ys)), d), weights=here, minlength=len(ys)).astype(np.int64)
+            both, apart = asking.n[ys] + self.members.n[xs], d + self.members.sizes[xs] - 2 * common
+            good = (common > 0) & (100 * (both - apart) >= self.percent * (both + apart)) & (asking.u[ys] != self.members.u[xs])
+            yield self._joining(asking, ys[good], xs[good])
+
+    def _joining(self, asking: _Members, y: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The links that join two components: one that asks and is not looked up is linked with the hub."""
+        u = self.members.u
+        place = np.minimum(np.searchsorted(u, asking.u[y], sorter=self.by_u), len(u) - 1)
+        node = self.by_u[place]
+        node = np.where(u[node] == asking.u[y], node, len(u))
+        while not np.array_equal(self.root, self.root[self.root]):
+            self.root = self.root[self.root]
+        new = []
+        for k in np.flatnonzero(self.root[x] != self.root[node]).tolist():
+            a, b = int(x[k]), int(node[k])
+            while self.root[a] != a:
+                a = int(self.root[a])
+            while self.root[b] != b:
+                b = int(self.root[b])
+            if a != b:
+                self.root[min(a, b)] = max(a, b)
+                new.append(k)
+        return asking.u[y[new]], u[x[new]]
 
 
 def _look_up(percent: int):
@@ -124,48 +244,28 @@ def _look_up(percent: int):
 
     def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hub, asked, index = None, [], None
-
-        def build():
-            sizes = np.array([len(r["part"]) for r in asked], np.int64)
-            e = np.concatenate([np.array(r["part"], np.int64) for r in asked]) if asked else np.zeros(0, np.int64)
-            owner = np.repeat(np.arange(len(asked)), sizes)
-            by = np.argsort(e, kind="stable")
-            return e[by], owner[by], sizes, np.array([r["n"] for r in asked], np.int64)
-
-        def links_of(rows: list[dict]) -> Iterator[pa.RecordBatch]:
-            e, owner, sizes, ns = index
-            for at in range(0, len(rows), 256):
-                some = rows[at:at + 256]
-                d = np.array([len(r["part"]) for r in some])
-                mine = np.concatenate([np.array(r["part"], np.int64) for r in some])
-                who = np.repeat(np.arange(len(some)), d)
-                lo, hi = np.searchsorted(e, mine, side="left"), np.searchsorted(e, mine, side="right")
-                n = hi - lo
-                met = np.repeat(lo, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-                common = np.bincount(np.repeat(who, n) * len(sizes) + owner[met], minlength=len(some) * len(sizes))
-                common = common.reshape(len(some), len(sizes))
-                both = np.array([r["n"] for r in some])[:, None] + ns[None, :]
-                apart = d[:, None] + sizes[None, :] - 2 * common
-                m, q = np.nonzero((common > 0) & (100 * (both - apart) >= percent * (both + apart)))
-                u, v = [some[i]["u"] for i in m], [asked[j]["u"] for j in q]
-                yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], names=["u", "v"])
-
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                wait: list[dict] = []
-                for r in batch.slice(at, 256).to_pylist():
-                    key = (r["v"], r["v_key"], r["block"])
-                    if key != hub:
-                        if wait:
-                            yield from links_of(wait)
-                        hub, asked, index, wait = key, [], None, []
-                    if r["role"] == 0:
-                        asked.append(r)
-                    else:
-                        index = index or build()
-                        wait.append(r)
-                if wait:
-                    yield from links_of(wait)
+            get = lambda c: batch.column(batch.schema.get_field_index(c))
+            v, key, block, role, u, n = (get(c).to_numpy() for c in ("v", "v_key", "block", "role", "u", "n"))
+            sizes = get("part").value_lengths().to_numpy().astype(np.int64)
+            first = np.concatenate([[0], np.cumsum(sizes)])
+            elements = get("part").flatten().to_numpy()
+            new = (np.diff(v) != 0) | (np.diff(key) != 0) | (np.diff(block) != 0) | (np.diff(role) != 0)
+            cuts = [0, *(np.flatnonzero(new) + 1).tolist(), batch.num_rows]
+            for a, b in zip(cuts, cuts[1:]):
+                if a == b:
+                    continue
+                if (v[a], key[a], block[a]) != hub:
+                    hub, asked, index = (v[a], key[a], block[a]), [], None
+                some = (u[a:b], n[a:b].astype(np.int64), sizes[a:b], elements[first[a]:first[b]])
+                if role[a] == 0:
+                    asked.append(some)
+                    continue
+                if index is None:
+                    held = [np.concatenate(c) for c in zip(*asked)] if asked else [c[:0] for c in some]
+                    index, asked = _Index(_Members(*held, percent), percent), []
+                for left, right in index.links(_Members(*some, percent)):
+                    yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], names=["u", "v"])
 
     return look_up
 
@@ -206,7 +306,7 @@ def links(signed: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFr
 
     hub = ["v", "v_key"]
     open_ = tested.where("not linked and part is not null")
-    blocks_ = written(open_.groupBy(*hub).agg((F.floor(F.sum(F.size("part")) / BLOCK_ELEMENTS) + 1).cast("int").alias("blocks")), "near-open")
+    blocks_ = written(open_.groupBy(*hub).agg((F.floor(F.sum(F.size("part") + MEMBER_COST) / BLOCK_ELEMENTS) + 1).cast("int").alias("blocks")), "near-open")
     asked = open_.join(blocks_, hub).withColumn("block", F.pmod(F.xxhash64("u", "u_key"), "blocks").cast("int"))
     others = tested.join(blocks_, hub).withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     cols = [*hub, "block", "role", "u", "n", "part"]
@@ -235,18 +335,38 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, bands: in
 def one_of_each(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     """``docs`` with one document of every component, all columns kept.
 
-    Of rows that share the id of a kept document the one with the least text hash stays; rows without id all stay.
+    A document is an id with its text: of rows equal in both one stays. Where an id comes with several texts, the
+    one with the least hash has the id, and the others stand behind all ids when a component chooses who stays.
+    Rows without id all stay.
     """
-    found = written(near_duplicates(docs, size, percent).where("doc_id is not null"), "near-found")
+    reads = ("doc_id", "text")
+    rows = _told_apart(packed(docs, *reads))
+    nodes = rows.select(F.col("__node").alias("doc_id"), "text")
+    found = written(near_duplicates(nodes, size, percent).where("doc_id is not null"), "near-found")
     gone = found.where("not kept").select("doc_id").unionByName(
         found.groupBy("doc_id").count().where("count > 1").select("doc_id"))
-    rows = marked(docs.withColumn("__id", internal_id()), bitmap(gone.withColumnRenamed("doc_id", "__id"), "__id"), "__id")
-    own = [F.col(f"`{c}`") for c in docs.columns]
-    whole = rows.where("not __hit or doc_id is null").select(*own)
+    rows = rows.withColumn("__id", internal_id("__node"))
+    rows = marked(rows, bitmap(gone.withColumnRenamed("doc_id", "__id"), "__id"), "__id")
+    own = [*reads, EXTRAS]
+    whole = rows.where("not __hit or __node is null").select(*own)
     kept = found.where("kept").select(F.col("doc_id").alias("__kept")).distinct()
-    some = rows.where("__hit and doc_id is not null").join(kept, F.col("doc_id") == F.col("__kept"))
-    place = F.row_number().over(Window.partitionBy("__kept").orderBy(F.xxhash64("text"), F.col("text")))
-    return whole.unionByName(some.withColumn("__place", place).where("__place = 1").select(*own))
+    some = rows.where("__hit and __node is not null").join(kept, F.col("__node") == F.col("__kept"))
+    rows = whole.unionByName(some.dropDuplicates(["__kept"]).select(*own))
+    return rows.select(*unpacked(rows, docs, *reads))
+
+
+def _told_apart(rows: DataFrame) -> DataFrame:
+    """``rows`` plus ``__node``: the id, or where the id has several texts, for all but one a number of its own above 2^62."""
+    keys = rows.select("doc_id", F.xxhash64("text").alias("__key")).where("doc_id is not null")
+    several = keys.groupBy("doc_id").agg(F.min("__key").alias("__least"), F.max("__key").alias("__most")).where("__least < __most")
+    several = written(several.select(F.col("doc_id").alias("__shared"), "__least"), "near-shared")
+    rows = marked(rows.withColumns({"__key": F.xxhash64("text"), "__id": F.col("doc_id")}), bitmap(several, "__shared"), "__id")
+    plain = rows.where("not __hit").withColumn("__node", F.col("doc_id").cast("long"))
+    some = rows.where("__hit").join(several, F.col("doc_id") == F.col("__shared"), "left")
+    own = F.pmod(F.xxhash64(F.lit("node"), "doc_id", "__key"), F.lit(1 << 61)) + F.lit(1 << 62)
+    some = some.withColumn("__node", F.when(F.col("__key") != F.col("__least"), own).otherwise(F.col("doc_id").cast("long")))
+    columns = [c for c in rows.columns if not c.startswith("__") or c == EXTRAS] + ["__node"]
+    return plain.select(*columns).unionByName(some.select(*columns))
 
 
 def query(spark, sf_dir: str) -> DataFrame:

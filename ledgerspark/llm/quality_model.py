@@ -26,9 +26,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerspark.llm.blocks import Block, Rolling, blocks
-from ledgerspark.llm.common import bounded_sample, held_out, ship, training_labels
+from ledgerspark.llm.common import bounded_sample, held_out, packed, schema_with, ship, training_labels, unpacked
 
 MAX_ROWS = 20000
 #: Byte classes: white space, lower, upper, digits, other scripts, each sentence mark, brackets, symbols, the rest.
@@ -187,21 +188,23 @@ def fit(docs: DataFrame, labels: DataFrame, target: str = "quality") -> Trees:
     return train(x[order], rows.column("y").to_numpy()[order].astype(float))
 
 
+SCORE = "__score"
+
+
 def _score(model: Trees):
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in blocks(batches):
-            names = [c for c in b.rows.schema.names if c != "__score"]
-            cols = [b.rows.column(b.rows.schema.get_field_index(c)) for c in names]
-            yield pa.RecordBatch.from_arrays([*cols, pa.array(model.scores(statistics(b)))], names=[*names, "__score"])
+            yield pa.RecordBatch.from_arrays([*b.rows.columns, pa.array(model.scores(statistics(b)))], names=[*b.rows.schema.names, SCORE])
 
     return score
 
 
 def score(docs: DataFrame, model: Trees) -> DataFrame:
-    """``docs`` plus ``__score`` (0 to 1). One pass, no shuffle."""
+    """``docs`` plus ``__score`` (0 to 1), which replaces a column of that name. One pass, no shuffle."""
     ship(docs.sparkSession)
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return docs.mapInArrow(_score(model), f"{kinds}, __score double")
+    rows = packed(docs, "text")
+    rows = rows.mapInArrow(_score(model), schema_with(rows, SCORE, T.DoubleType()))
+    return rows.select(*unpacked(rows, docs, "text", leave=(SCORE,)), SCORE)
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -36,10 +36,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerspark.llm.blocks import Block, Rolling, U, blocks, mix, runs
-from ledgerspark.llm.common import bitmap, keyed, marked, written
+from ledgerspark.llm.common import EXTRAS, bitmap, keyed, marked, packed, schema_with, unpacked, written
 
+REPEATS = T.StructType([T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()), T.StructField("kept_sha256", T.StringType())])
 RUN = "__id long, __key long, anchor long, d1 long, d2 long, first int, n int"
 
 
@@ -163,17 +165,18 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def remove_repeats(docs: DataFrame, width: int = 50) -> DataFrame:
     """``docs`` with the repeated words cut out of ``text`` and a struct ``repeats``: n_words (before),
-    n_removed and kept_sha256 (of the kept words joined by one space)."""
-    own = [c for c in docs.columns if c != "repeats"]
-    docs = keyed(docs.select(*own))
+    n_removed and kept_sha256 (of the kept words joined by one space), which replaces a column of that name."""
+    given, reads = docs, ("doc_id", "text")
+    docs = keyed(packed(docs, *reads))
+    own = [*reads, EXTRAS]
     spans = repeated_spans(docs, width)
     lists = written(spans.groupBy("__id", "__key").agg(F.collect_set(F.struct("start", "stop")).alias("spans")), "repeats-lists")
     both = marked(docs, bitmap(lists, "__id"), "__id")
     plain = both.where("not __hit").select(*own, F.lit(None).cast(lists.schema["spans"].dataType).alias("spans"))
     joined = both.where("__hit").join(lists, ["__id", "__key"], "left").select(*own, "spans")
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*own).schema)
-    schema = f"{kinds}, repeats struct<n_words:bigint,n_removed:bigint,kept_sha256:string>"
-    return plain.mapInArrow(_cut, schema).unionByName(joined.mapInArrow(_cut, schema))
+    schema = schema_with(docs.select(*own), "repeats", REPEATS)
+    rows = plain.mapInArrow(_cut, schema).unionByName(joined.mapInArrow(_cut, schema))
+    return rows.select(*unpacked(rows, given, *reads, leave=("repeats",)), "repeats")
 
 
 def query(spark, sf_dir: str) -> DataFrame:

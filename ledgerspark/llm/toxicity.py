@@ -32,9 +32,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerspark.llm.blocks import Block, Rolling, U, blocks
-from ledgerspark.llm.common import bounded_sample, held_out, ship, training_labels
+from ledgerspark.llm.common import bounded_sample, held_out, packed, schema_with, ship, training_labels, unpacked
 
 PREFIX = 8
 MAX_POSITIVE, MAX_UNLABELLED, MAX_FEATURES = 4000, 12000, 2000
@@ -172,6 +173,9 @@ def fit(docs: DataFrame, labels: DataFrame, target: str = "toxic") -> Model | No
     return train(toxic + clean, np.arange(len(toxic) + len(clean)) < len(toxic), min(max(float(prior), 1e-4), 0.9))
 
 
+SCORE = "__score"
+
+
 def _score(model: Model):
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in blocks(batches):
@@ -180,20 +184,30 @@ def _score(model: Model):
             at = _place(model.hashes, f)
             text, at = _distinct(text[at >= 0], at[at >= 0])
             z = model.intercept + np.bincount(text, weights=model.weights[at], minlength=len(rows))
-            names = [c for c in rows.schema.names if c != "__score"]
-            cols = [rows.column(rows.schema.get_field_index(c)) for c in names]
-            yield pa.RecordBatch.from_arrays([*cols, pa.array(1 / (1 + np.exp(-np.clip(z, -700, 700))))], names=[*names, "__score"])
+            yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(1 / (1 + np.exp(-np.clip(z, -700, 700))))], names=[*rows.schema.names, SCORE])
 
     return score
 
 
-def score(docs: DataFrame, model: Model | None) -> DataFrame:
-    """``docs`` plus ``__score`` (0 to 1). One pass, no shuffle."""
+def _scored(docs: DataFrame, model: Model | None) -> DataFrame:
+    """text, the other columns packed, and the score. One pass, no shuffle."""
+    rows = packed(docs, "text")
     if model is None:
-        return docs.withColumn("__score", F.lit(0.0))
+        return rows.withColumn(SCORE, F.lit(0.0))
     ship(docs.sparkSession)
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return docs.mapInArrow(_score(model), f"{kinds}, __score double")
+    return rows.mapInArrow(_score(model), schema_with(rows, SCORE, T.DoubleType()))
+
+
+def score(docs: DataFrame, model: Model | None) -> DataFrame:
+    """``docs`` plus ``__score`` (0 to 1), which replaces a column of that name."""
+    rows = _scored(docs, model)
+    return rows.select(*unpacked(rows, docs, "text", leave=(SCORE,)), SCORE)
+
+
+def below(docs: DataFrame, model: Model | None, limit: float) -> DataFrame:
+    """The rows of ``docs`` that score less than ``limit``, all columns kept."""
+    rows = _scored(docs, model).where(F.col(SCORE) < limit)
+    return rows.select(*unpacked(rows, docs, "text"))
 
 
 def query(spark, sf_dir: str) -> DataFrame:

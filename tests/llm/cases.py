@@ -8,7 +8,9 @@ from pyspark.sql import types as T
 
 WORD = re.compile(r"[^\x20\x09-\x0d]+")
 #: Extra columns whose names the operators use themselves.
-EXTRA = ["size", "kept", "n_words", "component_id", "ids", "repeats", "target", "held_out", "score"]
+EXTRA = ["size", "kept", "n_words", "component_id", "ids", "repeats", "target", "held_out", "score",
+         "__score", "spans", "__id", "__key", "__hit", "__h", "__w", "__bits", "__kept", "__place", "__times", "__round", "__d", "__k", "__n", "__s",
+         "__e", "__node", "__shared", "__least", "__extras", "slice", "h", "copy", "taken", "served", "finish", "anchor", "band", "hub", "part", "row"]
 DOCS = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType()), T.StructField("lang", T.StringType()),
                      T.StructField("source", T.StringType()), T.StructField("n_chars", T.LongType()),
                      *[T.StructField(c, T.StringType()) for c in EXTRA]])
@@ -98,6 +100,18 @@ def shingle_set(text, size):
     return {tuple(w[i:i + size]) for i in range(len(w) - size + 1)} if len(w) >= size else {tuple(w)}
 
 
+def kept_ids(rows, size, percent=80):
+    """Ids of the documents that ``one_of_each`` keeps; a document is an id with its text."""
+    texts, apart = {}, []
+    for i, text, *rest in rows:
+        if i is not None:
+            own = texts.setdefault(i, [])
+            if text not in own:
+                own.append(text)
+                apart.append((i + 10**6 * (len(own) - 1), text, *rest))
+    return [i % 10**6 for i, _, _, kept in near_groups(apart, size, percent) if kept]
+
+
 def near_groups(rows, size, percent=80):
     """op4 by brute force: {doc_id: (n_shingles set, component, kept)} for rows with ids."""
     some = [(r[0], shingle_set(r[1], size)) for r in rows if r[0] is not None]
