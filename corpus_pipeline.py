@@ -28,13 +28,9 @@ from ledgerspark.llm.common import written
 REJECT_FROM = 0.3
 
 
-def _own(docs: DataFrame, rows: DataFrame) -> DataFrame:
-    return rows.select(*[F.col(f"`{c}`") for c in docs.columns])
-
-
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return _own(docs, toxicity.score(docs, model).where(F.col("__score") < REJECT_FROM))
+    return toxicity.below(docs, model, REJECT_FROM)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,10 +38,12 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    rows = substring_dedup.remove_repeats(docs)
-    if "n_chars" in docs.columns:
-        rows = rows.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
-    return _own(docs, rows)
+    plain = docs.drop("repeats")
+    rows = substring_dedup.remove_repeats(plain)
+    columns = [rows[f"`{c}`"] for c in plain.columns]
+    if "n_chars" in plain.columns:
+        columns[plain.columns.index("n_chars")] = F.char_length(rows["text"]).cast(plain.schema["n_chars"].dataType).alias("n_chars")
+    return rows.select(*columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
