@@ -163,20 +163,33 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([*cols, out], names=[*names, "repeats"])
 
 
+READS = ("doc_id", "text")
+
+
 def remove_repeats(docs: DataFrame, width: int = 50) -> DataFrame:
     """``docs`` with the repeated words cut out of ``text`` and a struct ``repeats``: n_words (before),
     n_removed and kept_sha256 (of the kept words joined by one space), which replaces a column of that name."""
-    given, reads = docs, ("doc_id", "text")
-    docs = keyed(packed(docs, *reads))
-    own = [*reads, EXTRAS]
+    rows = _cut_rows(docs, width)
+    return rows.select(*unpacked(rows, docs, *READS, leave=("repeats",)), "repeats")
+
+
+def without_repeats(docs: DataFrame, width: int = 50) -> DataFrame:
+    """``docs`` with the repeated words cut out of ``text``; all columns are kept, and there are no others."""
+    rows = _cut_rows(docs, width)
+    return rows.select(*unpacked(rows, docs, *READS))
+
+
+def _cut_rows(docs: DataFrame, width: int) -> DataFrame:
+    """doc_id, cut text, the other columns packed, and ``repeats``."""
+    docs = keyed(packed(docs, *READS))
+    own = [*READS, EXTRAS]
     spans = repeated_spans(docs, width)
     lists = written(spans.groupBy("__id", "__key").agg(F.collect_set(F.struct("start", "stop")).alias("spans")), "repeats-lists")
     both = marked(docs, bitmap(lists, "__id"), "__id")
     plain = both.where("not __hit").select(*own, F.lit(None).cast(lists.schema["spans"].dataType).alias("spans"))
     joined = both.where("__hit").join(lists, ["__id", "__key"], "left").select(*own, "spans")
     schema = schema_with(docs.select(*own), "repeats", REPEATS)
-    rows = plain.mapInArrow(_cut, schema).unionByName(joined.mapInArrow(_cut, schema))
-    return rows.select(*unpacked(rows, given, *reads, leave=("repeats",)), "repeats")
+    return plain.mapInArrow(_cut, schema).unionByName(joined.mapInArrow(_cut, schema))
 
 
 def query(spark, sf_dir: str) -> DataFrame:
