@@ -38,12 +38,10 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    plain = docs.drop("repeats")
-    rows = substring_dedup.remove_repeats(plain)
-    columns = [rows[f"`{c}`"] for c in plain.columns]
-    if "n_chars" in plain.columns:
-        columns[plain.columns.index("n_chars")] = F.char_length(rows["text"]).cast(plain.schema["n_chars"].dataType).alias("n_chars")
-    return rows.select(*columns)
+    rows = substring_dedup.without_repeats(docs)
+    if "n_chars" in docs.columns:
+        rows = rows.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
+    return rows
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
