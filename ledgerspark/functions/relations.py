@@ -244,10 +244,11 @@ def parse_list(text: Column, strict: bool = False, element: str = "string") -> C
 
 
 def _python_words(s: Column) -> Column:
-    """Python's keywords as list elements -> JSON's."""
+    """Python's keywords as list elements -> JSON's; a text without any is not searched for their places."""
+    out = s
     for word, json in (("None", "null"), ("True", "true"), ("False", "false")):
-        s = F.regexp_replace(s, rf"(?<=[\[,]\s{{0,4}}){word}(?=\s*[,\]])", json)
-    return s
+        out = F.regexp_replace(out, rf"(?<=[\[,]\s{{0,4}}){word}(?=\s*[,\]])", json)
+    return F.when(s.contains("None") | s.contains("True") | s.contains("False"), out).otherwise(s)
 
 
 def tag_ids(col, dtype: T.DataType = T.StringType()) -> Column:

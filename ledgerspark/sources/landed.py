@@ -26,16 +26,53 @@ def loose_schema(schema: T.StructType) -> T.StructType:
                                        else f.dataType) for f in schema.fields])
 
 
+#: Rows of a row group from which on it is worth an exchange to share them out.
+SPREAD_ROWS = 10_000
+
+
+def _row_groups(spark: SparkSession, files: Sequence[str]) -> list[int]:
+    """Rows of every row group of some Parquet files, from their footers."""
+    conf = spark._jsc.hadoopConfiguration()
+    hadoop, parquet = spark._jvm.org.apache.hadoop.fs, spark._jvm.org.apache.parquet.hadoop
+    found = []
+    for file in files:
+        reader = parquet.ParquetFileReader.open(
+            parquet.util.HadoopInputFile.fromPath(hadoop.Path(spark._jvm.java.net.URI(file)), conf))
+        try:
+            found += [b.getRowCount() for b in reader.getRowGroups()]
+        finally:
+            reader.close()
+    return found
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """A Parquet scan whose rows every core gets a share of.
+
+    A row group is read by one task. Where a table has fewer of them than the session
+    has cores (footers of as many files are read at most), the rows that the query's
+    pushed filters and projection leave are dealt out by one exchange, so the parsing
+    behind it runs on all cores. Larger tables are read as they are, without an exchange.
+    """
+    spark = df.sparkSession
+    cores, files = spark.sparkContext.defaultParallelism, df.inputFiles()
+    if len(files) >= cores:
+        return df
+    groups = _row_groups(spark, files)
+    return df.repartition(cores) if len(groups) < cores and max(groups, default=0) >= SPREAD_ROWS else df
+
+
 def read_landed(spark: SparkSession, path: str, schema: T.StructType,
                 fmt: str = "parquet") -> DataFrame:
     """Read a landed table: parquet with its declared schema, JSON lines loosely typed (``loose_schema``).
 
     In JSON, unknown fields are ignored; a malformed line fails the job instead
-    of silently turning into "no data" (the reference returned []).
+    of silently turning into "no data" (the reference returned []). A parquet table of
+    few row groups is dealt to all cores (``spread``).
     """
     if fmt == "json":
         return spark.read.schema(loose_schema(schema)).option("mode", "FAILFAST").json(path)
-    return spark.read.schema(schema).format(fmt).load(path)
+    df = spark.read.schema(schema).format(fmt).load(path)
+    return spread(df) if fmt == "parquet" else df
 
 
 def fetch(df: DataFrame, fields: Sequence[str] | None = None,

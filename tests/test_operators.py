@@ -83,3 +83,26 @@ def test_frequency_and_top_n(spark):
     df = spark.createDataFrame([(i, i % 3) for i in range(10)], "id long, g long")
     assert [tuple(r) for r in frequency(df, F.col("g"), "g").collect()] == [(0, 4), (1, 3), (2, 3)]
     assert [r.id for r in top_n(df, 3, [F.col("id").desc()]).collect()] == [9, 8, 7]
+
+
+def test_few_row_groups_are_dealt_to_all_cores(spark, tmp_path):
+    from ledgerspark.sources.landed import SPREAD_ROWS, spread
+
+    def plan(df):
+        return df._jdf.queryExecution().executedPlan().toString()
+
+    def read(name, files, rows):
+        path = str(tmp_path / name)
+        spark.range(0, rows, 1, files).selectExpr("id", "id % 7 AS k", "'x' AS other").write.parquet(path)
+        return spark.read.parquet(path)
+
+    cores = spark.sparkContext.defaultParallelism
+    one = read("one", 1, SPREAD_ROWS)
+    dealt = spread(one)
+    assert dealt.rdd.getNumPartitions() == cores
+    assert sorted(map(tuple, dealt.collect())) == sorted(map(tuple, one.collect()))
+    asked = plan(dealt.where("k = 3").select("id"))
+    assert "Exchange RoundRobin" in asked and "EqualTo(k,3)" in asked and "ReadSchema: struct<id:bigint,k:bigint>" in asked
+    assert "Exchange" not in plan(spread(read("small", 1, SPREAD_ROWS - 1)))
+    assert "Exchange" not in plan(spread(read("files", cores, SPREAD_ROWS * cores)))
+    assert spread(spark.read.schema("id long").parquet(str(tmp_path / "one")).limit(0)).count() == 0
