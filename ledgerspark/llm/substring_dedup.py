@@ -1,18 +1,23 @@
 """Operator 9: repeated passages by level-wise doubling.
 
 A window of ``width`` words that also starts in a document with a smaller id is
-removed. Levels: windows of half the width are looked for first; only those that
-repeat in another document are extended to twice that length, and what repeats
-there is removed. Nothing longer has to be looked at, because a longer repeat is
-covered by repeats of ``width``.
+removed. Levels have lengths START, 2 * START, 4 * START and so on below ``width``, and
+``width`` itself. Windows that repeat in another document at one length alone are
+extended to twice that length (at last to ``width``, under three times it), until no
+candidate survives.
+Nothing longer has to be looked at, because a longer repeat is covered by repeats of
+``width``.
 
 At the first level every window of ``width`` is represented by its anchor, the
-half-width window in it with the least hash: equal windows have equal anchors, so
-an anchor that does not repeat rules out all windows it stands for, and some two
-anchors are shuffled for every 27 words. At the second level the windows of a
-surviving anchor are compared run by run: an equal run (128-bit hash of its
-words) is settled at once, and only runs that differ under one anchor are opened
-into single windows.
+window of the first length in it with the least hash, so some two anchors are shuffled
+for every ``width - START`` words; neighbouring windows with one anchor are a run. Equal
+windows have equal anchors at equal places, so an anchor that does not repeat rules out all
+windows it stands for. An anchor is doubled to the right where that stays inside its
+window and to the left otherwise: what it is doubled to lies at the same place in equal
+windows as well, and rules them out if it does not repeat. A run is split where the
+direction changes. At the last level the windows of a surviving anchor are compared run
+by run: an equal run (128-bit hash of its words) is settled at once, and only runs that
+differ under one anchor are opened into single windows.
 
 Scale: counting is map-side aggregation, so a passage in a third of all documents
 costs a task no more than its share of documents; joins with the survivors have
@@ -42,7 +47,17 @@ from ledgerspark.llm.blocks import Block, Rolling, U, blocks, mix, runs
 from ledgerspark.llm.common import EXTRAS, bitmap, keyed, marked, packed, schema_with, unpacked, written
 
 REPEATS = T.StructType([T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()), T.StructField("kept_sha256", T.StringType())])
-RUN = "__id long, __key long, anchor long, d1 long, d2 long, first int, n int"
+#: Words of the first level (a quarter of ``width`` where that is less).
+START = 13
+
+
+def levels(width: int) -> list[int]:
+    """Lengths of the levels below ``width``, each twice the one before, as long as a block anywhere in a window of
+    ``width`` can be doubled inside it to one side at least."""
+    out = [min(START, -(-width // 4))]
+    while 2 * out[-1] < width and 3 * out[-1] - 1 <= width:
+        out.append(2 * out[-1])
+    return out
 
 
 def _hashes(b: Block) -> tuple[Rolling, Rolling, np.ndarray]:
@@ -51,31 +66,71 @@ def _hashes(b: Block) -> tuple[Rolling, Rolling, np.ndarray]:
     return Rolling(b.word_hashes(start, end, 0), 0), Rolling(b.word_hashes(start, end, 1), 1), offsets
 
 
+def _doubled(first: np.ndarray, n: np.ndarray, at: np.ndarray, length: int, width: int):
+    """Runs of windows around blocks of ``length`` at ``at``, split by the side to which the block is doubled.
+
+    Returns (run it was, first window, number of windows, where the doubled block begins, to the right?).
+    """
+    turn = at - (width - 2 * length)  # from here on the block doubled to the right ends inside the window
+    k = np.arange(len(first))
+    left = np.clip(turn - first, 0, n)  # the windows before are doubled to the left
+    old = np.concatenate([k, k])
+    some = np.concatenate([left, n - left])
+    right = np.repeat([False, True], len(k))
+    begin = np.where(right, first[old] + left[old], first[old])
+    place = np.where(right, at[old], at[old] - length)
+    has = some > 0
+    return old[has], begin[has], some[has], place[has], right[has]
+
+
 def _find_runs(width: int):
-    part = width // 2
+    lengths = levels(width)
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in blocks(batches):
             one, two, offsets = _hashes(b)
-            length = int(offsets[-1])
-            values = one.windows(part)
-            first, n, anchor = runs(length, offsets, values, width, part)
+            values = one.windows(lengths[0])
+            first, n, anchor = runs(int(offsets[-1]), offsets, values, width, lengths[0])
             if not len(first):
                 continue
+            keys, at = [values[anchor]], anchor
+            for length in lengths[:-1]:
+                old, first, n, at, right = _doubled(first, n, at, length, width)
+                keys = [k[old] for k in keys]
+                keys.append(mix(one.ranges(at, at + 2 * length) + right.astype(U)))
+                anchor = anchor[old]
             end, lead = first + n - 1 + width, (anchor - first).astype(U)
             doc = np.searchsorted(offsets, first, side="right") - 1
-            at = first - offsets[doc]
-            ids, keys = (b.rows.column(c).to_numpy() for c in ("__id", "__key"))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(x) for x in (ids[doc], keys[doc], values[anchor].view(np.int64),
-                                       mix(one.ranges(first, end) + lead).view(np.int64),
-                                       mix(two.ranges(first, end) + lead).view(np.int64),
-                                       at.astype(np.int32), n.astype(np.int32))],
-                names=["__id", "__key", "anchor", "d1", "d2", "first", "n"])
+            ids, texts = (b.rows.column(c).to_numpy() for c in ("__id", "__key"))
+            cols = [ids[doc], texts[doc], *(k.view(np.int64) for k in keys), mix(one.ranges(first, end) + lead).view(np.int64),
+                    mix(two.ranges(first, end) + lead).view(np.int64), (first - offsets[doc]).astype(np.int32), n.astype(np.int32)]
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in cols], names=_run_names(width))
 
     return find
 
 
+def _run_names(width: int) -> list[str]:
+    return ["__id", "__key", *(f"a{length}" for length in levels(width)), "d1", "d2", "first", "n"]
+
+
+def _run_schema(width: int) -> str:
+    return ", ".join(f"{c} {'int' if c in ('first', 'n') else 'long'}" for c in _run_names(width))
+
+
+def _candidates(texts: DataFrame, width: int) -> DataFrame:
+    """Runs whose anchors repeat in another document at every level, with the last level's ``anchor``."""
+    cand = texts.mapInArrow(_find_runs(width), _run_schema(width))
+    for length in levels(width):
+        key = f"a{length}"
+        found = cand.groupBy(key).agg(F.min("__id").alias("low"), F.max("__id").alias("high"))
+        alive = written(found.where("low < high").select(key), f"repeats-alive-{length}")
+        near = marked(cand, bitmap(alive, key), key).where("__hit").drop("__hit")
+        cand = written(near.join(alive, key), f"repeats-runs-{length}")
+        if cand.isEmpty():
+            break
+    return cand.withColumnRenamed(f"a{levels(width)[-1]}", "anchor")
+
+
 def _open_runs(width: int):
     """Single windows of listed runs: (__id, __key, w1, w2, first)."""
 
@@ -101,11 +156,7 @@ def repeated_spans(docs: DataFrame, width: int = 50) -> DataFrame:
     ``docs`` needs __id, __key and text (see ``keyed``). The table is in the shared folder.
     """
     texts = docs.select("__id", "__key", "text")
-    found = texts.mapInArrow(_find_runs(width), RUN)
-    anchors = found.groupBy("anchor").agg(F.min("__id").alias("low"), F.max("__id").alias("high"))
-    alive = written(anchors.where("low < high").select("anchor"), "repeats-anchors")
-    near = marked(found, bitmap(alive, "anchor"), "anchor").where("__hit").drop("__hit")
-    cand = written(near.join(alive, "anchor"), "repeats-runs")
+    cand = _candidates(texts, width)
 
     same = ["anchor", "d1", "d2"]
     kinds = written(cand.groupBy(*same).agg(F.min("__id").alias("least")), "repeats-kinds")

@@ -11,7 +11,7 @@ from tests.llm import cases
 ROWS = cases.corpus()
 
 
-@pytest.mark.parametrize("width", [50, 7])
+@pytest.mark.parametrize("width", [50, 7, 1, 60])
 def test_repeated_words(spark, width):
     docs = cases.frame(spark, ROWS)
     out = substring_dedup.remove_repeats(docs, width)

@@ -4,10 +4,12 @@ import random
 
 import numpy as np
 import pyarrow as pa
+import pytest
 
 from ledgerspark.llm import quality_model, sentencepiece_model, suffix_dedup
 from ledgerspark.llm.blocks import Block, Rolling, U, blocks, runs, sliding_min
 from ledgerspark.llm.minhash import shingles, superminhash
+from ledgerspark.llm.substring_dedup import _doubled, levels
 from tests.llm.cases import shingle_set, words
 
 
@@ -56,6 +58,26 @@ def test_equal_windows_share_anchors():
                 assert at[i] - i == at[j] - j
 
 
+@pytest.mark.parametrize("width", [7, 9, 50, 60, 110])
+def test_doubled_blocks_lie_alike_in_equal_windows(width):
+    """At every level each window has one block, inside it, that holds the block of the level before."""
+    rng = np.random.default_rng(width)
+    text = rng.integers(0, 9, 400)
+    x = np.concatenate([text, text, rng.integers(0, 9, 100)]).astype(U)
+    offsets = np.array([0, 400, 800, 900])
+    lengths = levels(width)
+    first, n, at = runs(900, offsets, Rolling(x).windows(lengths[0]), width, lengths[0])
+    before = {s + k: a for s, m, a in zip(first, n, at) for k in range(m)}
+    for length in lengths[:-1]:
+        _, first, n, at, _ = _doubled(first, n, at, length, width)
+        place = {s + k: a for s, m, a in zip(first, n, at) for k in range(m)}
+        assert sorted(place) == sorted(before) and sum(n) == len(place)
+        assert all(w <= a <= before[w] and before[w] + length <= a + 2 * length <= w + width for w, a in place.items())
+        assert all(place[w + 400] == a + 400 for w, a in place.items() if w < 400)
+        before = place
+    assert lengths[-1] * 3 > width
+
+
 def test_suffix_array_and_common_prefixes():
     rng = random.Random(5)
     for trial in range(6):
