@@ -19,7 +19,7 @@ are shuffled once. A shard is streamed, never held.
 
 Defined cases: null html is an empty payload; null urls are written as an empty
 target; a null page id sorts first, is written without id and never is the response
-of an id; rows that share page id and payload are all written alike; an empty table
+of an id (such rows are dealt to shards of their own by payload); rows that share page id and payload are all written alike; an empty table
 gives a manifest without rows. Other columns are not read.
 """
 
@@ -34,12 +34,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerspark.llm.common import new_path, ship, written
-from ledgerspark.llm.sharding import one_per_task, shard_bounds
+from ledgerspark.llm.sharding import MAX_TASKS, one_per_task, shard_bounds, step_of
 
 NO_PAGE = -(2**63)
 MANIFEST = "shard int, part int, file string, records long, bytes long, first_page long, last_page long, sha256 string"
@@ -132,8 +133,8 @@ def _write(folder: str, file_bytes: int, level: int, date: str):
             for shard, page, kind, refers, digest, url, html in zip(*(get(c).to_pylist() for c in (
                     "shard", "page", "kind", "refers_to", "digest", "url", "html"))):
                 if kind == 0:  # a decision stands before the pages of its id
-                    if decided is None or decided[0] != page:
-                        decided = (page, {})
+                    if decided is None or decided[0] != (shard, page):
+                        decided = ((shard, page), {})
                     decided[1][digest] = refers
                     continue
                 if files is None or files.shard != shard:
@@ -141,7 +142,7 @@ def _write(folder: str, file_bytes: int, level: int, date: str):
                     files = _Files(folder, shard)
                 payload = (html or "").encode("utf-8")
                 refers = None
-                if decided and decided[0] == page:
+                if decided and decided[0] == (shard, page):
                     refers = decided[1].get(hashlib.sha1(payload).hexdigest())
                 own = None if page == NO_PAGE else page
                 files.add(_member(record(own, url, payload, refers, refers is not None, date), level), own)
@@ -152,12 +153,14 @@ def _write(folder: str, file_bytes: int, level: int, date: str):
     return write
 
 
-def _to_shard(bounds: np.ndarray):
+def _to_shard(bounds: np.ndarray, unnamed: int):
+    """Shards by page id, after the ``unnamed`` ones of rows without id."""
+
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            page = b.column(b.schema.get_field_index("page")).to_numpy()
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(np.searchsorted(bounds, page, side="right").astype(np.int32))],
-                                             names=[*b.schema.names, "shard"])
+            page, hashed = (b.column(b.schema.get_field_index(c)) for c in ("page", "hashed"))
+            by_id = pa.array((unnamed + np.searchsorted(bounds, page.to_numpy(), side="right")).astype(np.int32))
+            yield pa.RecordBatch.from_arrays([*b.columns, pc.coalesce(hashed, by_id)], names=[*b.schema.names, "shard"])
 
     return deal
 
@@ -176,13 +179,19 @@ def write_archives(pages: DataFrame, folder: str, least_bytes: int = 0, shard_by
     latest = light.where(F.col("n") >= least_bytes).groupBy("digest").agg(F.max("page").alias("last"), F.min("page").alias("first"))
     latest = written(latest.where("first < last").select("digest", "last"), "warc-latest")
     revisits = light.join(latest, "digest").where("page < last").select("page", "digest", F.col("last").alias("refers_to")).distinct()
-    bounds = shard_bounds(light.where(F.col("page") != NO_PAGE).withColumn("n", F.col("n") + 512), "page", "n", shard_bytes)
+    light = light.withColumn("n", F.col("n") + 512)
+    bounds = shard_bounds(light.where(F.col("page") != NO_PAGE), "page", "n", shard_bytes)
+    size = light.where(F.col("page") == NO_PAGE).agg(F.sum("n")).first()[0] or 0
+    unnamed = -(-int(size) // step_of(int(size), shard_bytes))
     no = lambda kind: F.lit(None).cast(kind)
     decisions = revisits.select("page", F.lit(0).alias("kind"), "refers_to", "digest", no("string").alias("url"), no("string").alias("html"))
     rows = pages.select(page, F.lit(1).alias("kind"), no("long").alias("refers_to"), no("string").alias("digest"), "url", "html")
-    schema = "page long, kind int, refers_to long, digest string, url string, html string, shard int"
-    both = decisions.unionByName(rows).mapInArrow(_to_shard(bounds), schema)
-    dealt = one_per_task(both, len(bounds) + 1, "shard").sortWithinPartitions("shard", "page", "kind", "digest", "url", "html")
+    # rows without id are dealt by payload, so that they meet their decisions
+    payload = F.xxhash64(F.coalesce("digest", F.sha1(F.coalesce("html", F.lit("")))))
+    hashed = F.when(F.col("page") == NO_PAGE, F.pmod(payload, F.lit(max(1, unnamed))).cast("int")).alias("hashed")
+    schema = "page long, kind int, refers_to long, digest string, url string, html string, hashed int, shard int"
+    both = decisions.unionByName(rows).select("*", hashed).mapInArrow(_to_shard(bounds, unnamed), schema)
+    dealt = one_per_task(both, unnamed + len(bounds) + 1, "shard").sortWithinPartitions("shard", "page", "kind", "digest", "url", "html")
     manifest = dealt.mapInArrow(_write(folder, file_bytes, level, date), MANIFEST)
     manifest.write.parquet(f"{folder}/_manifest")
     return spark.read.schema(MANIFEST).parquet(f"{folder}/_manifest")
@@ -246,9 +255,9 @@ def _read(folder: str, payloads: bool):
 
 
 def read_archives(manifest: DataFrame, folder: str, payloads: bool = True) -> DataFrame:
-    """The records of the files that the manifest lists, every digest checked. A file is a task's unit."""
+    """The records of the files that the manifest lists, every digest checked. A file is read by one task, and there are at most MAX_TASKS tasks."""
     ship(manifest.sparkSession)
-    n = max(1, manifest.count())
+    n = min(max(1, manifest.count()), MAX_TASKS)
     return manifest.select("file").repartition(n, "file").mapInArrow(_read(folder, payloads), RECORD)
 
 

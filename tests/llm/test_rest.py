@@ -17,7 +17,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from ledgerspark.llm import imatch, mixing, quality_model, quality_rules, queries, tokenise, toxicity, warc
+from ledgerspark.llm import common, imatch, mixing, quality_model, quality_rules, queries, sharding, tokenise, toxicity, warc
 from ledgerspark.llm.common import held_out, scratch
 from tests.llm import cases
 
@@ -347,6 +347,38 @@ def test_warc_round_trip(spark, tmp_path):
     assert kinds == {"response": len(rows)}  # equal payloads are all shorter here
 
 
+def test_pages_without_id_have_shards_of_their_own(spark, tmp_path):
+    rows = [(None, f"u{i}", f"<p>{i % 50}</p>" * 40) for i in range(200)] + [(7, "u", "<p>3</p>" * 40), (2**62, "u", "<p>far</p>")]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    folder = f"file://{tmp_path}/n"
+    manifest = warc.write_archives(df, folder, shard_bytes=10000)
+    got = warc.read_archives(manifest, folder).collect()
+    expected = [(i, "revisit" if i is None and h == rows[200][2] else "response", 7 if i is None and h == rows[200][2] else None, u) for i, u, h in rows]
+    assert Counter((r.page_id, r.record_type, r.refers_to, r.url) for r in got) == Counter(expected)
+    unnamed = [r.shard for r in manifest.collect() if r.first_page is None]
+    assert len(set(unnamed)) > 5 and max(unnamed) < min(r.shard for r in manifest.collect() if r.first_page is not None)
+
+
+@pytest.mark.parametrize("ids", [
+    [*range(3000), 2**63 - 2], [-2**63 + 1, *range(3000)], [2**k for k in range(62)] * 40, [5] * 2000 + [*range(6, 1000)], [9]])
+def test_shards_are_even_whatever_the_ids(spark, ids, tmp_path):
+    """Under two steps a shard, or a single id; the same cuts for every layout."""
+    df = spark.createDataFrame([(i, 10) for i in ids], "id long, n long")
+    cuts = [sharding.shard_bounds(common.written(x, "cuts"), "id", "n", 500) for x in (df.repartition(7), df.coalesce(1))]
+    assert cuts[0].tolist() == cuts[1].tolist() == sorted(set(cuts[0].tolist()))
+    per = {}
+    for i in ids:
+        per.setdefault(int(np.searchsorted(cuts[0], i, side="right")), []).append(i)
+    assert set(per) == set(range(len(cuts[0]) + 1))
+    assert all(10 * len(x) < 1000 + 10 * max(Counter(x).values()) for x in per.values())
+    assert sharding.shard_bounds(df.where("false"), "id", "n", 500).tolist() == []
+
+
+def test_most_shards(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "MAX_TASKS", 4)
+    assert len(sharding.shard_bounds(spark.range(1000).select("id", F.lit(10).alias("n")), "id", "n", 50)) == 3
+
+
 def test_warc_empty(spark, tmp_path):
     _, df = pages(spark)
     manifest = warc.write_archives(df.where("false"), f"file://{tmp_path}/e")
