@@ -22,6 +22,7 @@ QUERIES = {
 }
 ORACLE_SQL = {
     "op2_mix_sources": mixing.SQL,
+    "op3_suffix_dedup": suffix_dedup.SQL,
     "op4_near_dedup": near_dedup.SQL,
     "op7_warc": warc.SQL,
     "op9_substring_dedup": substring_dedup.SQL,

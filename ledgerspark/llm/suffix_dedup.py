@@ -18,10 +18,13 @@ once. A window repeats when a neighbour shares ``width`` bytes with it or its
 segment has copies.
 
 Across shards: an anchor with more than ``SHARD_SEGMENTS`` different segments is
-split over several shards. These hand on digests of their different windows as
-sorted runs, cut at fixed digests into ranges (more ranges for more shards, so a
-range of an anchor stays of one size); the runs of a range are looked up in each
-other by binary search, so what two shards share is found wherever it stands.
+split over several shards. Each hands on its suffix array: its different windows in
+byte order, as places with their ``LEAD`` leading bytes and a 128-bit rolling hash
+of all ``width`` bytes for what ties beyond them. The arrays are dealt by hash into
+ranges (more ranges for more shards, so a range of an anchor stays of one size). In
+a range the windows of one shard's array are looked up in another's by binary
+search, byte by byte; the two arrays then become one, pair by pair, so what two
+shards share is found wherever it stands.
 
 Scale: a shard takes about a megabyte of segments at a time; only segments under
 anchors with different segments are ever sorted. Texts are shuffled only where a
@@ -51,6 +54,9 @@ PART = 128
 #: Different segments of one anchor in a shard; more are split. Bytes that a shard sorts at a time.
 SHARD_SEGMENTS = 2000
 SHARD_BYTES = 1 << 20
+#: Leading bytes of a window in the suffix arrays that shards hand on, and the bytes of one entry with its hash.
+LEAD = 16
+ENTRY = LEAD + 16
 SEGMENT = "__id long, __key long, anchor long, d1 long, d2 long, first int, n int"
 
 
@@ -176,9 +182,9 @@ def _extract(width: int):
     return extract
 
 
-#: Spans of repeated windows (part -1), or a run of window digests: windows of one anchor in one range of digests.
+#: Spans of repeated windows (part -1), or a shard's suffix array in one range of an anchor: entries end to end, no stops.
 SHARD_OUT = ("anchor long, part int, ids array<long>, keys array<long>, starts array<int>, stops array<int>, "
-             "w1 array<long>, w2 array<long>, single array<boolean>")
+             "suffixes binary, single array<boolean>")
 RANGES_PER_SHARD = 16
 
 
@@ -214,7 +220,7 @@ def repeated_windows(texts: list[bytes], width: int) -> tuple[np.ndarray, np.nda
 
 
 def _shards(width: int):
-    """Sorted segments of shards to spans of repeated windows, and runs of window digests of split anchors."""
+    """Sorted segments of shards to spans of repeated windows, and suffix arrays of split anchors."""
     names = [c.split()[0] for c in SHARD_OUT.split(", ")]
 
     def solve(rows: list[dict]) -> Iterator[pa.RecordBatch]:
@@ -230,21 +236,21 @@ def _shards(width: int):
             at = np.array([0, len(a)])
             yield pa.RecordBatch.from_arrays(
                 [pa.array([0], pa.int64()), pa.array([-1], pa.int32()), *_lists(at, ids[a], keys[a], start[a], start[z] + np.int32(width)),
-                 *_lists(np.zeros(2), none, none, none.astype(bool))], names=names)
+                 pa.array([None], pa.binary()), *_lists(np.zeros(2), none.astype(bool))], names=names)
         hand = np.flatnonzero((shards > 1) & leads)
         if len(hand):
-            d = np.frombuffer(b"".join([hashlib.blake2b(rows[t]["bytes"][p:p + width], digest_size=16).digest()
-                                        for t, p in zip(text[hand].tolist(), place[hand].tolist())]), U)
-            w1, w2 = d[::2], d[1::2]
-            part = ((w1 >> U(32)) * (shards[hand] * U(RANGES_PER_SHARD)) >> U(32)).astype(np.int32)
-            by = np.lexsort((w2, w1, part, anchors[hand]))
-            hand, w1, w2, part = hand[by], w1[by], w2[by], part[by]
+            entries, spread = _entries([r["bytes"] for r in rows], text[hand], place[hand], width)
+            part = ((spread >> U(32)) * (shards[hand] * U(RANGES_PER_SHARD)) >> U(32)).astype(np.int32)
             anchor = anchors[hand]
+            by = np.lexsort((*entries.T[::-1], part, anchor))
+            hand, part, anchor, entries = hand[by], part[by], anchor[by], entries[by].astype(">u8").tobytes()
             new = np.flatnonzero(np.concatenate(([True], (part[1:] != part[:-1]) | (anchor[1:] != anchor[:-1]))))
+            cuts = np.append(new, len(hand))
+            arrays = [entries[a * ENTRY:z * ENTRY] for a, z in zip(cuts[:-1].tolist(), cuts[1:].tolist())]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(anchor[new]), pa.array(part[new]), *_lists(
-                    np.append(new, len(hand)), ids[hand], keys[hand], start[hand], start[hand] + np.int32(width),
-                    w1.view(np.int64), w2.view(np.int64), single[hand] & ~repeats[hand])], names=names)
+                [pa.array(anchor[new]), pa.array(part[new]), *_lists(cuts, ids[hand], keys[hand], start[hand]),
+                 *_lists(np.zeros(len(cuts)), np.zeros(0, np.int32)), pa.array(arrays, pa.binary()),
+                 *_lists(cuts, single[hand] & ~repeats[hand])], names=names)
 
     def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         todo: list[dict] = []  # whole shards of anchors, about SHARD_BYTES of them
@@ -262,35 +268,65 @@ def _shards(width: int):
     return shards
 
 
-def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Windows of split anchors that another shard has too.
+def _entries(texts: list[bytes], text: np.ndarray, place: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Entries of the listed windows, as rows of big-endian words: leading bytes, hash of the window. And one hash alone."""
+    sizes = np.array([len(t) for t in texts], np.int64)
+    at = (np.cumsum(sizes) - sizes)[text] + place
+    data = np.frombuffer(b"".join(texts), np.uint8)
+    head = _heads(np.concatenate((data, np.zeros(LEAD + 8, np.uint8))), len(data) + LEAD)
+    values = data.astype(U) + U(1)
+    hashes = [Rolling(values, lane).windows(width)[at] for lane in (0, 1)]
+    return np.stack([*(head[at + k] for k in range(0, LEAD, 8)), *hashes], axis=1), hashes[0]
+
+
+def shared_suffixes(arrays: list[np.ndarray]) -> np.ndarray:
+    """Which entries of sorted suffix arrays stand in another of them too; each array holds an entry once.
 
-    The input is sorted by (anchor, part). The runs of a part are merged, and the equals of a window lie
-    between two binary searches in the merged digests.
+    Two arrays at a time: every entry of the second is looked up in the first by binary search, an equal one
+    marks both, the others go to their places in the first. So n arrays take log n rounds.
     """
+    ends = np.cumsum([len(a) for a in arrays])
+    shared = np.zeros(ends[-1], bool)
+
+    def join(one: tuple, two: tuple) -> tuple:
+        (a, rows_a), (b, rows_b) = one, two
+        at = np.searchsorted(a, b)
+        same = a[np.minimum(at, len(a) - 1)] == b  # at the end of a: greater than its last, so not equal
+        shared[rows_a[at[same]]] = True
+        shared[rows_b[same]] = True
+        return np.insert(a, at[~same], b[~same]), np.insert(rows_a, at[~same], rows_b[~same])
+
+    todo = [(a, np.arange(end - len(a), end)) for a, end in zip(arrays, ends.tolist())]
+    while len(todo) > 1:
+        todo = [join(*todo[k:k + 2]) if k + 1 < len(todo) else todo[k] for k in range(0, len(todo), 2)]
+    return shared
+
+
+def _merge(width: int):
+    """Windows of split anchors that another shard has too. The input is sorted by (anchor, part)."""
 
     def settle(runs: list[dict]) -> pa.RecordBatch:
         get = lambda c, kind: np.concatenate([np.array(r[c], kind) for r in runs])
-        w1, w2, single = get("w1", np.int64), get("w2", np.int64), get("single", bool)
-        by = np.lexsort((w2, w1))
-        w1, w2 = w1[by], w2[by]
-        name = np.cumsum(np.concatenate(([True], (w1[1:] != w1[:-1]) | (w2[1:] != w2[:-1]))))
-        many = np.searchsorted(name, name, side="right") - np.searchsorted(name, name, side="left") > 1
-        out = by[many & single[by]]
+        shared = shared_suffixes([np.frombuffer(r["suffixes"], f"S{ENTRY}") for r in runs])
+        out = np.flatnonzero(shared & get("single", bool))
+        start = get("starts", np.int32)[out]
         return pa.RecordBatch.from_arrays(
-            [pa.array(get(c, k)[out]) for c, k in (("ids", np.int64), ("keys", np.int64), ("starts", np.int32), ("stops", np.int32))],
+            [pa.array(x) for x in (get("ids", np.int64)[out], get("keys", np.int64)[out], start, start + np.int32(width))],
             names=["__id", "__key", "start", "stop"])
 
-    runs: list[dict] = []
-    for batch in batches:
-        for k in range(batch.num_rows):
-            row = batch.slice(k, 1).to_pylist()[0]
-            if runs and (runs[0]["anchor"], runs[0]["part"]) != (row["anchor"], row["part"]):
-                yield settle(runs)
-                runs = []
-            runs.append(row)
-    if runs:
-        yield settle(runs)
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        runs: list[dict] = []
+        for batch in batches:
+            for k in range(batch.num_rows):
+                row = batch.slice(k, 1).to_pylist()[0]
+                if runs and (runs[0]["anchor"], runs[0]["part"]) != (row["anchor"], row["part"]):
+                    yield settle(runs)
+                    runs = []
+                runs.append(row)
+        if runs:
+            yield settle(runs)
+
+    return merge
 
 
 def repeated_spans(docs: DataFrame, width: int = 400, part: int = PART) -> DataFrame:
@@ -327,7 +363,7 @@ def repeated_spans(docs: DataFrame, width: int = 400, part: int = PART) -> DataF
     local = solved.where("part < 0").select(spans).select(
         F.col("s.ids").alias("__id"), F.col("s.keys").alias("__key"), F.col("s.starts").alias("start"), F.col("s.stops").alias("stop"))
     handed = solved.where("part >= 0").repartition("anchor", "part").sortWithinPartitions("anchor", "part")
-    merged = handed.mapInArrow(_merge, "__id long, __key long, start int, stop int")
+    merged = handed.mapInArrow(_merge(width), "__id long, __key long, start int, stop int")
     return written(whole.unionByName(local).unionByName(merged), "suffix-spans")
 
 
@@ -375,3 +411,23 @@ def query(spark, sf_dir: str) -> DataFrame:
     """op3: bytes of 400-byte strings that start anywhere else too, removed from every document."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     return remove_repeated_bytes(docs).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+SQL = """
+WITH d AS (SELECT row_number() OVER () AS k, doc_id, hex(encode(coalesce(text, ''))) AS x, strlen(coalesce(text, '')) AS n
+           FROM documents),
+places AS (SELECT k, x, unnest(range(0, n - 399)) AS s FROM d),
+w AS MATERIALIZED (SELECT k, s, md5_number(substr(x, 2 * s + 1, 800)) AS m FROM places),
+hits AS (SELECT k, s, lag(s) OVER (PARTITION BY k ORDER BY s) AS p
+         FROM w WHERE m IN (SELECT m FROM w GROUP BY m HAVING count(*) > 1)),
+numbered AS (SELECT k, s, sum(CASE WHEN p IS NULL OR s > p + 400 THEN 1 ELSE 0 END) OVER (PARTITION BY k ORDER BY s) AS g FROM hits),
+spans AS (SELECT k, g, min(s) AS a, max(s) + 400 AS z FROM numbered GROUP BY k, g),
+pieces AS (SELECT k, a, z, lead(a) OVER (PARTITION BY k ORDER BY a) AS b FROM spans),
+cut AS (SELECT k, sum(z - a) AS n_removed, count(*) AS n_spans, min(a) AS head,
+               string_agg(substr(x, 2 * z + 1, 2 * (coalesce(b, n) - z)), '' ORDER BY a) AS rest
+        FROM pieces JOIN d USING (k) GROUP BY k)
+SELECT doc_id, CAST(n AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+       CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans,
+       sha256(unhex(coalesce(substr(x, 1, 2 * head) || rest, x))) AS kept_sha256
+FROM d LEFT JOIN cut USING (k)
+"""

@@ -95,6 +95,30 @@ def test_suffix_array_and_common_prefixes():
             assert sorted(s for s, x in zip(seen, leads) if x) == sorted(set(seen))
 
 
+@pytest.mark.parametrize("shards", [1, 2, 3, 8])
+def test_suffix_arrays_of_shards_are_searched_in_each_other(shards):
+    """Few letters, zeros among them, and few kinds: equal leading bytes, entries in one, two and all shards."""
+    rng = np.random.default_rng(shards)
+    size = suffix_dedup.ENTRY
+    kinds = [bytes(rng.integers(0, 2, size - 1).tolist()) + bytes([k % 2]) for k in range(40)]
+    kinds += [kinds[0][:size - 8] + bytes(rng.integers(0, 2, 8).tolist()) for _ in range(20)]
+    kinds = sorted(set(kinds))
+    lists = [sorted(k for k in kinds if rng.random() < 0.3) or kinds[:1] for _ in range(shards)]
+    got = suffix_dedup.shared_suffixes([np.frombuffer(b"".join(x), f"S{size}") for x in lists])
+    assert got.tolist() == [sum(k in other for other in lists) > 1 for x in lists for k in x]
+
+
+def test_entries_order_windows_as_their_bytes():
+    rng = np.random.default_rng(3)
+    texts = [bytes(rng.integers(97, 99, n).tolist()) for n in (90, 40, 70)]
+    at = [(t, p) for t, x in enumerate(texts) for p in range(len(x) - 32 + 1)]
+    windows = [texts[t][p:p + 32] for t, p in at]
+    words, _ = suffix_dedup._entries(texts, np.array([t for t, _ in at]), np.array([p for _, p in at]), 32)
+    entries = [row.astype(">u8").tobytes() for row in words]
+    assert [e[:suffix_dedup.LEAD] for e in entries] == [w[:suffix_dedup.LEAD] for w in windows]
+    assert [entries.index(e) for e in entries] == [windows.index(w) for w in windows]
+
+
 def test_shingles_and_signatures():
     rng = random.Random(2)
     base = [f"w{k}" for k in range(400)]
