@@ -14,7 +14,8 @@ least ``LEAST_G``).
 
 Bounds: training uses at most ``MAX_POSITIVE`` confirmed and ``MAX_UNLABELLED``
 unlabelled texts, those with the least id hashes; the model is ``MAX_FEATURES``
-hashes and weights. Scoring is one pass without a shuffle. Learning reads labels of rows that are not held out;
+hashes and weights. Features are counted by Spark, so the driver gets only those kept,
+at most ``MAX_FEATURES`` of a text however long it is. Scoring is one pass without a shuffle. Learning reads labels of rows that are not held out;
 held-out texts do not enter either sample.
 
 Defined cases: null or empty texts have no features and get the score of the
@@ -35,7 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerspark.llm.blocks import Block, Rolling, U, blocks
-from ledgerspark.llm.common import bounded_sample, held_out, packed, schema_with, ship, training_labels, unpacked
+from ledgerspark.llm.common import bounded_sample, held_out, packed, schema_with, ship, training_labels, unpacked, written
 
 PREFIX = 8
 MAX_POSITIVE, MAX_UNLABELLED, MAX_FEATURES = 4000, 12000, 2000
@@ -61,22 +62,45 @@ def _distinct(text: np.ndarray, f: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return text[new], f[new]
 
 
-def _collect_features(only: np.ndarray | None):
-    """Distinct features of texts; of a sorted list of hashes ``only`` those."""
+def _list_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Distinct features of texts."""
+    for b in blocks(batches):
+        text, f = _distinct(*features(b))
+        cut = np.searchsorted(text, np.arange(len(b.rows) + 1)).astype(np.int32)
+        yield pa.RecordBatch.from_arrays(
+            [*(b.rows.column(b.rows.schema.get_field_index(c)) for c in ("doc_id", "positive")),
+             pa.ListArray.from_arrays(pa.array(cut), pa.array(f))], names=["doc_id", "positive", "f"])
 
-    def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in blocks(batches):
-            text, f = features(b)
-            if only is not None:
-                has = _place(only, f) >= 0
-                text, f = text[has], f[has]
-            text, f = _distinct(text, f)
-            cut = np.searchsorted(text, np.arange(len(b.rows) + 1)).astype(np.int32)
+
+def _keep_features(only: np.ndarray):
+    """Of listed features, those of a sorted list of hashes."""
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            lists = b.column(b.schema.get_field_index("f"))
+            flat, text = lists.flatten().to_numpy(), np.repeat(np.arange(len(lists)), lists.value_lengths().to_numpy())
+            has = _place(only, flat) >= 0
+            cut = np.searchsorted(text[has], np.arange(len(lists) + 1)).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
-                [b.rows.column(b.rows.schema.get_field_index("doc_id")), pa.ListArray.from_arrays(pa.array(cut), pa.array(f))],
-                names=["doc_id", "f"])
+                [*(b.column(b.schema.get_field_index(c)) for c in ("doc_id", "positive")),
+                 pa.ListArray.from_arrays(pa.array(cut), pa.array(flat[has]))], names=["doc_id", "positive", "f"])
+
+    return keep
 
-    return collect
+
+def standing_out(listed: DataFrame, n_pos: int, n_un: int, least_g: float = LEAST_G, most: int = MAX_FEATURES) -> DataFrame:
+    """The features ``f`` that stand out most in the positive rows of ``listed`` (positive, f); ties by hash."""
+    counts = listed.select("positive", F.explode("f").alias("f")).groupBy("f").agg(
+        F.sum(F.col("positive").cast("long")).alias("p"), F.sum((~F.col("positive")).cast("long")).alias("u"))
+    rate = (F.col("p") + F.col("u")) / float(n_pos + n_un)
+
+    def g(k, n):
+        return (F.when(k > 0, k * F.log(k / (n * rate))).otherwise(0.0)
+                + F.when(n - k > 0, (n - k) * F.log((n - k) / (n * (1 - rate)))).otherwise(0.0))
+
+    often = counts.where((F.col("p") > 1) & (F.col("p") / float(n_pos) > 2 * F.col("u") / float(n_un)))
+    score = 2 * (g(F.col("p"), F.lit(float(n_pos))) + g(F.col("u"), F.lit(float(n_un))))
+    return often.select("f", score.alias("g")).where(F.col("g") >= least_g).orderBy(F.desc("g"), "f").limit(most).select("f")
 
 
 def _place(hashes: np.ndarray, f: np.ndarray) -> np.ndarray:
@@ -156,21 +180,18 @@ def fit(docs: DataFrame, labels: DataFrame, target: str = "toxic") -> Model | No
     confirmed = bounded_sample(known.where(F.col(target) == 1).select("doc_id"), MAX_POSITIVE)
     unlabelled = bounded_sample(docs.select("doc_id").where(~held_out("doc_id")).distinct(), MAX_UNLABELLED)
 
-    def collected(ids: DataFrame, only: np.ndarray | None) -> list[np.ndarray]:
-        texts = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id")
-        rows = texts.mapInArrow(_collect_features(only), "doc_id long, f array<bigint>").toArrow().sort_by("doc_id")
-        f = rows.column("f").combine_chunks()
-        flat, off = f.values.to_numpy(), f.offsets.to_numpy()
-        return [flat[a:b] for a, b in zip(off[:-1], off[1:])]
-
-    toxic = collected(confirmed, None)
-    if not toxic:
-        return None
-    names, twice = np.unique(np.concatenate(toxic), return_counts=True)
-    clean = collected(unlabelled, names[twice > 1])
-    if not clean:
+    ids = confirmed.withColumn("positive", F.lit(True)).unionByName(unlabelled.withColumn("positive", F.lit(False)))
+    schema = "doc_id long, positive boolean, f array<bigint>"
+    texts = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id")
+    listed = written(texts.select("doc_id", "positive", "text").mapInArrow(_list_features, schema), "toxic-features")
+    n = {r.positive: r["count"] for r in listed.groupBy("positive").count().collect()}
+    if len(n) < 2:
         return None
-    return train(toxic + clean, np.arange(len(toxic) + len(clean)) < len(toxic), min(max(float(prior), 1e-4), 0.9))
+    kept = np.sort(np.array([r.f for r in standing_out(listed, n[True], n[False]).collect()], np.int64))
+    rows = listed.mapInArrow(_keep_features(kept), schema).toArrow().sort_by([("positive", "descending"), ("doc_id", "ascending")])
+    f = rows.column("f").combine_chunks()
+    flat, off = f.values.to_numpy(), f.offsets.to_numpy()
+    return train([flat[a:b] for a, b in zip(off[:-1], off[1:])], rows.column("positive").to_numpy(), min(max(float(prior), 1e-4), 0.9))
 
 
 SCORE = "__score"

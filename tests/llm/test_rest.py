@@ -13,11 +13,13 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
 from ledgerspark.llm import common, imatch, mixing, quality_model, quality_rules, queries, sharding, tokenise, toxicity, warc
+from ledgerspark.llm.blocks import Block
 from ledgerspark.llm.common import held_out, scratch
 from tests.llm import cases
 
@@ -193,6 +195,38 @@ def test_classifiers_on_edge_rows(spark):
     assert spark.range(1).select(held_out("id")).first()[0] == (zlib.crc32(b"0") % 4 == 2)
 
 
+def test_toxic_features_by_brute_force(spark):
+    """Features and their choice against a plain count of words, over texts of which a third is confirmed."""
+    rng = random.Random(5)
+    common, bad = [f"w{chr(97 + i)}rd" for i in range(20)], ["Nasty", "horribleness", "horribly", "\u00e9vil"]
+    made = [(i, i % 3 == 0, " ".join(rng.choices(common, k=12) + (rng.choices(bad, k=2) if i % 3 == 0 or i % 10 == 0 else []))) for i in range(300)]
+    made += [(300, True, None), (301, False, ""), (302, False, "7 7 !")]
+    listed = spark.createDataFrame(made, "doc_id long, positive boolean, text string").mapInArrow(
+        toxicity._list_features, "doc_id long, positive boolean, f array<bigint>")
+
+    def plain(text):
+        found = re.findall(rb"[a-z\x80-\xff]+", (text or "").encode().lower())
+        return {*found, *(w[:8] for w in found if len(w) > 8)}
+
+    names = sorted(set().union(*(plain(t) for _, _, t in made)))
+    hashes = {}
+    for w in names:
+        block = Block(pa.RecordBatch.from_arrays([pa.array([w], pa.binary())], names=["text"]))
+        hashes[int(toxicity.features(block)[1][0])] = w
+    assert {r.doc_id: {hashes[h] for h in r.f} for r in listed.collect()} == {i: plain(t) for i, _, t in made}
+
+    n_pos, n_un = sum(p for _, p, _ in made), sum(not p for _, p, _ in made)
+    want = set()
+    for w in names:
+        k, u = sum(p and w in plain(t) for _, p, t in made), sum(not p and w in plain(t) for _, p, t in made)
+        r = (k + u) / (n_pos + n_un)
+        cells = [(k, n_pos * r), (n_pos - k, n_pos * (1 - r)), (u, n_un * r), (n_un - u, n_un * (1 - r))]
+        if k > 1 and k / n_pos > 2 * u / n_un and 2 * sum(x * np.log(x / e) for x, e in cells if x) >= toxicity.LEAST_G:
+            want.add(w)
+    got = {hashes[r.f] for r in toxicity.standing_out(listed, n_pos, n_un).collect()}
+    assert got == want and b"horrible" in got and not got & {w.encode() for w in common}
+
+
 def test_pu_learning_finds_unlabelled_positives():
     """Half of the toxic texts are unlabelled; the prior tells the model so."""
     rng = np.random.default_rng(0)
